@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import default_parallelism
+from tessera.session import default_parallelism, ensure_checkpoint_dir
 
 PID = "_seq_pid"
 
@@ -56,7 +56,14 @@ def sequence_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
     order_cols = list(order_cols)
     sort_cols = group_cols + order_cols
 
-    ranged = df.repartitionByRange(n, *sort_cols).withColumn(PID, F.spark_partition_id())
+    ensure_checkpoint_dir(spark)
+    # Range bounds come from a sample seeded by the RDD id, so two planned
+    # copies of this exchange could disagree on partition ids. Materialise it
+    # once (reliable checkpoint: survives executor loss, fixes every row's
+    # _pid) and derive both the rows and the boundary table from that copy.
+    ranged = (df.repartitionByRange(n, *sort_cols)
+              .withColumn(PID, F.spark_partition_id())
+              .checkpoint(eager=True))
     ranged = ranged.withColumn("_seq_g", _gkey(group_cols))
 
     w_pid = Window.partitionBy(PID).orderBy(*sort_cols)
@@ -67,8 +74,10 @@ def sequence_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  # the last row inside a range partition has no in-partition lead
                  F.lead(F.lit(True)).over(w_pid).isNull().alias("_seq_last_in_pid")]
     if pos_col is not None:
-        w_pg = Window.partitionBy(PID, *group_cols).orderBy(*order_cols)
-        cols.append((F.row_number().over(w_pg) - 1).alias("_seq_lpos"))
+        # row index in the partition minus the rows of earlier groups in it;
+        # both windows share the partitionBy(_pid) shuffle and one sort.
+        w_grp = Window.partitionBy(PID).orderBy(*group_cols)
+        cols.append((F.row_number().over(w_pid) - F.rank().over(w_grp)).alias("_seq_lpos"))
     within = ranged.select(*cols)
 
     # -- boundary table: one row per non-empty range partition ------------

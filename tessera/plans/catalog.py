@@ -318,13 +318,13 @@ FROM lineitem""",
     "adjacency_list": f"""WITH {_G_WAYS},\n{_G_SEQ},\n{_G_EDGES}
 SELECT src AS node, count(dst) AS degree,
        array_to_string(list_transform(list_sort(list(dst) FILTER (WHERE dst IS NOT NULL)),
-                                      x -> CAST(x AS VARCHAR)), ' ') AS neighbors
+                                      lambda x: CAST(x AS VARCHAR)), ' ') AS neighbors
 FROM edges GROUP BY src""",
     "adjacency_text": f"""WITH {_G_WAYS},\n{_G_SEQ},\n{_G_EDGES}
 SELECT src AS node,
        CAST(src AS VARCHAR) || ' ' ||
        array_to_string(list_transform(list_sort(list(dst) FILTER (WHERE dst IS NOT NULL)),
-                                      x -> CAST(x AS VARCHAR)), ' ') AS line
+                                      lambda x: CAST(x AS VARCHAR)), ' ') AS line
 FROM edges GROUP BY src""",
     "edge_distance": f"WITH {_G_ALL}\nSELECT src, dst, round(distance, 3) AS distance FROM wedges",
     "valid_route_queries": f"WITH {_G_ALL}\nSELECT query_id, src, dst FROM vq",
@@ -341,15 +341,15 @@ state AS (
   UNION ALL
   SELECT query_id, node, b.d, b.p FROM cand)
 SELECT query_id, node, round(distance, 3) AS distance,
-       array_to_string(list_transform(path, x -> CAST(x AS VARCHAR)), ' ') AS path
+       array_to_string(list_transform(path, lambda x: CAST(x AS VARCHAR)), ' ') AS path
 FROM state""",
     "shortest_distance": f"""WITH RECURSIVE {_G_SP}
 SELECT query_id, src, dst, reachable, distance FROM routes""",
     "shortest_path_text": f"""WITH RECURSIVE {_G_SP}
 SELECT query_id,
        CASE WHEN reachable THEN array_to_string(list_transform(
-              list_concat([src], list_filter(path, x -> x <> src AND x <> dst), [dst]),
-              x -> CAST(x AS VARCHAR)), ' -> ') END AS route
+              list_concat([src], list_filter(path, lambda x: x <> src AND x <> dst), [dst]),
+              lambda x: CAST(x AS VARCHAR)), ' -> ') END AS route
 FROM routes""",
     "route_geometry": f"""WITH {_G_NODES},
 wn AS (SELECT l_orderkey AS way_id,
