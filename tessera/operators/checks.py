@@ -24,7 +24,7 @@ def validate_routes(routes: DataFrame, edges: DataFrame, key: str = "query_id",
     bad = (hops.join(e, ["_a", "_b"], "left_anti")
            .groupBy(key).agg(F.count(F.lit(1)).alias("_bad")))
     p = F.col(path_col)
-    ends_ok = (F.element_at(p, 1) == F.col("src")) & (F.element_at(p, -1) == F.col("dst"))
+    ends_ok = F.coalesce((F.get(p, 0) == F.col("src")) & (F.get(p, F.size(p) - 1) == F.col("dst")), F.lit(False))
     bad_n = F.coalesce(F.col("_bad"), F.lit(0).cast("long"))
     return (routes.join(bad, key, "left")
             .select(key, (F.size(p) - 1).alias("n_hops"), bad_n.alias("n_bad_hops"),

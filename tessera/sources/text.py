@@ -28,7 +28,7 @@ def parse_kv(lines: DataFrame, col: str = "value") -> DataFrame:
     """
     parts = F.split(F.col(col), "\t", 2)
     return lines.select(parts.getItem(0).alias("key"),
-                        F.coalesce(F.element_at(parts, 2), F.lit("")).alias("value"))
+                        F.coalesce(F.get(parts, 1), F.lit("")).alias("value"))
 
 
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
