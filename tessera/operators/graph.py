@@ -22,24 +22,29 @@ Scale notes:
   task.
 * Candidates are pre-aggregated per ``(query_id, node)`` inside each map task
   (partial aggregation) before the shuffle.
-* The state is checkpointed into ``spark.checkpoint.dir`` every
-  ``checkpoint_every`` rounds (reliable, survives executor loss) and
-  persisted in between, which bounds lineage.
+* Every round writes the label state as a parquet table under
+  ``spark.checkpoint.dir`` and reads it back: lineage stays one round deep,
+  survives executor loss, and each round is planned from a plain scan.
 """
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_m
-from tessera.session import default_parallelism, ensure_checkpoint_dir
+from tessera.session import default_parallelism, scratch_path, write_read
 
 # Largest number of route queries whose per-query bound table (query_id,
 # distance: 16 bytes a row) we broadcast; above it the bound is shuffle-joined.
 BOUND_BROADCAST_MAX_QUERIES = 2_000_000
 
+log = logging.getLogger("tessera.graph")
+
 
 # ------------------------------------------------------------------ adjacency
 
@@ -92,25 +97,41 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
                   num_partitions: int | None = None, check_negative: bool = True) -> DataFrame:
     """Weighted edges ready for relaxation: ``(_from, _bucket, _to, _w, _to_nb)``.
 
-    ``_to_nb`` is the bucket count of the target node (what its frontier
-    rows must be replicated to). Null endpoints/weights are dropped.
+    Hash-partitioned by ``(_from, _bucket)``. ``_to_nb`` is the bucket count
+    of the target node (what its frontier rows must be replicated to). With
+    ``fanout=None`` every node has one bucket. Null endpoints/weights are
+    dropped.
     """
     e = (edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
                       F.col(weight_col).cast("double").alias("_w"))
          .where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & F.col("_w").isNotNull()))
-    if check_negative and not e.where(F.col("_w") < 0).isEmpty():
-        raise ValueError("shortest paths need non-negative edge weights")
+    if check_negative:
+        # one pass: land the edge list once and observe its smallest weight
+        obs = Observation("edge_weights")
+        e = write_read(e, scratch_path(edges.sparkSession, "edges"), obs,
+                       [F.min("_w").alias("min_w")])
+        min_w = obs.get["min_w"]
+        if min_w is not None and min_w < 0:
+            raise ValueError("shortest paths need non-negative edge weights")
     if fanout:
-        nb = (e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
-              .select(F.col("_from").alias("_node"),
-                      F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb")))
+        deg = e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
+        max_deg = deg.agg(F.max("_deg")).first()[0] or 0
+        if max_deg <= fanout:
+            fanout = None          # no hub: one bucket per node, no extra joins
+    if fanout:
+        nb = deg.select(F.col("_from").alias("_node"),
+                        F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb"))
         e = (e.join(nb.withColumnRenamed("_nb", "_from_nb"), e["_from"] == nb["_node"], "left").drop("_node")
              .join(nb.withColumnRenamed("_nb", "_to_nb"), e["_to"] == nb["_node"], "left").drop("_node"))
-        e = e.select("_from", "_to", "_w",
-                     F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
-                     F.coalesce("_to_nb", F.lit(1)).alias("_to_nb"))
+        from_nb = F.coalesce("_from_nb", F.lit(1))
+        to_nb = F.coalesce("_to_nb", F.lit(1))
     else:
-        e = e.select("_from", "_to", "_w", F.lit(0).alias("_bucket"), F.lit(1).alias("_to_nb"))
+        from_nb = to_nb = F.lit(1)
+    # _bucket is always a computed column (never a literal the optimizer could
+    # fold away), so a cached copy keeps a partitioning the join can use.
+    e = e.select("_from", "_to", "_w",
+                 F.pmod(F.xxhash64("_to"), from_nb).cast("int").alias("_bucket"),
+                 to_nb.cast("int").alias("_to_nb"))
     n = num_partitions or default_parallelism(edges.sparkSession)
     return e.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb")
 
@@ -166,10 +187,33 @@ def merge_labels(state: DataFrame, best: DataFrame) -> DataFrame:
                     better.alias("_improved"))
 
 
+def current_labels(versions: DataFrame) -> DataFrame:
+    """Best label per ``(query_id, node)`` over all written label versions."""
+    best = versions.groupBy("query_id", "node").agg(
+        F.min(F.struct("distance", "path", "_nb", "_target")).alias("_b"))
+    return best.select("query_id", "node", "_b.distance", "_b.path", "_b._nb", "_b._target")
+
+
+def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
+    """Candidates strictly better than every existing label of their key.
+
+    Existing labels are first narrowed to the candidates' keys with a semi
+    join (AQE broadcasts the key set when it is small, so the label history
+    is scanned, not shuffled), then an anti join drops candidates that some
+    existing label matches or beats as ``(distance, path)``.
+    """
+    keys = best.select("query_id", "node")
+    cur = versions.join(keys, ["query_id", "node"], "left_semi").select(
+        "query_id", "node", F.col("distance").alias("_cd"), F.col("path").alias("_cp"))
+    cond = ((best["query_id"] == cur["query_id"]) & (best["node"] == cur["node"])
+            & (F.struct(cur["_cd"], cur["_cp"]) <= F.struct(best["distance"], best["path"])))
+    return best.join(cur, cond, "left_anti")
+
+
 def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
                    vertices: DataFrame | None = None, vertex_id: str = "id",
-                   fanout: int | None = 100_000, checkpoint_every: int = 1,
-                   prune: bool = True, num_partitions: int | None = None) -> DataFrame:
+                   fanout: int | None = 100_000, prune: bool = True,
+                   num_partitions: int | None = None, compact_every: int = 12) -> DataFrame:
     """Batch single-pair shortest paths.
 
     ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
@@ -178,49 +222,67 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     (``vertices`` given) or whose destination is unreachable gets
     ``reachable = false`` and null distance/path; ``src == dst`` gives
     distance 0 and path ``[src]``.
+
+    Labels live as append-only versions: each round writes only the labels
+    it improved (a parquet table under ``spark.checkpoint.dir``); a key's
+    current label is the smallest of its versions. The last version is the
+    next frontier. Every ``compact_every`` rounds the versions are compacted
+    to one table, keeping reads and file counts bounded.
     """
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    q_all = queries.select("query_id", "src", "dst")
+    t_start = time.perf_counter()
+    scratch = scratch_path(spark, "sp")
+    q_all = write_read(queries.select("query_id", "src", "dst"), f"{scratch}/queries")
     q = valid_queries(q_all, vertices, vertex_id) if vertices is not None else q_all
-    q = q.checkpoint(eager=True)
-    n_queries = q.count()
-
+    obs = Observation("sp_queries")
+    q = write_read(q, f"{scratch}/valid", obs, [F.count(F.lit(1)).alias("n")])
+    n_queries = obs.get["n"]
+    log.info("shortest_paths: %d valid queries (%.2fs)", n_queries, time.perf_counter() - t_start)
+
+    # Edges are the largest static input: partition them by (_from, _bucket)
+    # once and keep them cached, so rounds shuffle only the frontier. Lost
+    # cache blocks are recomputed from the (deterministic) edge plan.
     prepared = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions)
-    prepared = prepared.checkpoint(eager=True)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    n_edges = prepared.count()
     nbs = node_buckets(prepared)
-
-    state = (q.join(nbs, q["src"] == nbs["_node"], "left")
-             .select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                     F.array(F.col("src")).alias("path"),
-                     F.coalesce("_nb", F.lit(1)).alias("_nb"), F.col("dst").alias("_target"),
-                     F.lit(True).alias("_improved")))
-    state = state.checkpoint(eager=True)
+    log.info("shortest_paths: %d edges prepared (%.2fs)", n_edges, time.perf_counter() - t_start)
+
+    init = (q.join(nbs, q["src"] == nbs["_node"], "left")
+            .select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
+                    F.array(F.col("src")).alias("path"),
+                    F.coalesce("_nb", F.lit(1)).alias("_nb"), F.col("dst").alias("_target")))
+    versions = [f"{scratch}/round-0"]
+    delta = write_read(init, versions[0])
+    label_schema = delta.schema
     frontier_n = n_queries
     broadcast_bound = n_queries <= BOUND_BROADCAST_MAX_QUERIES
     rounds = 0
-    persisted: list[DataFrame] = []
     while frontier_n > 0:
         rounds += 1
-        frontier = state.where("_improved").select(*STATE_COLS)
+        t_round = time.perf_counter()
+        labels = spark.read.schema(label_schema).parquet(*versions)
         bound = None
         if prune:
-            bound = state.where(F.col("node") == F.col("_target")).select(
-                "query_id", F.col("distance").alias("_bound"))
-        best = relax(frontier, prepared, bound, broadcast_bound)
-        new_state = merge_labels(state.select(*STATE_COLS), best)
-        if rounds % checkpoint_every == 0:
-            new_state = new_state.checkpoint(eager=True)
-            for p in persisted:
-                p.unpersist()
-            persisted = []
-        else:
-            new_state = new_state.persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(new_state)
-        state = new_state
-        frontier_n = state.where("_improved").count()
-
-    found = state.where(F.col("node") == F.col("_target")).select(
+            bound = (labels.where(F.col("node") == F.col("_target"))
+                     .groupBy("query_id").agg(F.min("distance").alias("_bound")))
+        best = relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound)
+        obs = Observation(f"sp_round_{rounds}")
+        path = f"{scratch}/round-{rounds}"
+        delta = write_read(improvements(best, labels), path, obs,
+                           [F.count(F.lit(1)).alias("improved")])
+        versions.append(path)
+        frontier_n = obs.get["improved"]
+        if frontier_n > 0 and len(versions) > compact_every:
+            compacted = f"{scratch}/compact-{rounds}"
+            write_read(current_labels(spark.read.schema(label_schema).parquet(*versions)), compacted)
+            versions = [compacted, path]
+        log.info("shortest_paths round %d: %d labels improved (%.2fs)",
+                 rounds, frontier_n, time.perf_counter() - t_round)
+    prepared.unpersist()
+
+    labels = spark.read.schema(label_schema).parquet(*versions)
+    found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
         F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"), F.col("path").alias("_path"))
     return (q_all.join(found, q_all["query_id"] == found["_qid"], "left")
             .select("query_id", "src", "dst", F.col("_qid").isNotNull().alias("reachable"),

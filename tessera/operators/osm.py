@@ -135,7 +135,9 @@ def build_edges_rows(ways: DataFrame, refs: DataFrame, order_cols: list[str],
     """
     flags = highway_ways(ways, tag_col).select(
         F.col(way_id).alias("_wid"), is_oneway(tag_col).alias("_oneway"))
-    r = refs.join(flags, refs[way_id] == flags["_wid"], "inner").drop("_wid")
-    pairs = consecutive_edges_rows(r, order_cols, way_col=way_id, ref_col=ref_col,
-                                   extra=("_oneway",), num_partitions=num_partitions)
+    # Pair first (range sampling then scans only the ref columns), then keep
+    # the pairs of highway ways and attach their one-way flag.
+    pairs = consecutive_edges_rows(refs, order_cols, way_col=way_id, ref_col=ref_col,
+                                   num_partitions=num_partitions)
+    pairs = pairs.join(flags, pairs["way_id"] == flags["_wid"], "inner").drop("_wid")
     return _edges_from_pairs(pairs)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import default_parallelism, ensure_checkpoint_dir
+from tessera.session import default_parallelism, scratch_path, write_read
 
 PID = "_seq_pid"
 
@@ -56,14 +56,13 @@ def sequence_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
     order_cols = list(order_cols)
     sort_cols = group_cols + order_cols
 
-    ensure_checkpoint_dir(spark)
     # Range bounds come from a sample seeded by the RDD id, so two planned
     # copies of this exchange could disagree on partition ids. Materialise it
-    # once (reliable checkpoint: survives executor loss, fixes every row's
-    # _pid) and derive both the rows and the boundary table from that copy.
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .withColumn(PID, F.spark_partition_id())
-              .checkpoint(eager=True))
+    # once as a table in the checkpoint folder (durable, computed once, fixes
+    # every row's _pid) and derive both the rows and the boundary table from
+    # that copy.
+    ranged = write_read(df.repartitionByRange(n, *sort_cols).withColumn(PID, F.spark_partition_id()),
+                        scratch_path(spark, "seq"))
     ranged = ranged.withColumn("_seq_g", _gkey(group_cols))
 
     w_pid = Window.partitionBy(PID).orderBy(*sort_cols)

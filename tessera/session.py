@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every session we build gets. AQE re-plans joins at runtime (broadcast
 # when the measured side is small, skew-join splitting, partition coalescing).
@@ -77,3 +79,27 @@ def default_parallelism(spark: SparkSession) -> int:
     except Exception:  # pragma: no cover - conf always present in practice
         n = 200
     return max(1, n)
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder for intermediate tables under the checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tessera-{tag}-{uuid.uuid4().hex}"
+
+
+def write_read(df: DataFrame, path: str, observation: Observation | None = None,
+               metrics: list | None = None) -> DataFrame:
+    """Materialise ``df`` as parquet at ``path`` and return a fresh scan of it.
+
+    A written table in the shared checkpoint folder cuts lineage durably
+    (survives executor loss) and is computed once. Unlike
+    ``Dataset.checkpoint`` it hands the optimizer a plain scan with no
+    inherited plan constraints, so iterative plans do not grow. With an
+    ``observation``, the aggregate ``metrics`` are collected during the same
+    write (no extra job).
+    """
+    if observation is not None:
+        df = df.observe(observation, *metrics)
+    df.write.mode("overwrite").parquet(path)
+    # the schema is known: skip footer-based inference on the way back in
+    return df.sparkSession.read.schema(df.schema).parquet(path)
