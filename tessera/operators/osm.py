@@ -96,11 +96,17 @@ def build_edges(ways: DataFrame, tag_col: str = "tag", nd_col: str = "nd") -> Da
 
 
 def _edges_from_pairs(pairs: DataFrame) -> DataFrame:
-    """pairs ``(_oneway, src, dst)`` -> forward U reversed two-way, distinct."""
-    forward = pairs.select("src", "dst")
-    backward = pairs.where(~F.col("_oneway")).select(
-        F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return forward.unionByName(backward).where(F.col("src").isNotNull()).distinct()
+    """pairs ``(_oneway, src, dst)`` -> forward U reversed two-way, distinct.
+
+    Both directions come out of one pass (a two-element array exploded per
+    pair), so the upstream plan is evaluated once rather than once per union
+    branch. ``distinct`` pre-aggregates in every map task.
+    """
+    fwd = F.struct(F.col("src").alias("src"), F.col("dst").alias("dst"))
+    rev = F.when(~F.col("_oneway"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    e = pairs.select(F.explode(F.array(fwd, rev)).alias("_e"))
+    return (e.where(F.col("_e").isNotNull() & F.col("_e.src").isNotNull())
+            .select(F.col("_e.src").alias("src"), F.col("_e.dst").alias("dst")).distinct())
 
 
 # ------------------------------------------------------------------ row ways

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The default English stop list used by the registered text
 # queries (function words only; callers pass their own list for other work).
@@ -21,8 +22,13 @@ MAX_STOPWORDS = 1_000_000
 
 
 def stopwords_df(spark: SparkSession, words=DEFAULT_STOPWORDS) -> DataFrame:
-    """One-column ``(word)`` DataFrame of the given words."""
-    return spark.createDataFrame([(w,) for w in words], "word string")
+    """One-column ``(word)`` DataFrame of the given words.
+
+    Built from literals on the JVM side (one-row range, exploded array), so
+    no Python worker is started to ship the list.
+    """
+    return spark.range(1).select(
+        F.explode(F.array(*[F.lit(w) for w in words])).alias("word"))
 
 
 def checked_stoplist(stop: DataFrame, max_rows: int = MAX_STOPWORDS) -> DataFrame:
