@@ -95,49 +95,62 @@ def valid_queries(queries: DataFrame, vertices: DataFrame, id_col: str = "id") -
 
 def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int | None = None,
                   num_partitions: int | None = None, check_negative: bool = True) -> DataFrame:
-    """Weighted edges ready for relaxation: ``(_from, _bucket, _to, _w, _to_nb)``.
+    """Weighted edges ready for relaxation, cached and co-partitioned.
 
-    Hash-partitioned by ``(_from, _bucket)``. ``_to_nb`` is the bucket count
-    of the target node (what its frontier rows must be replicated to). With
-    ``fanout=None`` every node has one bucket. Null endpoints/weights are
-    dropped.
+    Returns a persisted DataFrame (the caller unpersists it):
+
+    * ``(_from, _to, _w)`` hash-partitioned by ``_from`` when no node has more
+      than ``fanout`` out-edges (or ``fanout`` is None);
+    * ``(_from, _bucket, _to, _w, _to_nb)`` hash-partitioned by
+      ``(_from, _bucket)`` otherwise: a hub with ``d`` out-edges gets
+      ``ceil(d / fanout)`` buckets, ``_to_nb`` is the bucket count of the
+      target (how many copies its frontier rows need).
+
+    The upstream edge plan runs once: the partitioned copy is cached, the
+    smallest weight is observed while filling the cache, and degrees are
+    aggregated from the cache without another shuffle. Null endpoints and
+    weights are dropped.
     """
+    spark = edges.sparkSession
+    n = num_partitions or default_parallelism(spark)
     e = (edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
                       F.col(weight_col).cast("double").alias("_w"))
          .where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & F.col("_w").isNotNull()))
-    if check_negative:
-        # one pass: land the edge list once and observe its smallest weight
-        obs = Observation("edge_weights")
-        e = write_read(e, scratch_path(edges.sparkSession, "edges"), obs,
-                       [F.min("_w").alias("min_w")])
-        min_w = obs.get["min_w"]
-        if min_w is not None and min_w < 0:
-            raise ValueError("shortest paths need non-negative edge weights")
-    if fanout:
-        deg = e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
-        max_deg = deg.agg(F.max("_deg")).first()[0] or 0
-        if max_deg <= fanout:
-            fanout = None          # no hub: one bucket per node, no extra joins
-    if fanout:
-        nb = deg.select(F.col("_from").alias("_node"),
-                        F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb"))
-        e = (e.join(nb.withColumnRenamed("_nb", "_from_nb"), e["_from"] == nb["_node"], "left").drop("_node")
-             .join(nb.withColumnRenamed("_nb", "_to_nb"), e["_to"] == nb["_node"], "left").drop("_node"))
-        from_nb = F.coalesce("_from_nb", F.lit(1))
-        to_nb = F.coalesce("_to_nb", F.lit(1))
-    else:
-        from_nb = to_nb = F.lit(1)
-    # _bucket is always a computed column (never a literal the optimizer could
-    # fold away), so a cached copy keeps a partitioning the join can use.
-    e = e.select("_from", "_to", "_w",
-                 F.pmod(F.xxhash64("_to"), from_nb).cast("int").alias("_bucket"),
-                 to_nb.cast("int").alias("_to_nb"))
-    n = num_partitions or default_parallelism(edges.sparkSession)
-    return e.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb")
-
-
-def node_buckets(prepared: DataFrame) -> DataFrame:
-    """``(_node, _nb)``: bucket count of every node that has out-edges."""
+    e = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
+    obs = Observation("edge_weights")
+    e.observe(obs, F.min("_w").alias("min_w")).count()
+    min_w = obs.get["min_w"]
+    if check_negative and min_w is not None and min_w < 0:
+        e.unpersist()
+        raise ValueError("shortest paths need non-negative edge weights")
+    if not fanout:
+        return e
+    deg = e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
+    max_deg = deg.agg(F.max("_deg")).first()[0] or 0
+    if max_deg <= fanout:
+        return e               # no hub: plain partitioning by source
+    nb = deg.select(F.col("_from").alias("_node"),
+                    F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb"))
+    b = (e.join(nb.withColumnRenamed("_nb", "_from_nb"), e["_from"] == nb["_node"], "left").drop("_node")
+         .join(nb.withColumnRenamed("_nb", "_to_nb"), e["_to"] == nb["_node"], "left").drop("_node"))
+    b = b.select("_from", "_to", "_w",
+                 F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
+                 F.coalesce("_to_nb", F.lit(1)).cast("int").alias("_to_nb"))
+    b = (b.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb")
+         .persist(StorageLevel.MEMORY_AND_DISK))
+    b.count()
+    e.unpersist()
+    return b
+
+
+def is_bucketed(prepared: DataFrame) -> bool:
+    return "_bucket" in prepared.columns
+
+
+def node_buckets(prepared: DataFrame) -> DataFrame | None:
+    """``(_node, _nb)``: bucket count of every node with out-edges (bucketed edges only)."""
+    if not is_bucketed(prepared):
+        return None
     return prepared.groupBy(F.col("_from").alias("_node")).agg(F.max("_bucket").alias("_mb")) \
         .select("_node", (F.col("_mb") + 1).cast("int").alias("_nb"))
 
@@ -154,13 +167,20 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
     to simple paths (and to ``distance <= bound`` when a per-query bound is
     given), then reduced with ``min(struct(distance, path, ...))``.
     """
-    f = frontier.select(*STATE_COLS, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
-    j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]), "inner")
+    if is_bucketed(prepared):
+        f = frontier.select(*STATE_COLS,
+                            F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
+        j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]),
+                   "inner")
+        to_nb = F.col("_to_nb")
+    else:
+        j = frontier.join(prepared, frontier["node"] == prepared["_from"], "inner")
+        to_nb = F.lit(1)
     cand = j.where(~F.array_contains("path", F.col("_to"))).select(
         "query_id", F.col("_to").alias("node"),
         (F.col("distance") + F.col("_w")).alias("distance"),
         F.array_append("path", F.col("_to")).alias("path"),
-        F.col("_to_nb").alias("_nb"), "_target")
+        to_nb.alias("_nb"), "_target")
     if bound is not None:
         b = F.broadcast(bound) if broadcast_bound else bound
         cand = (cand.join(b, "query_id", "left")
@@ -239,19 +259,23 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     n_queries = obs.get["n"]
     log.info("shortest_paths: %d valid queries (%.2fs)", n_queries, time.perf_counter() - t_start)
 
-    # Edges are the largest static input: partition them by (_from, _bucket)
-    # once and keep them cached, so rounds shuffle only the frontier. Lost
-    # cache blocks are recomputed from the (deterministic) edge plan.
+    # Edges are the largest static input: partition them by source (and
+    # bucket, for hubs) once and keep them cached, so rounds shuffle only the
+    # frontier. Lost cache blocks are recomputed from the (deterministic)
+    # edge plan.
     prepared = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    n_edges = prepared.count()
     nbs = node_buckets(prepared)
-    log.info("shortest_paths: %d edges prepared (%.2fs)", n_edges, time.perf_counter() - t_start)
+    log.info("shortest_paths: edges prepared, bucketed=%s (%.2fs)", is_bucketed(prepared),
+             time.perf_counter() - t_start)
 
-    init = (q.join(nbs, q["src"] == nbs["_node"], "left")
-            .select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                    F.array(F.col("src")).alias("path"),
-                    F.coalesce("_nb", F.lit(1)).alias("_nb"), F.col("dst").alias("_target")))
+    if nbs is not None:
+        q = q.join(nbs, q["src"] == nbs["_node"], "left")
+        nb_col = F.coalesce("_nb", F.lit(1))
+    else:
+        nb_col = F.lit(1)
+    init = q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
+                    F.array(F.col("src")).alias("path"), nb_col.alias("_nb"),
+                    F.col("dst").alias("_target"))
     versions = [f"{scratch}/round-0"]
     delta = write_read(init, versions[0])
     label_schema = delta.schema

@@ -131,7 +131,9 @@ def q_valid_route_queries(spark, d):
 
 def q_relax_once(spark, d):
     q = graph.valid_queries(T.route_queries(spark, d), T.vertices(spark, d))
-    prepared = graph.prepare_edges(_wedges(spark, d), "distance", fanout=None)
+    e = _wedges(spark, d).select("src", "dst", "distance")
+    prepared = e.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
+                        F.col("distance").alias("_w"))
     init = q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
                     F.array("src").alias("path"), F.lit(1).alias("_nb"), F.col("dst").alias("_target"))
     state = graph.merge_labels(init, graph.relax(init, prepared))
