@@ -281,22 +281,30 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     label_schema = delta.schema
     frontier_n = n_queries
     broadcast_bound = n_queries <= BOUND_BROADCAST_MAX_QUERIES
+    # Per-query bound: best distance found so far to the query's destination.
+    # It only changes in rounds that improve some destination label (counted
+    # while writing the delta), so it is rebuilt -- a tiny table -- only then.
+    bound = None
+    bound_stale = prune
     rounds = 0
     while frontier_n > 0:
         rounds += 1
         t_round = time.perf_counter()
         labels = spark.read.schema(label_schema).parquet(*versions)
-        bound = None
-        if prune:
-            bound = (labels.where(F.col("node") == F.col("_target"))
-                     .groupBy("query_id").agg(F.min("distance").alias("_bound")))
+        if bound_stale:
+            bound = write_read(
+                labels.where(F.col("node") == F.col("_target"))
+                .groupBy("query_id").agg(F.min("distance").alias("_bound")),
+                f"{scratch}/bound-{rounds}")
         best = relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound)
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
         delta = write_read(improvements(best, labels), path, obs,
-                           [F.count(F.lit(1)).alias("improved")])
+                           [F.count(F.lit(1)).alias("improved"),
+                            F.count_if(F.col("node") == F.col("_target")).alias("at_target")])
         versions.append(path)
         frontier_n = obs.get["improved"]
+        bound_stale = prune and obs.get["at_target"] > 0
         if frontier_n > 0 and len(versions) > compact_every:
             compacted = f"{scratch}/compact-{rounds}"
             write_read(current_labels(spark.read.schema(label_schema).parquet(*versions)), compacted)
