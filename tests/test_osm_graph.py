@@ -115,3 +115,31 @@ def test_adjacency_validation(spark):
     broken = adj.where("node <> 2")
     r = checks.validate_adjacency(broken, edges).first()
     assert (r.n_missing, r.n_extra) == (2, 0)
+
+
+def test_gpx_tracks_content(spark, scratch):
+    from tessera.sinks.text import write_gpx
+    nodes = osm_src.read_osm_nodes(spark, fixture_path("small.osm"))
+    routes = spark.createDataFrame([(7, [1, 2, 3])], "query_id long, path array<long>")
+    tracks = graph.route_tracks(graph.route_geometry(routes, nodes))
+    row = tracks.first()
+    assert row.name == "7"
+    assert [(p._lat, p._lon) for p in row.trkseg.trkpt] == [
+        (1.3, 103.77), (1.3009, 103.77), (1.3018, 103.77)]
+    out = os.path.join(scratch, "gpx")
+    write_gpx(tracks, out)
+    text = "".join(r.value for r in spark.read.text(out).collect())
+    assert "<gpx>" in text and "<trk>" in text and 'lat="1.3009"' in text
+
+
+def test_sequence_edges_survive_partitioning_choice(spark):
+    # same edges whatever the number of range partitions
+    ways = osm_src.read_osm_ways(spark, fixture_path("small.osm"))
+    rows = ways.select(F.col("_id").alias("way_id"),
+                       F.posexplode(F.col("nd").getField("_ref")).alias("seq", "ref"))
+    flags = ways.select(F.col("_id").alias("way_id"), "tag")
+    key = lambda r: (r.src, -1 if r.dst is None else r.dst)
+    base = sorted(osm.build_edges_rows(flags, rows, ["seq"], num_partitions=1).collect(), key=key)
+    for n in (2, 5, 11):
+        assert sorted(osm.build_edges_rows(flags, rows, ["seq"], num_partitions=n).collect(),
+                      key=key) == base

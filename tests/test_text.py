@@ -112,3 +112,10 @@ def test_write_topk_roundtrip(spark, scratch):
 def test_default_stoplist_is_lowercase_unique(spark):
     words = [r.word for r in stopwords_df(spark).collect()]
     assert len(words) == len(set(words)) and all(w == w.lower() for w in words)
+
+
+def test_write_counts_ordered_by_word(spark, scratch):
+    counts = spark.createDataFrame([("b", 1), ("a", 3), ("B", 2)], "word string, count long")
+    out = os.path.join(scratch, "counts")
+    sinks.write_counts(counts, out, single_file=True)
+    assert [r.value for r in spark.read.text(out).collect()] == ["B\t2", "a\t3", "b\t1"]
