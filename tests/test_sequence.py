@@ -36,3 +36,22 @@ def test_many_small_groups_and_singletons(spark):
 def test_more_partitions_than_rows(spark):
     rows = [(1, 0, 10), (1, 1, 11), (2, 0, 20)]
     assert run(spark, rows, 16) == expected(rows)
+
+
+def test_null_group_and_order_keys(spark):
+    rows = [(None, 1, 5), (None, None, 4), (None, 2, 6), (1, None, 7), (1, 0, 8), (2, 3, 9)]
+    df = spark.createDataFrame(rows, "g long, o long, v long")
+    out = sequence_groups(df, ["g"], ["o", "v"], value_col="v", pos_col="pos", next_col="nxt",
+                          num_partitions=4)
+    got = {(r.g, r.o, r.v): (r.pos, r.nxt) for r in out.collect()}
+    # nulls sort first, and a null group key is one group of its own
+    assert got == {(None, None, 4): (0, 5), (None, 1, 5): (1, 6), (None, 2, 6): (2, None),
+                   (1, None, 7): (0, 8), (1, 0, 8): (1, None), (2, 3, 9): (0, None)}
+
+
+def test_random_partition_counts(spark):
+    rng = random.Random(11)
+    rows = list({(rng.randrange(30), rng.randrange(40), rng.randrange(10**5)) for _ in range(700)})
+    want = expected(rows)
+    for parts in (1, 2, 3, 8, 31):
+        assert run(spark, rows, parts) == want
