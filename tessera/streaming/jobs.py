@@ -56,12 +56,13 @@ def start_route_stream(spark: SparkSession, weighted_edges: DataFrame, queries_d
 
     Each micro-batch is a static DataFrame: parsed, solved with
     ``graph.shortest_paths`` and written as ``src -> ... -> dst`` lines to
-    ``output_dir/batch=<id>``. ``query_id`` combines the batch id with the
-    line's position so ids stay unique across batches.
+    ``output_dir/batch=<id>``. ``query_id`` is the struct ``(batch, line)``,
+    unique across batches and ordered like the input.
     """
     def solve(batch: DataFrame, batch_id: int) -> None:
         q = parse_route_queries(batch).withColumn(
-            "query_id", F.col("query_id") + F.lit(batch_id).cast("long") * F.lit(1 << 40))
+            "query_id", F.struct(F.lit(batch_id).cast("long").alias("batch"),
+                                 F.col("query_id").alias("line")))
         if q.isEmpty():
             return
         routes = graph.shortest_paths(weighted_edges, q, weight_col=weight_col, vertices=vertices)
