@@ -45,6 +45,11 @@ BOUND_BROADCAST_MAX_QUERIES = 2_000_000
 
 log = logging.getLogger("tessera.graph")
 
+# Slack on the goal-directed test so floating-point rounding in the
+# great-circle estimate can never prune a label of an optimal route.
+ASTAR_REL_SLACK = 1e-9
+ASTAR_ABS_SLACK_M = 1e-6
+
 
 # ------------------------------------------------------------------ adjacency
 
@@ -94,7 +99,8 @@ def valid_queries(queries: DataFrame, vertices: DataFrame, id_col: str = "id") -
 # ------------------------------------------------------------ relaxation core
 
 def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int | None = None,
-                  num_partitions: int | None = None, check_negative: bool = True) -> DataFrame:
+                  num_partitions: int | None = None, check_negative: bool = True,
+                  coords: DataFrame | None = None) -> DataFrame:
     """Weighted edges ready for relaxation, cached and co-partitioned.
 
     Returns a persisted DataFrame (the caller unpersists it):
@@ -109,13 +115,19 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
     The upstream edge plan runs once: the partitioned copy is cached, the
     smallest weight is observed while filling the cache, and degrees are
     aggregated from the cache without another shuffle. Null endpoints and
-    weights are dropped.
+    weights are dropped. With ``coords`` (``_id, _lat, _lon``) the target's
+    coordinates ride along as ``_to_lat``/``_to_lon`` for goal-directed
+    pruning.
     """
     spark = edges.sparkSession
     n = num_partitions or default_parallelism(spark)
     e = (edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
                       F.col(weight_col).cast("double").alias("_w"))
          .where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & F.col("_w").isNotNull()))
+    if coords is not None:
+        c = coords.select(F.col("_id").alias("_cid"), F.col("_lat").alias("_to_lat"),
+                          F.col("_lon").alias("_to_lon"))
+        e = e.join(c, e["_to"] == c["_cid"], "left").drop("_cid")
     e = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation("edge_weights")
     e.observe(obs, F.min("_w").alias("min_w")).count()
@@ -133,10 +145,11 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
                     F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb"))
     b = (e.join(nb.withColumnRenamed("_nb", "_from_nb"), e["_from"] == nb["_node"], "left").drop("_node")
          .join(nb.withColumnRenamed("_nb", "_to_nb"), e["_to"] == nb["_node"], "left").drop("_node"))
-    b = b.select("_from", "_to", "_w",
+    geo = ["_to_lat", "_to_lon"] if coords is not None else []
+    b = b.select("_from", "_to", "_w", *geo,
                  F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
                  F.coalesce("_to_nb", F.lit(1)).cast("int").alias("_to_nb"))
-    b = (b.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb")
+    b = (b.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb", *geo)
          .persist(StorageLevel.MEMORY_AND_DISK))
     b.count()
     e.unpersist()
@@ -176,16 +189,26 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
     else:
         j = frontier.join(prepared, frontier["node"] == prepared["_from"], "inner")
         to_nb = F.lit(1)
+    geo = [F.col("_to_lat"), F.col("_to_lon")] if "_to_lat" in prepared.columns else []
     cand = j.where(~F.array_contains("path", F.col("_to"))).select(
         "query_id", F.col("_to").alias("node"),
         (F.col("distance") + F.col("_w")).alias("distance"),
         F.array_append("path", F.col("_to")).alias("path"),
-        to_nb.alias("_nb"), "_target")
+        to_nb.alias("_nb"), "_target", *geo)
     if bound is not None:
         b = F.broadcast(bound) if broadcast_bound else bound
-        cand = (cand.join(b, "query_id", "left")
-                .where(F.col("_bound").isNull() | (F.col("distance") <= F.col("_bound")))
-                .drop("_bound"))
+        cand = cand.join(b, "query_id", "left")
+        if geo and "_t_lat" in bound.columns:
+            # goal-directed: distance so far + great-circle distance still to
+            # go is a lower bound of any route through this candidate
+            rest = F.coalesce(haversine_m("_to_lat", "_to_lon", "_t_lat", "_t_lon"), F.lit(0.0))
+            keep = (F.col("distance") + rest * F.col("_h_scale")
+                    <= F.col("_bound") * (1 + ASTAR_REL_SLACK) + ASTAR_ABS_SLACK_M)
+        else:
+            keep = F.col("distance") <= F.col("_bound")
+        cand = cand.where(F.col("_bound").isNull() | keep).select(*STATE_COLS)
+    else:
+        cand = cand.select(*STATE_COLS)
     best = cand.groupBy("query_id", "node").agg(
         F.min(F.struct("distance", "path", "_nb", "_target")).alias("_b"))
     return best.select("query_id", "node", "_b.distance", "_b.path", "_b._nb", "_b._target")
@@ -233,7 +256,8 @@ def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
 def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
                    vertices: DataFrame | None = None, vertex_id: str = "id",
                    fanout: int | None = 100_000, prune: bool = True,
-                   num_partitions: int | None = None, compact_every: int = 12) -> DataFrame:
+                   num_partitions: int | None = None, compact_every: int = 12,
+                   coords: DataFrame | None = None, heuristic_scale: float = 1.0) -> DataFrame:
     """Batch single-pair shortest paths.
 
     ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
@@ -248,6 +272,14 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     current label is the smallest of its versions. The last version is the
     next frontier. Every ``compact_every`` rounds the versions are compacted
     to one table, keeping reads and file counts bounded.
+
+    Pruning drops candidates that cannot beat the best route found so far
+    for their query. With ``coords`` (``_id, _lat, _lon`` per node) it is
+    goal-directed: a candidate survives only if its distance plus
+    ``heuristic_scale`` times the great-circle metres to the destination
+    does not exceed that best route. This is exact (never changes the
+    result) when every edge weight is at least ``heuristic_scale`` times the
+    great-circle length of the edge, e.g. weights in whole metres rounded up.
     """
     spark = edges.sparkSession
     t_start = time.perf_counter()
@@ -263,7 +295,8 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     # bucket, for hubs) once and keep them cached, so rounds shuffle only the
     # frontier. Lost cache blocks are recomputed from the (deterministic)
     # edge plan.
-    prepared = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions)
+    prepared = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions,
+                             coords=coords if prune else None)
     nbs = node_buckets(prepared)
     log.info("shortest_paths: edges prepared, bucketed=%s (%.2fs)", is_bucketed(prepared),
              time.perf_counter() - t_start)
@@ -284,6 +317,14 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     # Per-query bound: best distance found so far to the query's destination.
     # It only changes in rounds that improve some destination label (counted
     # while writing the delta), so it is rebuilt -- a tiny table -- only then.
+    targets = None
+    if prune and coords is not None:
+        c = coords.select(F.col("_id").alias("_tid"), F.col("_lat").alias("_t_lat"),
+                          F.col("_lon").alias("_t_lon"))
+        targets = write_read(
+            q.join(c, q["dst"] == c["_tid"], "left").select(
+                "query_id", "_t_lat", "_t_lon", F.lit(float(heuristic_scale)).alias("_h_scale")),
+            f"{scratch}/targets")
     bound = None
     bound_stale = prune
     rounds = 0
@@ -292,10 +333,11 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         t_round = time.perf_counter()
         labels = spark.read.schema(label_schema).parquet(*versions)
         if bound_stale:
-            bound = write_read(
-                labels.where(F.col("node") == F.col("_target"))
-                .groupBy("query_id").agg(F.min("distance").alias("_bound")),
-                f"{scratch}/bound-{rounds}")
+            best_at_target = (labels.where(F.col("node") == F.col("_target"))
+                              .groupBy("query_id").agg(F.min("distance").alias("_bound")))
+            if targets is not None:
+                best_at_target = targets.join(best_at_target, "query_id", "left")
+            bound = write_read(best_at_target, f"{scratch}/bound-{rounds}")
         best = relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound)
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"

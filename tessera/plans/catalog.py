@@ -5,7 +5,7 @@ whole tables; ``ORACLE_SQL[name]`` is the equivalent SQL over the same
 tables (views ``documents``, ``orders``, ``lineitem``, ``part``,
 ``supplier`` ...). Column names match between the two. Floating results are
 rounded to 3 decimals on both sides; shortest-path queries use whole-metre
-weights so distances and tie-breaks are exact.
+weights (rounded up) so distances and tie-breaks are exact.
 """
 
 from __future__ import annotations
@@ -73,13 +73,18 @@ def _wedges(spark, d):
 
 
 def _wedges_m(spark, d):
-    """Weighted edges plus whole-metre weights ``weight_m``."""
-    return _wedges(spark, d).withColumn("weight_m", F.round("distance").cast("long"))
+    """Weighted edges plus ``weight_m``: whole metres, rounded up.
+
+    Rounding up keeps every weight at least the great-circle length of its
+    edge, so the goal-directed pruning in ``shortest_paths`` stays exact.
+    """
+    return _wedges(spark, d).withColumn("weight_m", F.ceil("distance").cast("long"))
 
 
 def _routes(spark, d):
     return graph.shortest_paths(_wedges_m(spark, d), T.route_queries(spark, d),
-                                weight_col="weight_m", vertices=T.vertices(spark, d))
+                                weight_col="weight_m", vertices=T.vertices(spark, d),
+                                coords=T.nodes(spark, d))
 
 
 def q_highway_ways(spark, d):
@@ -268,7 +273,7 @@ _G_WEDGES = """wedges AS (
                + cos(radians(a.lat)) * cos(radians(b.lat))
                  * sin(radians(b.lon - a.lon) / 2) * sin(radians(b.lon - a.lon) / 2) AS h
         FROM edges e JOIN nodes a ON e.src = a.id JOIN nodes b ON e.dst = b.id) x),
-wedges_m AS (SELECT src, dst, distance, CAST(round(distance) AS BIGINT) AS weight_m FROM wedges)"""
+wedges_m AS (SELECT src, dst, distance, CAST(ceil(distance) AS BIGINT) AS weight_m FROM wedges)"""
 _G_QUERIES = """q AS (
   SELECT CAST(s_nationkey AS BIGINT) AS query_id,
          arg_min(l_partkey, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) AS src,

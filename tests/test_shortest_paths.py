@@ -69,3 +69,30 @@ def test_zero_weight_and_self_loop_terminate(spark):
     res = {r.query_id: r for r in graph.shortest_paths(e, q).collect()}
     assert list(res[0].path) == [1, 2, 3] and res[0].distance == 1.0
     assert not res[1].reachable
+
+
+def test_goal_directed_pruning_is_exact(spark):
+    import math
+    rng = random.Random(5)
+    pts = {i: (1.29 + rng.random() * 0.02, 103.76 + rng.random() * 0.02) for i in range(60)}
+
+    def metres(a, b):
+        (la1, lo1), (la2, lo2) = pts[a], pts[b]
+        dlat, dlon = math.radians(la2 - la1), math.radians(lo2 - lo1)
+        h = (math.sin(dlat / 2) ** 2
+             + math.cos(math.radians(la1)) * math.cos(math.radians(la2)) * math.sin(dlon / 2) ** 2)
+        return 6371.0 * 2 * math.atan2(math.sqrt(h), math.sqrt(1 - h)) * 1000
+
+    pairs = {(rng.randrange(60), rng.randrange(60)) for _ in range(300)}
+    edges = [(a, b, float(math.ceil(metres(a, b)))) for a, b in pairs]
+    queries = [(i, rng.randrange(60), rng.randrange(60)) for i in range(15)]
+    e = spark.createDataFrame(edges, "src long, dst long, distance double")
+    q = spark.createDataFrame(queries, "query_id long, src long, dst long")
+    coords = spark.createDataFrame([(k, v[0], v[1]) for k, v in pts.items()],
+                                   "_id long, _lat double, _lon double")
+    with_h = {r.query_id: (r.reachable, r.distance, None if r.path is None else list(r.path))
+              for r in graph.shortest_paths(e, q, coords=coords, num_partitions=4).collect()}
+    for qid, s, t in queries:
+        want = brute_force(edges, s, t)
+        got = with_h[qid]
+        assert got == ((False, None, None) if want is None else (True, want[0], want[1]))
