@@ -42,6 +42,9 @@ from tessera.session import default_parallelism, scratch_path, write_read
 # Largest number of route queries whose per-query bound table (query_id,
 # distance: 16 bytes a row) we broadcast; above it the bound is shuffle-joined.
 BOUND_BROADCAST_MAX_QUERIES = 2_000_000
+# Largest backward-seed table (query, node, distance-to-destination) that is
+# broadcast to every relaxation; above it seeding is skipped.
+SEED_BROADCAST_MAX_ROWS = 5_000_000
 
 log = logging.getLogger("tessera.graph")
 
@@ -232,9 +235,33 @@ def merge_labels(state: DataFrame, best: DataFrame) -> DataFrame:
 
 def current_labels(versions: DataFrame) -> DataFrame:
     """Best label per ``(query_id, node)`` over all written label versions."""
+    rest = [c for c in versions.columns if c not in ("query_id", "node", "distance", "path")]
     best = versions.groupBy("query_id", "node").agg(
-        F.min(F.struct("distance", "path", "_nb", "_target")).alias("_b"))
-    return best.select("query_id", "node", "_b.distance", "_b.path", "_b._nb", "_b._target")
+        F.min(F.struct("distance", "path", *rest)).alias("_b"))
+    return best.select("query_id", "node", "_b.distance", "_b.path", *[f"_b.{c}" for c in rest])
+
+
+def backward_seeds(targets: DataFrame, prepared: DataFrame, hops: int) -> DataFrame:
+    """``(query_id, node, _db)``: nodes within ``hops`` reversed hops of each
+    query's destination, with their shortest distance to it over those hops.
+
+    ``targets`` is ``(query_id, node, _db=0)``. Each hop joins the current
+    level to the cached edges on their target (AQE broadcasts the level when
+    small) and keeps the minimum per key.
+    """
+    e = prepared.select("_from", "_to", "_w")
+    level = targets
+    levels = [targets]
+    for _ in range(hops):
+        nxt = (level.join(e, level["node"] == e["_to"])
+               .select("query_id", F.col("_from").alias("node"), (F.col("_db") + F.col("_w")).alias("_db"))
+               .groupBy("query_id", "node").agg(F.min("_db").alias("_db")))
+        levels.append(nxt)
+        level = nxt
+    u = levels[0]
+    for lv in levels[1:]:
+        u = u.unionByName(lv)
+    return u.groupBy("query_id", "node").agg(F.min("_db").alias("_db"))
 
 
 def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
@@ -257,7 +284,8 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
                    vertices: DataFrame | None = None, vertex_id: str = "id",
                    fanout: int | None = 100_000, prune: bool = True,
                    num_partitions: int | None = None, compact_every: int = 12,
-                   coords: DataFrame | None = None, heuristic_scale: float = 1.0) -> DataFrame:
+                   coords: DataFrame | None = None, heuristic_scale: float = 1.0,
+                   seed_hops: int = 2) -> DataFrame:
     """Batch single-pair shortest paths.
 
     ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
@@ -280,6 +308,11 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     does not exceed that best route. This is exact (never changes the
     result) when every edge weight is at least ``heuristic_scale`` times the
     great-circle length of the edge, e.g. weights in whole metres rounded up.
+
+    The "best route so far" is known early: a backward search of
+    ``seed_hops`` hops from each destination gives seed nodes with their
+    distance to it, and any label reaching a seed closes a real route
+    (label distance + seed distance), which bounds the query from then on.
     """
     spark = edges.sparkSession
     t_start = time.perf_counter()
@@ -301,14 +334,33 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     log.info("shortest_paths: edges prepared, bucketed=%s (%.2fs)", is_bucketed(prepared),
              time.perf_counter() - t_start)
 
+    seeds = None
+    if prune and seed_hops > 0 and n_queries > 0:
+        obs = Observation("sp_seeds")
+        seeds = write_read(
+            backward_seeds(q.select("query_id", F.col("dst").alias("node"), F.lit(0.0).alias("_db")),
+                           prepared, seed_hops),
+            f"{scratch}/seeds", obs, [F.count(F.lit(1)).alias("n")])
+        n_seeds = obs.get["n"]
+        log.info("shortest_paths: %d backward seeds (%.2fs)", n_seeds, time.perf_counter() - t_start)
+        if n_seeds > SEED_BROADCAST_MAX_ROWS:
+            seeds = None
+
+    def with_db(labels_df: DataFrame) -> DataFrame:
+        """Attach ``_db``: the node's distance to the query's destination, if known."""
+        if seeds is None:
+            return labels_df.withColumn(
+                "_db", F.when(F.col("node") == F.col("_target"), F.lit(0.0)))
+        return labels_df.join(F.broadcast(seeds), ["query_id", "node"], "left")
+
     if nbs is not None:
         q = q.join(nbs, q["src"] == nbs["_node"], "left")
         nb_col = F.coalesce("_nb", F.lit(1))
     else:
         nb_col = F.lit(1)
-    init = q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                    F.array(F.col("src")).alias("path"), nb_col.alias("_nb"),
-                    F.col("dst").alias("_target"))
+    init = with_db(q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
+                            F.array(F.col("src")).alias("path"), nb_col.alias("_nb"),
+                            F.col("dst").alias("_target")))
     versions = [f"{scratch}/round-0"]
     delta = write_read(init, versions[0])
     label_schema = delta.schema
@@ -333,20 +385,21 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         t_round = time.perf_counter()
         labels = spark.read.schema(label_schema).parquet(*versions)
         if bound_stale:
-            best_at_target = (labels.where(F.col("node") == F.col("_target"))
-                              .groupBy("query_id").agg(F.min("distance").alias("_bound")))
+            best_at_target = (labels.where(F.col("_db").isNotNull())
+                              .groupBy("query_id")
+                              .agg(F.min(F.col("distance") + F.col("_db")).alias("_bound")))
             if targets is not None:
                 best_at_target = targets.join(best_at_target, "query_id", "left")
             bound = write_read(best_at_target, f"{scratch}/bound-{rounds}")
-        best = relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound)
+        best = with_db(relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound))
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
         delta = write_read(improvements(best, labels), path, obs,
                            [F.count(F.lit(1)).alias("improved"),
-                            F.count_if(F.col("node") == F.col("_target")).alias("at_target")])
+                            F.count_if(F.col("_db").isNotNull()).alias("at_seed")])
         versions.append(path)
         frontier_n = obs.get["improved"]
-        bound_stale = prune and obs.get["at_target"] > 0
+        bound_stale = prune and obs.get["at_seed"] > 0
         if frontier_n > 0 and len(versions) > compact_every:
             compacted = f"{scratch}/compact-{rounds}"
             write_read(current_labels(spark.read.schema(label_schema).parquet(*versions)), compacted)
