@@ -15,16 +15,19 @@ node on its own path), so zero-weight edges and self loops cannot cycle.
 
 Scale notes:
 
-* Edges are hash-partitioned by ``(src, bucket)`` and checkpointed once, so
-  each round shuffles only the frontier. A node whose out-degree exceeds
-  ``fanout`` edges is split into ``ceil(degree / fanout)`` buckets and its
-  frontier rows are replicated per bucket: a hub never lands whole in one
-  task.
+* Edges are hash-partitioned by source once and cached, so each round
+  shuffles only the frontier. A node whose out-degree exceeds ``fanout`` is
+  split into ``ceil(degree / fanout)`` buckets and its frontier rows are
+  replicated per bucket: a hub never lands whole in one task.
 * Candidates are pre-aggregated per ``(query_id, node)`` inside each map task
   (partial aggregation) before the shuffle.
-* Every round writes the label state as a parquet table under
-  ``spark.checkpoint.dir`` and reads it back: lineage stays one round deep,
-  survives executor loss, and each round is planned from a plain scan.
+* Labels are append-only versions: each round writes only the labels it
+  improved as a parquet table under ``spark.checkpoint.dir`` (durable,
+  survives executor loss, one round of lineage, a plain scan for the next
+  plan); versions are compacted periodically.
+* Pruning is exact and goal-directed when node coordinates are given, and a
+  short backward search from each destination supplies an upper bound from
+  the first rounds on.
 """
 
 from __future__ import annotations
