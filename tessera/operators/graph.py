@@ -175,19 +175,29 @@ def node_buckets(prepared: DataFrame) -> DataFrame | None:
 
 
 STATE_COLS = ["query_id", "node", "distance", "path", "_nb", "_target"]
+# Labels that track the route by predecessor instead of the whole path.
+PRED_COLS = ["query_id", "node", "distance", "hops", "pred", "_nb", "_target"]
+
+
+def _label_order(cols) -> list[str]:
+    """Lexicographic label order: (distance, path) or (distance, hops, pred)."""
+    return ["distance", "path"] if "path" in cols else ["distance", "hops", "pred"]
 
 
 def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = None,
           broadcast_bound: bool = True) -> DataFrame:
     """One message-passing step: best candidate label per ``(query_id, node)``.
 
-    ``frontier``: ``STATE_COLS``. Each frontier row is replicated to its
-    node's buckets, joined to the out-edges, extended by one hop, filtered
-    to simple paths (and to ``distance <= bound`` when a per-query bound is
-    given), then reduced with ``min(struct(distance, path, ...))``.
+    ``frontier``: ``STATE_COLS`` (path labels) or ``PRED_COLS`` (predecessor
+    labels). Each frontier row is replicated to its node's buckets, joined
+    to the out-edges, extended by one hop (path labels keep simple paths
+    only), filtered by the per-query bound when given, then reduced with the
+    lexicographic minimum of ``(distance, path)`` or ``(distance, hops,
+    pred)``.
     """
+    cols = PRED_COLS if "pred" in frontier.columns else STATE_COLS
     if is_bucketed(prepared):
-        f = frontier.select(*STATE_COLS,
+        f = frontier.select(*cols,
                             F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
         j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]),
                    "inner")
@@ -196,11 +206,15 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
         j = frontier.join(prepared, frontier["node"] == prepared["_from"], "inner")
         to_nb = F.lit(1)
     geo = [F.col("_to_lat"), F.col("_to_lon")] if "_to_lat" in prepared.columns else []
-    cand = j.where(~F.array_contains("path", F.col("_to"))).select(
+    if cols is STATE_COLS:
+        j = j.where(~F.array_contains("path", F.col("_to")))
+        ext = [F.array_append("path", F.col("_to")).alias("path")]
+    else:
+        ext = [(F.col("hops") + 1).alias("hops"), F.col("node").alias("pred")]
+    cand = j.select(
         "query_id", F.col("_to").alias("node"),
         (F.col("distance") + F.col("_w")).alias("distance"),
-        F.array_append("path", F.col("_to")).alias("path"),
-        to_nb.alias("_nb"), "_target", *geo)
+        *ext, to_nb.alias("_nb"), "_target", *geo)
     if bound is not None:
         b = F.broadcast(bound) if broadcast_bound else bound
         cand = cand.join(b, "query_id", "left")
@@ -212,12 +226,10 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
                     <= F.col("_bound") * (1 + ASTAR_REL_SLACK) + ASTAR_ABS_SLACK_M)
         else:
             keep = F.col("distance") <= F.col("_bound")
-        cand = cand.where(F.col("_bound").isNull() | keep).select(*STATE_COLS)
+        cand = cand.where(F.col("_bound").isNull() | keep).select(*cols)
     else:
-        cand = cand.select(*STATE_COLS)
-    best = cand.groupBy("query_id", "node").agg(
-        F.min(F.struct("distance", "path", "_nb", "_target")).alias("_b"))
-    return best.select("query_id", "node", "_b.distance", "_b.path", "_b._nb", "_b._target")
+        cand = cand.select(*cols)
+    return current_labels(cand)
 
 
 def merge_labels(state: DataFrame, best: DataFrame) -> DataFrame:
@@ -238,10 +250,11 @@ def merge_labels(state: DataFrame, best: DataFrame) -> DataFrame:
 
 def current_labels(versions: DataFrame) -> DataFrame:
     """Best label per ``(query_id, node)`` over all written label versions."""
-    rest = [c for c in versions.columns if c not in ("query_id", "node", "distance", "path")]
+    order = _label_order(versions.columns)
+    rest = [c for c in versions.columns if c not in ("query_id", "node", *order)]
     best = versions.groupBy("query_id", "node").agg(
-        F.min(F.struct("distance", "path", *rest)).alias("_b"))
-    return best.select("query_id", "node", "_b.distance", "_b.path", *[f"_b.{c}" for c in rest])
+        F.min(F.struct(*order, *rest)).alias("_b"))
+    return best.select("query_id", "node", *[f"_b.{c}" for c in order + rest])
 
 
 def backward_seeds(targets: DataFrame, prepared: DataFrame, hops: int) -> DataFrame:
@@ -275,20 +288,52 @@ def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
     is scanned, not shuffled), then an anti join drops candidates that some
     existing label matches or beats as ``(distance, path)``.
     """
+    order = _label_order(best.columns)
     keys = best.select("query_id", "node")
     cur = versions.join(keys, ["query_id", "node"], "left_semi").select(
-        "query_id", "node", F.col("distance").alias("_cd"), F.col("path").alias("_cp"))
+        "query_id", "node", *[F.col(c).alias("_c_" + c) for c in order])
     cond = ((best["query_id"] == cur["query_id"]) & (best["node"] == cur["node"])
-            & (F.struct(cur["_cd"], cur["_cp"]) <= F.struct(best["distance"], best["path"])))
+            & (F.struct(*[cur["_c_" + c] for c in order]) <= F.struct(*[best[c] for c in order])))
     return best.join(cur, cond, "left_anti")
 
 
+def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str,
+                  broadcast_walkers: bool = True) -> DataFrame:
+    """Paths of reached destinations from predecessor labels.
+
+    ``found``: ``(query_id, node, hops)`` per reached destination;
+    ``labels``: final ``(query_id, node, pred)``. Walks every route back one
+    predecessor per step (a join of the walkers -- one row per query -- with
+    the labels), materialising each step, and collects each route's nodes in
+    order: ``(query_id, path array<long>)``. Steps = the longest route's hops.
+    """
+    spark = found.sparkSession
+    lab = labels.select("query_id", "node", "pred")
+    step = write_read(found.select("query_id", "node", F.col("hops").alias("pos")), f"{scratch}/walk-0")
+    steps = [step]
+    k = 0
+    while True:
+        k += 1
+        w = F.broadcast(step) if broadcast_walkers else step
+        nxt = (w.join(lab, ["query_id", "node"]).where(F.col("pred").isNotNull())
+               .select("query_id", F.col("pred").alias("node"), (F.col("pos") - 1).alias("pos")))
+        obs = Observation(f"sp_walk_{k}")
+        step = write_read(nxt, f"{scratch}/walk-{k}", obs, [F.count(F.lit(1)).alias("n")])
+        if obs.get["n"] == 0:
+            break
+        steps.append(step)
+    pts = spark.read.parquet(*[f"{scratch}/walk-{i}" for i in range(len(steps))])
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "node")))
+    return pts.groupBy("query_id").agg(
+        F.transform(ordered, lambda p: p.getField("node")).alias("path"))
+
+
 def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
                    vertices: DataFrame | None = None, vertex_id: str = "id",
                    fanout: int | None = 100_000, prune: bool = True,
                    num_partitions: int | None = None, compact_every: int = 12,
                    coords: DataFrame | None = None, heuristic_scale: float = 1.0,
-                   seed_hops: int = 2) -> DataFrame:
+                   seed_hops: int = 2, track: str = "path") -> DataFrame:
     """Batch single-pair shortest paths.
 
     ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
@@ -316,7 +361,16 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     ``seed_hops`` hops from each destination gives seed nodes with their
     distance to it, and any label reaching a seed closes a real route
     (label distance + seed distance), which bounds the query from then on.
+
+    ``track="path"`` keeps each label's node list (ties broken by the
+    smallest node sequence). ``track="pred"`` keeps ``(hops, pred)`` instead,
+    so a label's size does not grow with the route (ties broken by fewer
+    hops, then the smaller predecessor); destination paths are rebuilt at
+    the end by walking predecessors. Distances are identical either way.
     """
+    if track not in ("path", "pred"):
+        raise ValueError("track must be 'path' or 'pred'")
+    label_cols = STATE_COLS if track == "path" else PRED_COLS
     spark = edges.sparkSession
     t_start = time.perf_counter()
     scratch = scratch_path(spark, "sp")
@@ -361,9 +415,12 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         nb_col = F.coalesce("_nb", F.lit(1))
     else:
         nb_col = F.lit(1)
+    if track == "path":
+        ext = [F.array(F.col("src")).alias("path")]
+    else:
+        ext = [F.lit(0).cast("long").alias("hops"), F.lit(None).cast("long").alias("pred")]
     init = with_db(q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                            F.array(F.col("src")).alias("path"), nb_col.alias("_nb"),
-                            F.col("dst").alias("_target")))
+                            *ext, nb_col.alias("_nb"), F.col("dst").alias("_target")))
     versions = [f"{scratch}/round-0"]
     delta = write_read(init, versions[0])
     label_schema = delta.schema
@@ -394,7 +451,7 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
             if targets is not None:
                 best_at_target = targets.join(best_at_target, "query_id", "left")
             bound = write_read(best_at_target, f"{scratch}/bound-{rounds}")
-        best = with_db(relax(delta.select(*STATE_COLS), prepared, bound, broadcast_bound))
+        best = with_db(relax(delta.select(*label_cols), prepared, bound, broadcast_bound))
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
         delta = write_read(improvements(best, labels), path, obs,
@@ -412,8 +469,17 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     prepared.unpersist()
 
     labels = spark.read.schema(label_schema).parquet(*versions)
-    found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
-        F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"), F.col("path").alias("_path"))
+    if track == "path":
+        found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
+            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
+            F.col("path").alias("_path"))
+    else:
+        final = write_read(current_labels(labels), f"{scratch}/final")
+        reached = write_read(final.where(F.col("node") == F.col("_target")), f"{scratch}/reached")
+        paths = rebuild_paths(reached, final, f"{scratch}/walk", broadcast_bound)
+        found = reached.join(paths, "query_id").select(
+            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
+            F.col("path").alias("_path"))
     return (q_all.join(found, q_all["query_id"] == found["_qid"], "left")
             .select("query_id", "src", "dst", F.col("_qid").isNotNull().alias("reachable"),
                     F.col("_dist").alias("distance"), F.col("_path").alias("path")))

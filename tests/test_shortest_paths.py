@@ -96,3 +96,25 @@ def test_goal_directed_pruning_is_exact(spark):
         want = brute_force(edges, s, t)
         got = with_h[qid]
         assert got == ((False, None, None) if want is None else (True, want[0], want[1]))
+
+
+@pytest.mark.parametrize("seed,fanout", [(21, None), (22, 2)])
+def test_predecessor_tracking(spark, seed, fanout):
+    edges = random_graph(seed)
+    weights = {(a, b): w for a, b, w in edges}
+    rng = random.Random(seed + 7)
+    queries = [(i, rng.randrange(40), rng.randrange(40)) for i in range(10)] + [(99, 3, 3)]
+    e = spark.createDataFrame(edges, "src long, dst long, distance double")
+    q = spark.createDataFrame(queries, "query_id long, src long, dst long")
+    res = {r.query_id: r for r in graph.shortest_paths(e, q, fanout=fanout, track="pred",
+                                                       num_partitions=4).collect()}
+    for qid, s, t in queries:
+        want = brute_force(edges, s, t)
+        r = res[qid]
+        if want is None:
+            assert not r.reachable and r.path is None
+            continue
+        path = list(r.path)
+        assert r.reachable and r.distance == want[0]
+        assert path[0] == s and path[-1] == t and len(set(path)) == len(path)
+        assert sum(weights[(a, b)] for a, b in zip(path, path[1:])) == r.distance
