@@ -438,6 +438,7 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
                 "query_id", "_t_lat", "_t_lon", F.lit(float(heuristic_scale)).alias("_h_scale")),
             f"{scratch}/targets")
     bound = None
+    bound_vals = None          # (query_id, _bound), materialised, <= one row per query
     bound_stale = prune
     rounds = 0
     while frontier_n > 0:
@@ -445,12 +446,16 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         t_round = time.perf_counter()
         labels = spark.read.schema(label_schema).parquet(*versions)
         if bound_stale:
-            best_at_target = (labels.where(F.col("_db").isNotNull())
-                              .groupBy("query_id")
-                              .agg(F.min(F.col("distance") + F.col("_db")).alias("_bound")))
-            if targets is not None:
-                best_at_target = targets.join(best_at_target, "query_id", "left")
-            bound = write_read(best_at_target, f"{scratch}/bound-{rounds}")
+            # labels only improve, so the new bound is min(old bound, routes
+            # closed by the last delta): no scan of the label history
+            closed = (delta.where(F.col("_db").isNotNull()).groupBy("query_id")
+                      .agg(F.min(F.col("distance") + F.col("_db")).alias("_bound")))
+            if bound_vals is not None:
+                closed = (bound_vals.unionByName(closed).groupBy("query_id")
+                          .agg(F.min("_bound").alias("_bound")))
+            bound_vals = write_read(closed, f"{scratch}/bound-{rounds}")
+            bound = (targets.join(bound_vals, "query_id", "left") if targets is not None
+                     else bound_vals)
         best = with_db(relax(delta.select(*label_cols), prepared, bound, broadcast_bound))
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
