@@ -92,3 +92,18 @@ def route_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.join(s, li["l_suppkey"] == s["s_suppkey"])
             .groupBy(F.col("s_nationkey").cast("long").alias("query_id"))
             .agg(F.min_by("l_partkey", key).alias("src"), F.max_by("l_partkey", key).alias("dst")))
+
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
+    """Register the parquet tables found in ``sf_dir`` as temp views for SQL."""
+    done = []
+    for name in names:
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        if os.path.exists(path):
+            spark.read.parquet(path).createOrReplaceTempView(name)
+            done.append(name)
+    return done
