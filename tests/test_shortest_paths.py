@@ -118,3 +118,21 @@ def test_predecessor_tracking(spark, seed, fanout):
         assert r.reachable and r.distance == want[0]
         assert path[0] == s and path[-1] == t and len(set(path)) == len(path)
         assert sum(weights[(a, b)] for a, b in zip(path, path[1:])) == r.distance
+
+
+@pytest.mark.parametrize("track", ["path", "pred"])
+def test_compaction_every_round_pair(spark, track):
+    # a long chain plus shortcuts: many rounds, so versions get compacted
+    edges = [(i, i + 1, 1.0) for i in range(30)] + [(0, 10, 12.0), (5, 20, 14.0), (12, 29, 20.0)]
+    queries = [(0, 0, 30), (1, 3, 25), (2, 30, 0)]
+    e = spark.createDataFrame(edges, "src long, dst long, distance double")
+    q = spark.createDataFrame(queries, "query_id long, src long, dst long")
+    res = {r.query_id: r for r in graph.shortest_paths(e, q, compact_every=2, track=track,
+                                                       num_partitions=3).collect()}
+    for qid, s, t in queries:
+        want = brute_force(edges, s, t)
+        r = res[qid]
+        if want is None:
+            assert not r.reachable
+        else:
+            assert (r.distance, list(r.path)) == want
