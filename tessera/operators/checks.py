@@ -27,7 +27,7 @@ def validate_routes(routes: DataFrame, edges: DataFrame, key: str = "query_id",
     ends_ok = F.coalesce((F.get(p, 0) == F.col("src")) & (F.get(p, F.size(p) - 1) == F.col("dst")), F.lit(False))
     bad_n = F.coalesce(F.col("_bad"), F.lit(0).cast("long"))
     return (routes.join(bad, key, "left")
-            .select(key, (F.size(p) - 1).alias("n_hops"), bad_n.alias("n_bad_hops"),
+            .select(key, (F.size(p) - 1).cast("long").alias("n_hops"), bad_n.alias("n_bad_hops"),
                     ends_ok.alias("ends_ok"), ((bad_n == 0) & ends_ok).alias("ok")))
 
 

@@ -499,7 +499,7 @@ def route_geometry(routes: DataFrame, nodes: DataFrame, key: str = "query_id",
     pts = routes.select(key, F.posexplode(path_col).alias("pos", "_ref"))
     n = nodes.select(F.col(id_col).alias("_ref"), F.col(lat_col).alias("lat"),
                      F.col(lon_col).alias("lon"))
-    return pts.join(n, "_ref").select(key, "pos", "lat", "lon")
+    return pts.join(n, "_ref").select(key, F.col("pos").cast("long").alias("pos"), "lat", "lon")
 
 
 def route_tracks(geometry: DataFrame, key: str = "query_id", name_col: str | None = None) -> DataFrame:

@@ -117,7 +117,7 @@ def q_road_edges(spark, d):
 
 def q_adjacency_list(spark, d):
     adj = graph.adjacency(_edges(spark, d))
-    return adj.select("node", F.size("neighbors").alias("degree"),
+    return adj.select("node", F.size("neighbors").cast("long").alias("degree"),
                       F.array_join(F.col("neighbors").cast("array<string>"), " ").alias("neighbors"))
 
 

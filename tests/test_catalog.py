@@ -39,11 +39,19 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
-    assert sorted(df.columns) == sorted(rel.columns)
+    # same column names and types ...
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    # ... and the same rows
     assert canon(df.columns, df.collect()) == canon(rel.columns, rel.fetchall())
 
 
@@ -51,3 +59,4 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["word", "count"] and 0 < len(rows) <= 20
+
