@@ -33,9 +33,14 @@ def word_count(lines: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def normalize_stopwords(stop: DataFrame, col: str | None = None) -> DataFrame:
-    """Lower-case and de-duplicate a one-column stop list -> ``(word)``."""
+    """Lower-case a one-column stop list -> ``(word)``.
+
+    Not de-duplicated: repeated keys cannot change the anti join it feeds,
+    and skipping ``distinct`` saves a shuffle (``read_stopwords`` returns the
+    de-duplicated list when the list itself is wanted).
+    """
     c = col or stop.columns[0]
-    return stop.select(F.lower(F.col(c)).alias(WORD)).where(F.col(WORD).isNotNull()).distinct()
+    return stop.select(F.lower(F.col(c)).alias(WORD)).where(F.col(WORD).isNotNull())
 
 
 def remove_stopwords(words: DataFrame, stop: DataFrame) -> DataFrame:
