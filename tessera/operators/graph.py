@@ -376,6 +376,12 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     scratch = scratch_path(spark, "sp")
     q_all = write_read(queries.select("query_id", "src", "dst"), f"{scratch}/queries")
     q = valid_queries(q_all, vertices, vertex_id) if vertices is not None else q_all
+    goal = prune and coords is not None
+    if goal:
+        # destination coordinates for goal-directed pruning, landed with the queries
+        c = coords.select(F.col("_id").alias("_tid"), F.col("_lat").alias("_t_lat"),
+                          F.col("_lon").alias("_t_lon"))
+        q = q.join(c, q["dst"] == c["_tid"], "left").drop("_tid")
     obs = Observation("sp_queries")
     q = write_read(q, f"{scratch}/valid", obs, [F.count(F.lit(1)).alias("n")])
     n_queries = obs.get["n"]
@@ -430,13 +436,9 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     # It only changes in rounds that improve some destination label (counted
     # while writing the delta), so it is rebuilt -- a tiny table -- only then.
     targets = None
-    if prune and coords is not None:
-        c = coords.select(F.col("_id").alias("_tid"), F.col("_lat").alias("_t_lat"),
-                          F.col("_lon").alias("_t_lon"))
-        targets = write_read(
-            q.join(c, q["dst"] == c["_tid"], "left").select(
-                "query_id", "_t_lat", "_t_lon", F.lit(float(heuristic_scale)).alias("_h_scale")),
-            f"{scratch}/targets")
+    if goal:
+        targets = q.select("query_id", "_t_lat", "_t_lon",
+                           F.lit(float(heuristic_scale)).alias("_h_scale"))
     bound = None
     bound_vals = None          # (query_id, _bound), materialised, <= one row per query
     bound_stale = prune
