@@ -48,6 +48,8 @@ BOUND_BROADCAST_MAX_QUERIES = 2_000_000
 # Largest backward-seed table (query, node, distance-to-destination) that is
 # broadcast to every relaxation; above it seeding is skipped.
 SEED_BROADCAST_MAX_ROWS = 5_000_000
+# Target size of a cached edge partition (rows of (src, dst, weight[, coords])).
+EDGES_PER_PARTITION = 200_000
 
 log = logging.getLogger("tessera.graph")
 
@@ -136,11 +138,22 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
         e = e.join(c, e["_to"] == c["_cid"], "left").drop("_cid")
     e = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation("edge_weights")
-    e.observe(obs, F.min("_w").alias("min_w")).count()
+    e.observe(obs, F.min("_w").alias("min_w"), F.count(F.lit(1)).alias("n")).count()
     min_w = obs.get["min_w"]
     if check_negative and min_w is not None and min_w < 0:
         e.unpersist()
         raise ValueError("shortest paths need non-negative edge weights")
+    if num_partitions is None:
+        # every round touches every edge partition: size them by the edge
+        # count when the session's partition count is far too large
+        fit = max(spark.sparkContext.defaultParallelism,
+                  -(-obs.get["n"] // EDGES_PER_PARTITION))
+        if fit * 2 <= n:
+            n = fit
+            smaller = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
+            smaller.count()
+            e.unpersist()
+            e = smaller
     if not fanout:
         return e
     deg = e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
