@@ -125,7 +125,9 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
     aggregated from the cache without another shuffle. Null endpoints and
     weights are dropped. With ``coords`` (``_id, _lat, _lon``) the target's
     coordinates ride along as ``_to_lat``/``_to_lon`` for goal-directed
-    pruning.
+    pruning. Without ``num_partitions`` the session's shuffle partition
+    count is used, reduced to about ``EDGES_PER_PARTITION`` edges a
+    partition when that count is far too large for the graph.
     """
     spark = edges.sparkSession
     n = num_partitions or default_parallelism(spark)
