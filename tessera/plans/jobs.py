@@ -46,17 +46,20 @@ def adjacency_job(spark: SparkSession, osm_path: str, output_path: str | None =
 
 def routes_job(spark: SparkSession, osm_path: str, queries_path: str,
                output_path: str | None = None, gpx_path: str | None = None,
-               weight: str = "distance") -> DataFrame:
+               weight: str = "distance", track: str = "path") -> DataFrame:
     """Batch shortest routes for a query file.
 
     All OSM nodes are vertices (a query naming an unknown node is reported
-    unreachable). Edge weight is the great-circle length in metres.
+    unreachable). Edge weight is the great-circle length in metres, so the
+    node coordinates also drive exact goal-directed pruning. ``track``
+    selects path or predecessor labels (see ``graph.shortest_paths``).
     """
     nodes = osm_src.read_osm_nodes(spark, osm_path)
     wedges = graph.weight_edges(road_edges(spark, osm_path), nodes, weight=weight)
     queries = text_src.read_route_queries(spark, queries_path)
     routes = graph.shortest_paths(wedges, queries, weight_col=weight,
-                                  vertices=nodes.select(nodes["_id"].alias("id")))
+                                  vertices=nodes.select(nodes["_id"].alias("id")),
+                                  coords=nodes, track=track)
     if output_path:
         sinks.write_routes(routes, output_path)
     if gpx_path:

@@ -1,6 +1,7 @@
 import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import fixture_path
@@ -78,11 +79,12 @@ def test_haversine_hop_lengths(spark):
     assert all(abs(g - hav(a, b)) < 1e-6 for g, (a, b) in zip(got, pairs))
 
 
-def test_routes_job_cases(spark, scratch):
+@pytest.mark.parametrize("track", ["path", "pred"])
+def test_routes_job_cases(spark, scratch, track):
     out = os.path.join(scratch, "routes")
     gpx = os.path.join(scratch, "gpx")
     routes = jobs.routes_job(spark, fixture_path("small.osm"), fixture_path("queries.txt"), out,
-                             gpx_path=gpx)
+                             gpx_path=gpx, track=track)
     got = {(r.src, r.dst): (r.reachable, None if r.path is None else list(r.path), r.distance)
            for r in routes.collect()}
     assert got[(1, 5)][0] and got[(1, 5)][1] == [1, 2, 3, 4, 5]
@@ -143,3 +145,10 @@ def test_sequence_edges_survive_partitioning_choice(spark):
     for n in (1, 2, 5, 11):                                                        # range plan
         assert sorted(osm.build_edges_rows(flags, rows, ["seq"], num_partitions=n,
                                            max_group_rows=None).collect(), key=key) == base
+
+
+def test_route_validation_empty_path(spark):
+    edges = spark.createDataFrame([(1, 2)], "src long, dst long")
+    routes = spark.createDataFrame([(0, 1, 2, [])], "query_id long, src long, dst long, path array<long>")
+    r = checks.validate_routes(routes, edges).first()
+    assert (r.n_bad_hops, r.ends_ok, r.ok) == (0, False, False)

@@ -119,3 +119,12 @@ def test_write_counts_ordered_by_word(spark, scratch):
     out = os.path.join(scratch, "counts")
     sinks.write_counts(counts, out, single_file=True)
     assert [r.value for r in spark.read.text(out).collect()] == ["B\t2", "a\t3", "b\t1"]
+
+
+def test_checked_stoplist_refuses_oversized_lists(spark):
+    import pytest
+    from tessera.plans.stoplist import checked_stoplist
+    big = spark.range(11).selectExpr("cast(id as string) as word")
+    assert checked_stoplist(big, max_rows=11).count() == 11
+    with pytest.raises(ValueError):
+        checked_stoplist(big, max_rows=10)
