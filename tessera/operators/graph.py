@@ -346,7 +346,7 @@ def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str,
 def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
                    vertices: DataFrame | None = None, vertex_id: str = "id",
                    fanout: int | None = 100_000, prune: bool = True,
-                   num_partitions: int | None = None, compact_every: int = 12,
+                   num_partitions: int | None = None, compact_every: int = 24,
                    coords: DataFrame | None = None, heuristic_scale: float = 1.0,
                    seed_hops: int = 2, track: str = "path") -> DataFrame:
     """Batch single-pair shortest paths.
