@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from tessera.llm.ngram_join import op1_ngram_jaccard_join
+from tessera.llm.packing import op10_cost_balanced_packing
+from tessera.llm.pieces import op7_sentencepiece
+from tessera.llm.secrets import op2_secret_scan
+from tessera.llm.token_files import op4_token_files
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_secret_scan": op2_secret_scan,
+    "op4_token_files": op4_token_files,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
