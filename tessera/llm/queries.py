@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
-from tessera.llm import quality_rules, topk
+from tessera.llm import quality_rules, topk, url_filter
 from tessera.llm.ngram_join import op1_ngram_jaccard_join
 from tessera.llm.packing import op10_cost_balanced_packing
+from tessera.llm.page_text import op8_page_text
 from tessera.llm.pieces import op7_sentencepiece
+from tessera.llm.quality_model import op3_quality_model
 from tessera.llm.quality_rules import op5_quality_rules
 from tessera.llm.secrets import op2_secret_scan
 from tessera.llm.token_files import op4_token_files
 from tessera.llm.topk import op6_exact_topk
+from tessera.llm.url_filter import op9_url_filter
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
+    "op3_quality_model": op3_quality_model,
     "op4_token_files": op4_token_files,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_topk": op6_exact_topk,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_page_text": op8_page_text,
+    "op9_url_filter": op9_url_filter,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_exact_topk": topk.ORACLE,
+    "op9_url_filter": url_filter.ORACLE,
 }
