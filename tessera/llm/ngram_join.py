@@ -3,12 +3,14 @@
 Two documents link when the Jaccard similarity of their sets of ``width``-word
 shingles reaches ``num/den``. The stages:
 
-1. One map over the texts gives each document's set size, a digest of its set
-   and its block keys (``SizeClasses``: every pair that can link shares one).
-2. Equal sets are one class; only its smallest document goes on.
-3. Classes that share a block key get an edge to the smallest class of that
-   key; the connected components of these edges are the blocks. No pair that
-   can link crosses two blocks.
+1. A map over the texts gives each document's set size, a digest of its set,
+   and how many block keys (``SizeClasses``) a partner must share with it.
+2. Equal sets are one class, led by its smallest document.
+3. Keys that two documents share are found in buckets of packed arrays; a
+   document that shares fewer keys than any partner would ask for has no
+   partner and leaves. Those that stay get an edge to the smallest class of
+   each shared key; the connected components of these edges are the blocks.
+   No pair that can link crosses two blocks.
 4. In each block a T-occurrence search finds the links: an inverted index of
    the block's shingles, and for each document its short lists merged on a
    heap, its longest lists binary-probed for the survivors only (DivideSkip),
@@ -32,20 +34,23 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, materialise, pick, table
+from tessera.llm.common import map_batches, materialise, partitions_for, pick, table
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import SizeClasses, shingle_set
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = 256
 BLOCK_SHINGLES = 1_000_000
 MEMBER_BUCKETS = 1 << 20
+POOL_KEYS = 2_000_000       # keys that a map task holds before it deals them out
 MU = 0.0085     # DivideSkip's weight of a list's logarithm
 
 
@@ -127,6 +132,71 @@ def _links_of_block(num: int, den: int):
     return run
 
 
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame:
+    """``(key, doc)`` of the block keys that two or more documents have.
+
+    A map task packs its keys into one array a bucket, so a key costs about
+    ten bytes on the way and no row. Equal sets of one pool send their keys
+    once, so what a hot key gathers is bounded by the number of pools.
+    """
+    buckets = 2 * partitions_for(docs.sparkSession)
+
+    def deal(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
+        flat = np.concatenate(keys)
+        owner = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+        bucket = (flat >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        flat, owner, rows = flat[order], owner[order], []
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for b in np.flatnonzero(np.diff(cuts)):
+            part = slice(cuts[b], cuts[b + 1])
+            rows.append((int(b), flat[part].tobytes(), squeeze(np.diff(owner[part], prepend=0).tobytes())))
+        b, k, o = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.binary()), pa.array(o, pa.binary())],
+                                          names=["bucket", "keys", "owners"])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held, seen = [], [], 0, set()
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                s = shingle_set(text.as_py(), width)
+                digest = _digest(s)
+                if digest in seen:
+                    continue
+                seen.add(digest)
+                for _, _, k in classes.keys(s):
+                    keys.append(k)
+                    ids.append(doc_id.as_py())
+                    held += len(k)
+                if held >= POOL_KEYS:
+                    yield deal(keys, ids)
+                    keys, ids, held, seen = [], [], 0, set()
+        if held:
+            yield deal(keys, ids)
+
+    def meet(bucket: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for k in bucket["keys"].combine_chunks()])
+        expand = zstandard.ZstdDecompressor().decompress
+        ids = np.concatenate([np.cumsum(np.frombuffer(expand(o.as_buffer()), np.int64))
+                              for o in bucket["owners"].combine_chunks()])
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        first = np.append(True, keys[1:] != keys[:-1])
+        group = np.cumsum(first) - 1
+        least, most = np.minimum.reduceat(ids, np.flatnonzero(first)), np.maximum.reduceat(ids, np.flatnonzero(first))
+        met = (least < most)[group]
+        return pa.table({"key": keys[met].view(np.int64), "doc": ids[met]})
+
+    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    return (usable.mapInArrow(emit, "bucket int, keys binary, owners binary")
+            .groupBy("bucket").applyInArrow(meet, "key long, doc long"))
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, n_links``.
@@ -140,33 +210,38 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = SizeClasses(num, den)
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, digests, keys = [], [], []
+        sizes, digests, needs = [], [], []
         for text in batch.column(1):
             s = shingle_set(text.as_py(), width)
             sizes.append(len(s))
-            digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-            keys.append(classes.keys(s).view(np.int64))
-        offsets = np.cumsum([0] + [len(k) for k in keys])
-        flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            digests.append(_digest(s))
+            needs.append([(c, need) for c, need, _ in classes.keys(s)])
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))],
-            names=["doc_id", "n", "digest", "keys"])
+             pa.array(needs, pa.map_(pa.int32(), pa.int32()))], names=["doc_id", "n", "digest", "needs"])
 
-    sets = materialise(map_batches(docs, describe, "doc_id long, n long, digest binary, keys array<long>"),
-                       "sets")
+    sets = materialise(map_batches(docs, describe, "doc_id long, n long, digest binary, needs map<int,int>"), "sets")
 
     # equal sets: one class, led by its smallest document
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     heads = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                        F.max("n").alias("n"))
     heads = materialise(heads, "classes")
-    firsts = some.select(F.col("doc_id").alias("rep"), F.col("digest").alias("d"), "n", "keys")
-    firsts = (firsts.join(heads, (F.col("d") == F.col("digest")) & (firsts["rep"] == heads["rep"]), "left_semi")
-              .dropDuplicates(["rep", "d"]))
-    keyed = firsts.select("rep", F.explode("keys").alias("key"))
-    hubs = (keyed.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("most"))
-            .where("lo < most").select(F.col("key").alias("k"), "lo"))
+
+    shared = materialise(_shared_keys(docs, classes, width), "shared")
+    cls = F.shiftrightunsigned(F.shiftleft("key", 56), 56).cast("int")
+    shared = shared.withColumn("cls", cls)
+    counts = shared.groupBy("doc", "cls").agg(F.count_distinct("key").alias("n_shared"))
+    asked = some.select(F.col("doc_id").alias("d"), F.col("digest").alias("dd"), F.explode("needs").alias("c", "need"))
+    staying = (counts.join(asked, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")) &
+                           (F.col("n_shared") >= F.col("need")))
+               .select(F.col("doc").alias("d"), F.col("cls").alias("c"), "dd"))
+    staying = materialise(staying.join(heads.select("digest", "rep"), F.col("dd") == F.col("digest"))
+                          .select("d", "c", "rep").distinct(), "staying")
+    keyed = (shared.join(staying, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")))
+             .select("key", "rep").distinct())
+    hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("rep").alias("lo"), F.max("rep").alias("most"))
+            .where("lo < most").select("k", "lo"))
     edges = (keyed.join(hubs, F.col("key") == F.col("k")).where("rep > lo")
              .select(F.col("rep").alias("hi"), "lo"))
     blocks = connected_components(edges)
@@ -192,10 +267,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def sets_again(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, keep = [], []
         for digest, text in zip(batch.column("digest"), batch.column("text")):
-            s = shingle_set(text.as_py(), width).tobytes()
+            s = shingle_set(text.as_py(), width)
             # an id may have several rows: only the class's own text stays
-            keep.append(hashlib.blake2b(s, digest_size=16).digest() == digest.as_py())
-            hashes.append(s)
+            keep.append(_digest(s) == digest.as_py())
+            hashes.append(s.tobytes())
         out = pa.RecordBatch.from_arrays(
             [batch.column("rep"), batch.column("block"), batch.column("copies"), batch.column("parts"),
              pa.array(hashes, pa.binary())], names=["rep", "block", "copies", "parts", "hashes"])

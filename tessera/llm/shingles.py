@@ -9,6 +9,7 @@ overlap by one at most.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -65,16 +66,18 @@ def _range_starts(p: int) -> np.ndarray:
 
 
 class SizeClasses:
-    """Block keys that every pair of sets with Jaccard >= num/den shares.
+    """Block keys such that sets with Jaccard >= num/den share a known number of them.
 
     With ``J(A, B) >= num/den`` the symmetric difference of A and B holds at
-    most ``k = floor((|A|+|B|) (den-num) / (den+num))`` elements. Cutting the
-    hash space into ``k + 1`` or more ranges therefore leaves at least one
-    range in which A and B are equal. The number of ranges depends on a size
-    class; a set also emits the keys of the class of its largest possible
-    partner, so a pair always meets in the class of its larger member. A range
-    that is empty in a set says nothing, so a few spare ranges are added; a
-    set with as many empty ranges as spare ones emits those as keys, too.
+    most ``k = floor((|A|+|B|) (den-num) / (den+num))`` elements. Cut the hash
+    space into ``p > k`` ranges: in at least ``p - k`` of them A and B are
+    equal. A range's key is a hash of the set's elements in it. The number of
+    ranges depends on a size class; a set also emits the keys of the class of
+    its largest possible partner, so a pair meets in the class of its larger
+    member. Ranges that are empty in a set have no key; a set with ``z`` empty
+    ranges shares at least ``p - k - z`` keys with any partner, which is its
+    ``need``. Where that is not positive, the empty ranges have keys too and
+    the need is 1. The low byte of a key is its class.
     """
 
     RATIO = 1.25
@@ -88,29 +91,41 @@ class SizeClasses:
         while bounds[-1] < self.LARGEST:
             bounds.append(max(bounds[-1] + 1, int(bounds[-1] * self.RATIO)))
         self.bounds = np.array(bounds, np.int64)
+        self._cuts: dict[int, tuple[int, int]] = {}
 
     def _ranges(self, c: int) -> tuple[int, int]:
-        k = 2 * int(self.bounds[c]) * (self.den - self.num) // (self.den + self.num)
-        return k, k + (2 if k < 8 else 4)
-
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        """Block keys of one sorted set of hashes; none if only an equal set can link."""
+        """``(k, p)`` of a class: spare ranges outnumber the empty ones of its smallest sets."""
+        if c not in self._cuts:
+            k = 2 * int(self.bounds[c]) * (self.den - self.num) // (self.den + self.num)
+            smallest = (int(self.bounds[c - 1]) + 1) * self.num // self.den if c else 1
+            p = k + 2
+            while p < 4 * k + 10:
+                z = p * math.exp(-smallest / p)
+                enough = math.ceil(k + 1 + z + 4 * math.sqrt(z))
+                if p >= enough:
+                    break
+                p = enough
+            self._cuts[c] = (k, p)
+        return self._cuts[c]
+
+    def keys(self, s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """``(class, need, keys)`` of a sorted set; classes where only an equal set links are left out."""
         n, out = len(s), []
         if n == 0:
-            return np.empty(0, np.uint64)
+            return out
         first, last = np.searchsorted(self.bounds, (n, n * self.den // self.num))
-        mixed = mix(s ^ np.uint64(0x5851F42D4C957F2D))
-        for c in range(first, last + 1):
-            k, p = self._ranges(c)
-            if k == 0:
-                continue
-            start = np.searchsorted(s, _range_starts(p))
-            full = np.append(start[1:], n) > start
-            at = np.flatnonzero(full).astype(np.uint64)
-            with np.errstate(over="ignore"):
-                sums = np.add.reduceat(mixed, start[full])
-                out.append(mix(sums * _A + at * _B + np.uint64(c)))
-                if p - int(full.sum()) >= p - k:
-                    empty = np.flatnonzero(~full).astype(np.uint64)
-                    out.append(mix(empty * _C + np.uint64(c) * _B + _A))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:])
+            for c in range(first, last + 1):
+                k, p = self._ranges(c)
+                if k == 0:
+                    continue
+                start = np.searchsorted(s, _range_starts(p))
+                stop = np.append(start[1:], n)
+                keys = mix((sums[stop] - sums[start]) * _A + np.arange(p, dtype=np.uint64) * _B + np.uint64(c))
+                keys = keys & ~np.uint64(0xFF) | np.uint64(c)
+                full = stop > start
+                need = p - k - int(p - full.sum())
+                out.append((c, need, keys[full]) if need > 0 else (c, 1, keys))
+        return out
