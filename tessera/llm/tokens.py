@@ -1,9 +1,11 @@
 """Token ids of whole texts as bytes, with a bounded table of words already encoded.
 
 The word tokenizer drops white space before it splits, so no token reaches
-across ASCII white space: a text's ids are its words' ids, joined. Each
-distinct word is encoded by the library once for each table (a Python worker
-keeps one and empties it when it is full).
+across ASCII white space: a text's ids are its words' ids, joined. It lowers
+letters, and splits letters from the signs after them, so a word is looked up
+in lower case and a sign after letters on its own. Each distinct word is
+encoded by the library once for each table; a Python worker keeps one table
+in two generations, of which the older goes when the younger is full.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import os
 
 import numpy as np
 
-MAX_WORDS = 400_000
+MAX_WORDS = 1_000_000
 END_ID = 2
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -26,21 +28,44 @@ def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordTable(dict):
+class Generations(dict):
+    """A bounded table: what was not asked for in a whole generation is forgotten."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most // 2, {}
+
+    def compute(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordTable(Generations):
     """word bytes -> its ids as little-endian uint32 bytes."""
 
+    SIGNS = """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
+
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(MAX_WORDS)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.encode = Tokenizer.from_file(path).encode
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        ids = self.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
-        return out
+    def compute(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        letters = text.rstrip(self.SIGNS)
+        if letters != text and letters.lower().isalpha():
+            return self[letters.encode()] + self[text[len(letters):].encode()]
+        return np.array(self.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _TABLES: dict[str, WordTable] = {}
@@ -55,5 +80,7 @@ def word_table(path: str) -> WordTable:
 
 def id_bytes(text: str | None, words: WordTable, end_id: int = END_ID) -> bytes:
     """Ids of the whole text, then ``end_id``, as little-endian uint32 bytes (null: empty text)."""
-    found = text.encode("utf-8", "surrogatepass").split() if text else ()
+    raw = text.encode("utf-8", "surrogatepass") if text else b""
+    # special tokens are looked for before letters are lowered
+    found = (raw if b"<|" in raw else raw.lower()).split()
     return b"".join(map(words.__getitem__, found)) + np.array([end_id], "<u4").tobytes()
