@@ -4,8 +4,7 @@ The model marks white space with U+2581 and none of its pieces holds that
 marker after another character (checked when the model is loaded). No merge
 can therefore cross from one marked word into the next: a text's ids are the
 ids of its marked words, joined. Each distinct marked word is segmented by the
-library once for each table (a Python worker keeps one and empties it when it
-is full), and every occurrence takes its ids from the table by position. The
+library once for each table (a Python worker keeps one of bounded size), and every occurrence takes its ids from the table by position. The
 table belongs to a worker, not to the corpus: joining a corpus-wide table
 back would shuffle one row a word.
 
@@ -22,24 +21,25 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import map_batches, pick, table
-from tessera.llm.tokens import tokenizer_path
+from tessera.llm.tokens import Generations, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-MAX_CHUNKS = 250_000
+CHUNK = re.compile(rb" +[^ ]*")
+MAX_CHUNKS = 400_000
 
 
-class ChunkTable(dict):
-    """Marked word -> its ids."""
+class ChunkTable(Generations):
+    """Marked word (as UTF-8, with spaces for markers) -> its ids as int32 bytes."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(MAX_CHUNKS)
         import sentencepiece
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = (m.id_to_piece(i) for i in range(m.get_piece_size()))
@@ -48,27 +48,22 @@ class ChunkTable(dict):
                          and m.encode(" a  b") == m.encode(" a") + m.encode(" b")
                          and m.encode("ａ é ﬁ", out_type=str) != m.encode("a é fi", out_type=str))
 
-    def __missing__(self, chunk: str) -> list[int]:
-        if len(self) >= MAX_CHUNKS:
-            self.clear()
-        if chunk.strip(MARK):
+    def compute(self, chunk: bytes) -> bytes:
+        if chunk.strip(b" "):
             # the library puts the first marker back
-            ids = self.model.encode(chunk[1:].replace(MARK, " "), num_threads=1)
+            ids = self.model.encode(chunk[1:].decode("utf-8", "surrogatepass"), num_threads=1)
         else:       # markers alone, at the end of a text
             ids = self.model.encode("a" + " " * len(chunk), num_threads=1)[len(self.model.encode("a")):]
-        self[chunk] = ids
-        return ids
+        return np.array(ids, np.int32).tobytes()
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, the same as ``model.encode(text)``."""
         if not text:
-            return []
+            return np.empty(0, np.int32)
         if not self.by_chunk:
-            return self.model.encode(text, num_threads=1)
-        ids: list[int] = []
-        for chunk in CHUNK.findall(MARK + text.replace(" ", MARK)):
-            ids += self[chunk]
-        return ids
+            return np.array(self.model.encode(text, num_threads=1), np.int32)
+        marked = b" " + text.encode("utf-8", "surrogatepass").replace(MARK.encode(), b" ")
+        return np.frombuffer(b"".join(map(self.__getitem__, CHUNK.findall(marked))), np.int32)
 
 
 _TABLES: dict[str, ChunkTable] = {}
@@ -90,8 +85,10 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         chunks = chunk_table(path)
         ids = [chunks.encode(t.as_py()) for t in batch.column(1)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(ids, pa.list_(pa.int32())),
-             pa.array([chunks.model.decode(i) if i else "" for i in ids], pa.string())],
+            [batch.column(0),
+             pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()),
+                                      pa.array(np.concatenate([np.empty(0, np.int32), *ids]))),
+             pa.array([chunks.model.decode(i.tolist()) if len(i) else "" for i in ids], pa.string())],
             names=["doc_id", "ids", "decoded"])
 
     return map_batches(pick(docs, doc_id=id_col, text=text_col)
