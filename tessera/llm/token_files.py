@@ -104,7 +104,10 @@ class FileWriter:
 
     def __init__(self, stream, dictionary: bytes):
         self.out, self.at, self.ids, self.rows = stream, HEAD, 0, []
-        self.codec = zstandard.ZstdCompressor(level=LEVEL, dict_data=_codec_dictionary(dictionary))
+        known = _codec_dictionary(dictionary)
+        if known:
+            known.precompute_compress(level=LEVEL)      # once a file, not once a document
+        self.codec = zstandard.ZstdCompressor(level=LEVEL, dict_data=known)
         self.out.write(MAGIC + dictionary_hash(dictionary))
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
