@@ -9,8 +9,8 @@ shingles reaches ``num/den``. The stages:
 3. Keys that two documents share are found in buckets of packed arrays; a
    document that shares fewer keys than any partner would ask for has no
    partner and leaves. Those that stay get an edge to the smallest class of
-   each shared key; the connected components of these edges are the blocks.
-   No pair that can link crosses two blocks.
+   each shared key; the connected components of these edges are the blocks,
+   one size class each. Every pair that can link has a block in common.
 4. In each block a T-occurrence search finds the links: an inverted index of
    the block's shingles, and for each document its short lists merged on a
    heap, its longest lists binary-probed for the survivors only (DivideSkip),
@@ -96,9 +96,13 @@ class Index:
         return cand[den * count >= num * (n + size - count)].tolist()
 
 
-def _links_of_block(num: int, den: int):
+def _links_of_block(num: int, den: int, classes: SizeClasses):
     def run(block: pa.Table) -> pa.Table:
-        """Links between the two parts of a block task, as a forest and link counts."""
+        """Links between the two parts of a block task, as a forest and link counts.
+
+        Two sets may be together in two blocks: their link belongs to the one
+        of the larger set's class.
+        """
         rows = sorted(set(zip(block["part"].to_pylist(), block["rep"].to_pylist(),
                               block["copies"].to_pylist(), block["hashes"].to_pylist())))
         parts = [r[0] for r in rows]
@@ -108,6 +112,7 @@ def _links_of_block(num: int, den: int):
         second = parts.index(parts[-1]) if cross else 0
         own_pair = block["i"][0].as_py() == block["j"][0].as_py() if rows else True
         root, links = list(range(len(rows))), [0] * len(rows)
+        own_class = classes.of([len(x) for x in index.sets]) == block["c"][0].as_py()
 
         def find(x):
             while root[x] != x:
@@ -119,6 +124,8 @@ def _links_of_block(num: int, den: int):
         todo = range(len(rows)) if own_pair else range(second)
         for q in todo:
             for c in index.search(q, q + 1 if own_pair else second, num, den):
+                if not own_class[q if len(index.sets[q]) >= len(index.sets[c]) else c]:
+                    continue
                 links[q] += copies[c]
                 links[c] += copies[q]
                 a, b = find(q), find(c)
@@ -126,8 +133,7 @@ def _links_of_block(num: int, den: int):
         out = [(reps[x], reps[find(x)], links[x]) for x in range(len(rows)) if links[x]]
         node, top, n = zip(*out) if out else ((), (), ())
         return pa.table({"node": pa.array(node, pa.int64()), "root": pa.array(top, pa.int64()),
-                         "links": pa.array(n, pa.int64()),
-                         "whole": pa.array([block["parts"][0].as_py() == 1] * len(out), pa.bool_())})
+                         "links": pa.array(n, pa.int64())})
 
     return run
 
@@ -184,8 +190,10 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
         expand = zstandard.ZstdDecompressor().decompress
         ids = np.concatenate([np.cumsum(np.frombuffer(expand(o.as_buffer()), np.int64))
                               for o in bucket["owners"].combine_chunks()])
-        order = np.argsort(keys, kind="stable")
+        order = np.lexsort((ids, keys))
         keys, ids = keys[order], ids[order]
+        once = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+        keys, ids = keys[once], ids[once]
         first = np.append(True, keys[1:] != keys[:-1])
         group = np.cumsum(first) - 1
         least, most = np.minimum.reduceat(ids, np.flatnonzero(first)), np.maximum.reduceat(ids, np.flatnonzero(first))
@@ -231,28 +239,31 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = materialise(_shared_keys(docs, classes, width), "shared")
     cls = F.shiftrightunsigned(F.shiftleft("key", 56), 56).cast("int")
     shared = shared.withColumn("cls", cls)
-    counts = shared.groupBy("doc", "cls").agg(F.count_distinct("key").alias("n_shared"))
+    counts = shared.groupBy("doc", "cls").agg(F.count(F.lit(1)).alias("n_shared"))
     asked = some.select(F.col("doc_id").alias("d"), F.col("digest").alias("dd"), F.explode("needs").alias("c", "need"))
     staying = (counts.join(asked, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")) &
                            (F.col("n_shared") >= F.col("need")))
                .select(F.col("doc").alias("d"), F.col("cls").alias("c"), "dd"))
     staying = materialise(staying.join(heads.select("digest", "rep"), F.col("dd") == F.col("digest"))
                           .select("d", "c", "rep").distinct(), "staying")
+    # a block holds sets of one size class; a node is a set in a class
+    node = F.xxhash64("rep", "c")
     keyed = (shared.join(staying, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")))
-             .select("key", "rep").distinct())
-    hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("rep").alias("lo"), F.max("rep").alias("most"))
+             .select("key", node.alias("node")).distinct())
+    hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("lo"), F.max("node").alias("most"))
             .where("lo < most").select("k", "lo"))
-    edges = (keyed.join(hubs, F.col("key") == F.col("k")).where("rep > lo")
-             .select(F.col("rep").alias("hi"), "lo"))
+    edges = (keyed.join(hubs, F.col("key") == F.col("k")).where("node > lo")
+             .select(F.col("node").alias("hi"), "lo"))
     blocks = connected_components(edges)
 
     # members of blocks, with the number of parts of their block
-    members = materialise(
-        blocks.select(F.col("node").alias("rep"), F.col("root").alias("block"))
-        .unionAll(blocks.select(F.col("root").alias("rep"), F.col("root").alias("block")).distinct()),
-        "members")
+    blocks = (blocks.select(F.col("node").alias("m"), F.col("root").alias("block"))
+              .unionAll(blocks.select(F.col("root").alias("m"), F.col("root").alias("block")).distinct()))
     by_rep = heads.select(F.col("rep").alias("r"), "copies", "digest", "n")
-    members = materialise(members.join(by_rep, F.col("rep") == F.col("r")).drop("r"), "members")
+    members = (staying.select("rep", "c", node.alias("node")).distinct()
+               .join(blocks, F.col("node") == F.col("m")).join(by_rep, F.col("rep") == F.col("r"))
+               .select("rep", "c", "block", "copies", "digest", "n"))
+    members = materialise(members, "members")
     weight = (members.groupBy(F.col("block").alias("b"))
               .agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS),
                               F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts")))
@@ -260,7 +271,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # their texts again: the rest goes before the shuffle
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(MEMBER_BUCKETS))
-    wanted = members.select(bucket("rep").alias("bucket")).distinct()
+    wanted = members.select(bucket("rep").alias("bucket")).distinct()   # MEMBER_BUCKETS rows at most
     texts = docs.join(F.broadcast(wanted), bucket("doc_id") == F.col("bucket"), "left_semi")
     texts = members.join(texts, F.col("rep") == F.col("doc_id"))
 
@@ -272,24 +283,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keep.append(_digest(s) == digest.as_py())
             hashes.append(s.tobytes())
         out = pa.RecordBatch.from_arrays(
-            [batch.column("rep"), batch.column("block"), batch.column("copies"), batch.column("parts"),
-             pa.array(hashes, pa.binary())], names=["rep", "block", "copies", "parts", "hashes"])
+            [*(batch.column(x) for x in ("rep", "c", "block", "copies", "parts")), pa.array(hashes, pa.binary())],
+            names=["rep", "c", "block", "copies", "parts", "hashes"])
         return out.filter(pa.array(keep, pa.bool_()))
 
-    whole = map_batches(texts.select("rep", "digest", "block", "copies", "parts", "text"), sets_again,
-                        "rep long, block long, copies long, parts int, hashes binary")
+    whole = map_batches(texts.select("rep", "c", "digest", "block", "copies", "parts", "text"), sets_again,
+                        "rep long, c int, block long, copies long, parts int, hashes binary")
     part = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int")
     tasks = (whole.withColumn("part", part)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    found = (tasks.select("block", "i", "j", "part", "rep", "copies", "parts", "hashes")
+    found = (tasks.select("block", "i", "j", "part", "c", "rep", "copies", "parts", "hashes")
              .groupBy("block", "i", "j")
-             .applyInArrow(_links_of_block(num, den), "node long, root long, links long, whole boolean"))
+             .applyInArrow(_links_of_block(num, den, classes), "node long, root long, links long"))
     found = materialise(found, "links")
 
-    across = connected_components(found.where("NOT whole AND node <> root")
-                                  .select(F.col("node").alias("hi"), F.col("root").alias("lo")))
-    top = found.where("whole").select("node", "root").unionAll(across)
+    top = connected_components(found.where("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo")))
     n_links = found.groupBy(F.col("node").alias("l")).agg(F.sum("links").alias("links"))
     by_class = (heads.join(top, F.col("rep") == F.col("node"), "left")
                 .join(n_links, F.col("rep") == F.col("l"), "left")

@@ -93,6 +93,10 @@ class SizeClasses:
         self.bounds = np.array(bounds, np.int64)
         self._cuts: dict[int, tuple[int, int]] = {}
 
+    def of(self, sizes) -> np.ndarray:
+        """Class of each set size."""
+        return np.searchsorted(self.bounds, sizes)
+
     def _ranges(self, c: int) -> tuple[int, int]:
         """``(k, p)`` of a class: spare ranges outnumber the empty ones of its smallest sets."""
         if c not in self._cuts:
@@ -113,7 +117,7 @@ class SizeClasses:
         n, out = len(s), []
         if n == 0:
             return out
-        first, last = np.searchsorted(self.bounds, (n, n * self.den // self.num))
+        first, last = self.of((n, n * self.den // self.num))
         with np.errstate(over="ignore"):
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:])
