@@ -47,7 +47,7 @@ from tessera.llm.common import map_batches, materialise, partitions_for, pick, t
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import SizeClasses, shingle_set
 
-BLOCK_ROWS = 256
+BLOCK_ROWS = 384
 BLOCK_SHINGLES = 1_000_000
 MEMBER_BUCKETS = 1 << 20
 POOL_KEYS = 2_000_000       # keys that a map task holds before it deals them out
@@ -143,11 +143,12 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame:
-    """``(key, doc)`` of the block keys that two or more documents have.
+    """``(key, owner)`` of the block keys that two or more different sets have.
 
-    A map task packs its keys into one array a bucket, so a key costs about
-    ten bytes on the way and no row. Equal sets of one pool send their keys
-    once, so what a hot key gathers is bounded by the number of pools.
+    A set is known by the first 8 bytes of its digest, so copies are one
+    owner. A map task packs its keys into one array a bucket, so a key costs
+    about ten bytes on the way and no row. Equal sets of one pool send their
+    keys once, so what copies gather is bounded by the number of pools.
     """
     buckets = 2 * partitions_for(docs.sparkSession)
 
@@ -169,7 +170,7 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held, seen = [], [], 0, set()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
+            for text in batch.column(0):
                 s = shingle_set(text.as_py(), width)
                 digest = _digest(s)
                 if digest in seen:
@@ -177,7 +178,7 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
                 seen.add(digest)
                 for _, _, k in classes.keys(s):
                     keys.append(k)
-                    ids.append(doc_id.as_py())
+                    ids.append(int.from_bytes(digest[:8], "big", signed=True))
                     held += len(k)
                 if held >= POOL_KEYS:
                     yield deal(keys, ids)
@@ -198,11 +199,11 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
         group = np.cumsum(first) - 1
         least, most = np.minimum.reduceat(ids, np.flatnonzero(first)), np.maximum.reduceat(ids, np.flatnonzero(first))
         met = (least < most)[group]
-        return pa.table({"key": keys[met].view(np.int64), "doc": ids[met]})
+        return pa.table({"key": keys[met].view(np.int64), "owner": ids[met]})
 
-    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text")
     return (usable.mapInArrow(emit, "bucket int, keys binary, owners binary")
-            .groupBy("bucket").applyInArrow(meet, "key long, doc long"))
+            .groupBy("bucket").applyInArrow(meet, "key long, owner long"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -233,22 +234,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # equal sets: one class, led by its smallest document
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     heads = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-                                       F.max("n").alias("n"))
+                                       F.max("n").alias("n"), F.first("needs").alias("needs"))
     heads = materialise(heads, "classes")
 
     shared = materialise(_shared_keys(docs, classes, width), "shared")
     cls = F.shiftrightunsigned(F.shiftleft("key", 56), 56).cast("int")
     shared = shared.withColumn("cls", cls)
-    counts = shared.groupBy("doc", "cls").agg(F.count(F.lit(1)).alias("n_shared"))
-    asked = some.select(F.col("doc_id").alias("d"), F.col("digest").alias("dd"), F.explode("needs").alias("c", "need"))
-    staying = (counts.join(asked, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")) &
-                           (F.col("n_shared") >= F.col("need")))
-               .select(F.col("doc").alias("d"), F.col("cls").alias("c"), "dd"))
-    staying = materialise(staying.join(heads.select("digest", "rep"), F.col("dd") == F.col("digest"))
-                          .select("d", "c", "rep").distinct(), "staying")
+    counts = shared.groupBy("owner", "cls").agg(F.count(F.lit(1)).alias("n_shared"))
+    asked = heads.select(F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("o"), "rep",
+                         F.explode("needs").alias("c", "need"))
+    staying = materialise(counts.join(asked, (F.col("owner") == F.col("o")) & (F.col("cls") == F.col("c"))
+                                      & (F.col("n_shared") >= F.col("need"))).select("o", "c", "rep"), "staying")
     # a block holds sets of one size class; a node is a set in a class
     node = F.xxhash64("rep", "c")
-    keyed = (shared.join(staying, (F.col("doc") == F.col("d")) & (F.col("cls") == F.col("c")))
+    keyed = (shared.join(staying, (F.col("owner") == F.col("o")) & (F.col("cls") == F.col("c")))
              .select("key", node.alias("node")).distinct())
     hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("lo"), F.max("node").alias("most"))
             .where("lo < most").select("k", "lo"))
