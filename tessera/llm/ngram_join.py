@@ -96,15 +96,20 @@ class Index:
         return cand[den * count >= num * (n + size - count)].tolist()
 
 
-def _links_of_block(num: int, den: int, classes: SizeClasses):
+def _links_of_block(num: int, den: int, classes: SizeClasses, width: int):
     def run(block: pa.Table) -> pa.Table:
         """Links between the two parts of a block task, as a forest and link counts.
 
         Two sets may be together in two blocks: their link belongs to the one
         of the larger set's class.
         """
-        rows = sorted(set(zip(block["part"].to_pylist(), block["rep"].to_pylist(),
-                              block["copies"].to_pylist(), block["hashes"].to_pylist())))
+        rows = set()
+        for part, rep, copies, digest, text in zip(*(block[x].to_pylist() for x in (
+                "part", "rep", "copies", "digest", "text"))):
+            s = shingle_set(text, width)
+            if _digest(s) == digest:        # an id may have several rows: only the class's own text counts
+                rows.add((part, rep, copies, s.tobytes()))
+        rows = sorted(rows)
         parts = [r[0] for r in rows]
         reps, copies = [r[1] for r in rows], [r[2] for r in rows]
         index = Index([np.frombuffer(r[3], np.uint64) for r in rows])
@@ -150,7 +155,7 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
     about ten bytes on the way and no row. Equal sets of one pool send their
     keys once, so what copies gather is bounded by the number of pools.
     """
-    buckets = 2 * partitions_for(docs.sparkSession)
+    buckets = partitions_for(docs.sparkSession)
 
     def deal(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
         flat = np.concatenate(keys)
@@ -248,7 +253,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # a block holds sets of one size class; a node is a set in a class
     node = F.xxhash64("rep", "c")
     keyed = (shared.join(staying, (F.col("owner") == F.col("o")) & (F.col("cls") == F.col("c")))
-             .select("key", node.alias("node")).distinct())
+             .select("key", node.alias("node")))
+    keyed = materialise(keyed, "keyed")
     hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("lo"), F.max("node").alias("most"))
             .where("lo < most").select("k", "lo"))
     edges = (keyed.join(hubs, F.col("key") == F.col("k")).where("node > lo")
@@ -274,27 +280,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.join(F.broadcast(wanted), bucket("doc_id") == F.col("bucket"), "left_semi")
     texts = members.join(texts, F.col("rep") == F.col("doc_id"))
 
-    def sets_again(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, keep = [], []
-        for digest, text in zip(batch.column("digest"), batch.column("text")):
-            s = shingle_set(text.as_py(), width)
-            # an id may have several rows: only the class's own text stays
-            keep.append(_digest(s) == digest.as_py())
-            hashes.append(s.tobytes())
-        out = pa.RecordBatch.from_arrays(
-            [*(batch.column(x) for x in ("rep", "c", "block", "copies", "parts")), pa.array(hashes, pa.binary())],
-            names=["rep", "c", "block", "copies", "parts", "hashes"])
-        return out.filter(pa.array(keep, pa.bool_()))
-
-    whole = map_batches(texts.select("rep", "c", "digest", "block", "copies", "parts", "text"), sets_again,
-                        "rep long, c int, block long, copies long, parts int, hashes binary")
     part = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int")
-    tasks = (whole.withColumn("part", part)
+    tasks = (texts.withColumn("part", part)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    found = (tasks.select("block", "i", "j", "part", "c", "rep", "copies", "parts", "hashes")
+    found = (tasks.select("block", "i", "j", "part", "c", "rep", "copies", "digest", "text")
              .groupBy("block", "i", "j")
-             .applyInArrow(_links_of_block(num, den, classes), "node long, root long, links long"))
+             .applyInArrow(_links_of_block(num, den, classes, width), "node long, root long, links long"))
     found = materialise(found, "links")
 
     top = connected_components(found.where("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo")))

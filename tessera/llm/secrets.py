@@ -52,7 +52,7 @@ KEY_ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUV
                  ALPHABET[:62], ALPHABET[:62] + "+/", ALPHABET[:62] + "_-")
 RANDOM_STRINGS = 600            # of each alphabet
 UNIFORM = 0.03
-THRESHOLD = 0.6                 # log-likelihood ratio a character
+THRESHOLD = 0.5                 # log-likelihood ratio a character
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -127,9 +127,9 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         counts[label, cell] = seen
     counts = counts.reshape(2, N, N)
     known = transitions(_random_samples()).astype(float)
-    # captured values weigh as much as the random strings; a uniform share keeps
+    # captured values weigh as much as one alphabet of the random strings; a uniform share keeps
     # what a class has never shown from deciding alone
-    classes = (known + counts[0] * (known.sum() / max(1.0, counts[0].sum())), counts[1])
+    classes = (known + counts[0] * (known.sum() / len(KEY_ALPHABETS) / max(1.0, counts[0].sum())), counts[1])
     logp = []
     for c in classes:
         p = (c[:, :START] + 0.5) / (c[:, :START] + 0.5).sum(axis=1, keepdims=True)

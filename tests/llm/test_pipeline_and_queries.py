@@ -1,0 +1,50 @@
+"""The pipeline's stages and the SQL of the operators' queries on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tessera.llm import queries
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    res = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in res.description]
+    assert sorted(map(repr, (tuple(r) for r in df.select(*columns).collect()))) == sorted(map(repr, res.fetchall()))
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = [r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()]
+    first, second = (f for _, f in corpus_pipeline.STAGES[:2])
+    kept = first(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert kept.where(kept.doc_id.isin(good)).count() >= 0.97 * len(good)
+    judged = second(spark, kept, SF)
+    assert judged.columns == docs.columns and judged.count() <= kept.count()
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, text), (2, text), (3, text + " tail"), (4, "quite another text of a few words"), (4, "quite another text of a few words"),
+            (None, text), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted((r.doc_id or 0) for r in stage(spark, docs, SF).collect()) == [0, 1, 4, 6]
+
+
+def test_run_returns_pieces(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert got.count() > 0
