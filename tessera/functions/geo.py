@@ -27,5 +27,7 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     s_lat = F.sin(dlat / 2)
     s_lon = F.sin(dlon / 2)
     a = s_lat * s_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * s_lon * s_lon
+    # rounding may take a over 1 near antipodes
+    a = F.least(a, F.lit(1.0))
     c = F.atan2(F.sqrt(a), F.sqrt(1 - a)) * 2
     return F.lit(EARTH_RADIUS_KM) * c * 1000

@@ -14,8 +14,8 @@ from tessera.functions.geo import EARTH_RADIUS_KM
 _HAV_A = """
 CREATE OR REPLACE TEMPORARY FUNCTION tessera_hav_a(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE)
 RETURNS DOUBLE
-RETURN sin(radians(lat2 - lat1) / 2) * sin(radians(lat2 - lat1) / 2)
-       + cos(radians(lat1)) * cos(radians(lat2)) * sin(radians(lon2 - lon1) / 2) * sin(radians(lon2 - lon1) / 2)
+RETURN least(1.0D, sin(radians(lat2 - lat1) / 2) * sin(radians(lat2 - lat1) / 2)
+       + cos(radians(lat1)) * cos(radians(lat2)) * sin(radians(lon2 - lon1) / 2) * sin(radians(lon2 - lon1) / 2))
 """
 
 _DISTANCE = f"""

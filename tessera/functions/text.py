@@ -25,9 +25,9 @@ def tokens(text) -> Column:
 
     Case and punctuation are kept (``It`` and ``it.`` are distinct tokens).
     """
-    return F.filter(F.split(_col(text), TOKEN_PATTERN), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(_col(text), TOKEN_PATTERN), "")
 
 
 def whitespace_fields(text) -> Column:
     """``array<string>`` of the non-empty ``\\s+``-separated fields."""
-    return F.filter(F.split(F.trim(_col(text)), WHITESPACE_PATTERN), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(F.trim(_col(text)), WHITESPACE_PATTERN), "")

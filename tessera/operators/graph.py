@@ -32,6 +32,8 @@ Scale notes:
 
 from __future__ import annotations
 
+import math
+
 import logging
 import time
 
@@ -140,8 +142,11 @@ def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int |
         e = e.join(c, e["_to"] == c["_cid"], "left").drop("_cid")
     e = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation("edge_weights")
-    e.observe(obs, F.min("_w").alias("min_w"), F.count(F.lit(1)).alias("n")).count()
-    min_w = obs.get["min_w"]
+    e.observe(obs, F.min("_w").alias("min_w"), F.max("_w").alias("max_w"), F.count(F.lit(1)).alias("n")).count()
+    min_w, max_w = obs.get["min_w"], obs.get["max_w"]
+    if max_w is not None and math.isnan(max_w):     # NaN sorts above every number
+        e.unpersist()
+        raise ValueError("shortest paths need edge weights that are numbers")
     if check_negative and min_w is not None and min_w < 0:
         e.unpersist()
         raise ValueError("shortest paths need non-negative edge weights")
@@ -236,7 +241,7 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
         if geo and "_t_lat" in bound.columns:
             # goal-directed: distance so far + great-circle distance still to
             # go is a lower bound of any route through this candidate
-            rest = F.coalesce(haversine_m("_to_lat", "_to_lon", "_t_lat", "_t_lon"), F.lit(0.0))
+            rest = F.coalesce(F.nanvl(haversine_m("_to_lat", "_to_lon", "_t_lat", "_t_lon"), F.lit(0.0)), F.lit(0.0))
             keep = (F.col("distance") + rest * F.col("_h_scale")
                     <= F.col("_bound") * (1 + ASTAR_REL_SLACK) + ASTAR_ABS_SLACK_M)
         else:

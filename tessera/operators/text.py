@@ -47,11 +47,10 @@ def remove_stopwords(words: DataFrame, stop: DataFrame) -> DataFrame:
     """Drop tokens found in the (lower-cased) stop list.
 
     The comparison is case-sensitive: the list is lower-cased, tokens are not,
-    so ``The`` survives a list containing ``the``. ``stop`` must be a bounded
-    dictionary (see ``tessera.plans.stoplist``); it is broadcast so the token
-    stream is never shuffled for the anti join.
+    so ``The`` survives a list containing ``the``. A list of any size will do:
+    the planner broadcasts a small one and shuffles both sides for a large one.
     """
-    return words.join(F.broadcast(stop.select(WORD)), on=WORD, how="left_anti")
+    return words.join(stop.select(WORD), on=WORD, how="left_anti")
 
 
 def common_words(counts_a: DataFrame, counts_b: DataFrame) -> DataFrame:

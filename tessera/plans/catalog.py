@@ -15,17 +15,17 @@ from pyspark.sql import functions as F
 
 from tessera.functions.render import adjacency_line, route_line
 from tessera.operators import checks, graph, osm, text
-from tessera.plans.stoplist import checked_stoplist, stopwords_df, stopwords_values_sql
+from tessera.plans.stoplist import stopwords_df, stopwords_values_sql
 from tessera.sources import tables as T
 
-CORPORA = ("en", "fr")
+CORPORA = ("en", "other")     # English documents against all others
 TOP_K = 20
 
 
 # ====================================================================== text
 
 def _stop(spark: SparkSession) -> DataFrame:
-    return text.normalize_stopwords(checked_stoplist(stopwords_df(spark)))
+    return text.normalize_stopwords(stopwords_df(spark))
 
 
 def q_word_count(spark, d):
@@ -37,8 +37,8 @@ def q_word_count_no_stopwords(spark, d):
     return text.count_words(text.remove_stopwords(toks, _stop(spark)))
 
 
-def _corpus_counts(spark, d, lang):
-    toks = text.tokenize(T.corpus(spark, d, lang))
+def _corpus_counts(spark, d, side):
+    toks = text.tokenize(T.corpora(spark, d).where(F.col("side") == side).select("value"))
     return text.count_words(text.remove_stopwords(toks, _stop(spark)))
 
 
@@ -54,8 +54,7 @@ def q_common_words_tagged(spark, d):
 
 
 def q_topk_common_words(spark, d):
-    docs = T.table(spark, d, "documents").select(F.col("text").alias("value"), "lang")
-    return text.topk_common_words_by(docs, "lang", CORPORA, stopwords_df(spark), k=TOP_K)
+    return text.topk_common_words_by(T.corpora(spark, d), "side", CORPORA, stopwords_df(spark), k=TOP_K)
 
 
 # ================================================================ road graph
@@ -211,6 +210,12 @@ _TOKENS = r"unnest(string_split_regex(text, '[ \t\n\r\f]+'))"
 _STOP = ("stop AS (SELECT DISTINCT lower(w) AS word FROM (VALUES "
          + stopwords_values_sql() + ") s(w))")
 
+# counts of every word in the English documents and in all others
+_SIDES = f"""
+cnt AS (SELECT word, count(*) FILTER (lang = 'en') AS a, count(*) FILTER (lang IS DISTINCT FROM 'en') AS b
+        FROM (SELECT lang, {_TOKENS} AS word FROM documents) t
+        WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY word)"""
+
 _TEXT = {
     "word_count": f"""
 SELECT word, count(*) AS count
@@ -222,25 +227,14 @@ SELECT word, count(*) AS count
 FROM (SELECT {_TOKENS} AS word FROM documents) t
 WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY word""",
     "common_words": f"""
-WITH {_STOP},
-cnt AS (SELECT lang, word, count(*) AS c
-        FROM (SELECT lang, {_TOKENS} AS word FROM documents WHERE lang IN ('en', 'fr')) t
-        WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY lang, word)
-SELECT a.word, greatest(a.c, b.c) AS count
-FROM cnt a JOIN cnt b ON a.word = b.word AND a.lang = 'en' AND b.lang = 'fr'""",
+WITH {_STOP}, {_SIDES}
+SELECT word, greatest(a, b) AS count FROM cnt WHERE a > 0 AND b > 0""",
     "common_words_tagged": f"""
-WITH {_STOP},
-cnt AS (SELECT lang, word, count(*) AS c
-        FROM (SELECT lang, {_TOKENS} AS word FROM documents WHERE lang IN ('en', 'fr')) t
-        WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY lang, word)
-SELECT word, max(c) AS count FROM cnt GROUP BY word HAVING count(DISTINCT lang) >= 2""",
+WITH {_STOP}, {_SIDES}
+SELECT word, greatest(a, b) AS count FROM cnt WHERE a > 0 AND b > 0""",
     "topk_common_words": f"""
-WITH {_STOP},
-cnt AS (SELECT lang, word, count(*) AS c
-        FROM (SELECT lang, {_TOKENS} AS word FROM documents WHERE lang IN ('en', 'fr')) t
-        WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY lang, word)
-SELECT a.word, greatest(a.c, b.c) AS count
-FROM cnt a JOIN cnt b ON a.word = b.word AND a.lang = 'en' AND b.lang = 'fr'
+WITH {_STOP}, {_SIDES}
+SELECT word, greatest(a, b) AS count FROM cnt WHERE a > 0 AND b > 0
 ORDER BY count DESC, word DESC LIMIT 20""",
 }
 

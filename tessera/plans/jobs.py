@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import graph, osm, text
-from tessera.plans.stoplist import checked_stoplist
 from tessera.sinks import text as sinks
 from tessera.sources import osm as osm_src
 from tessera.sources import text as text_src
@@ -22,7 +21,7 @@ def word_count_job(spark: SparkSession, input_path: str, output_path: str | None
 def topk_common_words_job(spark: SparkSession, input_a: str, input_b: str, stopwords: str,
                           output_path: str | None = None, k: int = 20) -> DataFrame:
     """Top-k words common to two corpora after stop-word removal."""
-    stop = checked_stoplist(text_src.read_stopwords(spark, stopwords))
+    stop = text_src.read_stopwords(spark, stopwords)
     top = text.topk_common_words(text_src.read_lines(spark, input_a),
                                  text_src.read_lines(spark, input_b), stop, k=k)
     if output_path:

@@ -1,4 +1,4 @@
-"""Stop lists as small, size-checked DataFrames."""
+"""Stop lists as DataFrames."""
 
 from __future__ import annotations
 
@@ -17,10 +17,6 @@ DEFAULT_STOPWORDS = (
     "were", "what", "when", "which", "who", "will", "with", "would", "you", "your",
 )
 
-# A stop list is a dictionary, not data: refuse to broadcast one larger than this.
-MAX_STOPWORDS = 1_000_000
-
-
 def stopwords_df(spark: SparkSession, words=DEFAULT_STOPWORDS) -> DataFrame:
     """One-column ``(word)`` DataFrame of the given words.
 
@@ -31,14 +27,6 @@ def stopwords_df(spark: SparkSession, words=DEFAULT_STOPWORDS) -> DataFrame:
         F.explode(F.array(*[F.lit(w) for w in words])).alias("word"))
 
 
-def checked_stoplist(stop: DataFrame, max_rows: int = MAX_STOPWORDS) -> DataFrame:
-    """Return ``stop`` after proving it is small enough to broadcast."""
-    n = stop.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"stop list has more than {max_rows} entries; not a dictionary")
-    return stop
-
-
 def stopwords_values_sql(words=DEFAULT_STOPWORDS) -> str:
     """SQL ``VALUES`` list of the words, for oracles."""
     return ", ".join("('" + w.replace("'", "''") + "')" for w in words)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,13 @@ def corpus(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFra
     return docs.select(F.col("text").alias("value"))
 
 
+def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(value, side)`` of every document: side ``en`` for English, ``other`` for the rest."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("text").alias("value"),
+        F.when(F.col("lang") == "en", F.lit("en")).otherwise(F.lit("other")).alias("side"))
+
+
 def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(way_id, tag array<struct<_k,_v>>)`` from ``orders``.
 
@@ -102,8 +110,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
     """Register the parquet tables found in ``sf_dir`` as temp views for SQL."""
     done = []
     for name in names:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            spark.read.parquet(path).createOrReplaceTempView(name)
-            done.append(name)
+        try:
+            found = table(spark, sf_dir, name)
+        except AnalysisException as e:      # any store that Spark reads: it says what is not there
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found.createOrReplaceTempView(name)
+        done.append(name)
     return done

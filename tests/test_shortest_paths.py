@@ -2,6 +2,7 @@ import heapq
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import graph
 
@@ -136,3 +137,24 @@ def test_compaction_every_round_pair(spark, track):
             assert not r.reachable
         else:
             assert (r.distance, list(r.path)) == want
+
+
+def test_antipodal_nodes_keep_their_route_with_pruning(spark):
+    """Rounding takes the haversine term over 1 there; the distance must stay a number."""
+    from tessera.functions.geo import haversine_m
+    from tessera.operators.graph import shortest_paths
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, -89.985, -100.0), (3, 89.985, 80.0)],
+                                  "_id long, _lat double, _lon double")
+    d = spark.range(1).select(haversine_m(F.lit(-89.985), F.lit(-100.0), F.lit(89.985), F.lit(80.0))).first()[0]
+    assert abs(d - 6371000 * 3.141592653589793) < 50_000
+    edges = spark.createDataFrame([(1, 2, 1e7), (2, 3, d)], "src long, dst long, distance double")
+    query = spark.createDataFrame([(1, 1, 3)], "query_id long, src long, dst long")
+    for coords in (None, nodes):
+        assert [list(r.path) for r in shortest_paths(edges, query, coords=coords).collect()] == [[1, 2, 3]]
+
+
+def test_weights_that_are_no_numbers_are_refused(spark):
+    edges = spark.createDataFrame([(1, 2, float("nan"))], "src long, dst long, distance double")
+    query = spark.createDataFrame([(1, 1, 2)], "query_id long, src long, dst long")
+    with pytest.raises(ValueError, match="numbers"):
+        graph.shortest_paths(edges, query)

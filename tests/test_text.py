@@ -121,10 +121,10 @@ def test_write_counts_ordered_by_word(spark, scratch):
     assert [r.value for r in spark.read.text(out).collect()] == ["B\t2", "a\t3", "b\t1"]
 
 
-def test_checked_stoplist_refuses_oversized_lists(spark):
-    import pytest
-    from tessera.plans.stoplist import checked_stoplist
-    big = spark.range(11).selectExpr("cast(id as string) as word")
-    assert checked_stoplist(big, max_rows=11).count() == 11
-    with pytest.raises(ValueError):
-        checked_stoplist(big, max_rows=10)
+def test_long_stop_list_drops_its_words_and_no_others(spark):
+    from tessera.operators.text import normalize_stopwords, remove_stopwords
+    stop = normalize_stopwords(spark.range(200_000).selectExpr("concat('W', id) AS word"))
+    words = spark.createDataFrame([("w7",), ("W7",), ("w199999",), ("w200000",)], "word string")
+    assert sorted(r[0] for r in remove_stopwords(words, stop).collect()) == ["W7", "w200000"]
+
+
