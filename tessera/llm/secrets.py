@@ -52,7 +52,7 @@ KEY_ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUV
                  ALPHABET[:62], ALPHABET[:62] + "+/", ALPHABET[:62] + "_-")
 RANDOM_STRINGS = 600            # of each alphabet
 UNIFORM = 0.03
-THRESHOLD = 0.5                 # log-likelihood ratio a character
+THRESHOLD = 0.4                 # log-likelihood ratio a character
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
