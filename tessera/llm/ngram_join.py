@@ -50,7 +50,7 @@ from tessera.llm.shingles import SizeClasses, shingle_set
 BLOCK_ROWS = 384
 BLOCK_SHINGLES = 1_000_000
 MEMBER_BUCKETS = 1 << 20
-POOL_KEYS = 2_000_000       # keys that a map task holds before it deals them out
+POOL_KEYS = 500_000       # keys that a map task holds before it deals them out
 MU = 0.0085     # DivideSkip's weight of a list's logarithm
 
 

@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import xxhash
 
-MAX_WORDS_CACHED = 400_000
+MAX_WORDS_CACHED = 200_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
