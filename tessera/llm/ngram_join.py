@@ -40,14 +40,14 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import map_batches, materialise, partitions_for, pick, table
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import SizeClasses, shingle_set
 
-BLOCK_ROWS = 384
+BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1_000_000
 MEMBER_BUCKETS = 1 << 20
 POOL_KEYS = 500_000       # keys that a map task holds before it deals them out
@@ -245,16 +245,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = materialise(_shared_keys(docs, classes, width), "shared")
     cls = F.shiftrightunsigned(F.shiftleft("key", 56), 56).cast("int")
     shared = shared.withColumn("cls", cls)
-    counts = shared.groupBy("owner", "cls").agg(F.count(F.lit(1)).alias("n_shared"))
+    # a set has a bounded number of keys in a class: one exchange serves the count and both joins
+    counts = shared.withColumn("n_shared", F.count(F.lit(1)).over(Window.partitionBy("owner", "cls")))
     asked = heads.select(F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("o"), "rep",
                          F.explode("needs").alias("c", "need"))
     staying = materialise(counts.join(asked, (F.col("owner") == F.col("o")) & (F.col("cls") == F.col("c"))
-                                      & (F.col("n_shared") >= F.col("need"))).select("o", "c", "rep"), "staying")
+                                      & (F.col("n_shared") >= F.col("need"))).select("key", "c", "rep"), "staying")
     # a block holds sets of one size class; a node is a set in a class
     node = F.xxhash64("rep", "c")
-    keyed = (shared.join(staying, (F.col("owner") == F.col("o")) & (F.col("cls") == F.col("c")))
-             .select("key", node.alias("node")))
-    keyed = materialise(keyed, "keyed")
+    keyed = staying.select("key", node.alias("node"))
     hubs = (keyed.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("lo"), F.max("node").alias("most"))
             .where("lo < most").select("k", "lo"))
     edges = (keyed.join(hubs, F.col("key") == F.col("k")).where("node > lo")
