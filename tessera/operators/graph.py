@@ -15,10 +15,12 @@ node on its own path), so zero-weight edges and self loops cannot cycle.
 
 Scale notes:
 
-* Edges are hash-partitioned by source once and cached, so each round
-  shuffles only the frontier. A node whose out-degree exceeds ``fanout`` is
-  split into ``ceil(degree / fanout)`` buckets and its frontier rows are
+* Edges are hash-partitioned by ``(source, bucket)`` once and cached, so each
+  round shuffles only the frontier. A node has ``ceil(degree / fanout)``
+  buckets, known before the first repartition, and its frontier rows are
   replicated per bucket: a hub never lands whole in one task.
+* No join carries a size switch: the planner picks broadcast or shuffle from
+  the measured size of the written tables.
 * Candidates are pre-aggregated per ``(query_id, node)`` inside each map task
   (partial aggregation) before the shuffle.
 * Labels are append-only versions: each round writes only the labels it
@@ -42,16 +44,12 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_m
-from tessera.session import default_parallelism, scratch_path, write_read
-
-# Largest number of route queries whose per-query bound table (query_id,
-# distance: 16 bytes a row) we broadcast; above it the bound is shuffle-joined.
-BOUND_BROADCAST_MAX_QUERIES = 2_000_000
-# Largest backward-seed table (query, node, distance-to-destination) that is
-# broadcast to every relaxation; above it seeding is skipped.
-SEED_BROADCAST_MAX_ROWS = 5_000_000
-# Target size of a cached edge partition (rows of (src, dst, weight[, coords])).
+from tessera.session import scratch_path, write_read
+
+# Target size of an edge partition (rows of (src, dst, weight[, coords])).
 EDGES_PER_PARTITION = 200_000
+# Out-edges of one node that share a bucket.
+FANOUT = 100_000
 
 log = logging.getLogger("tessera.graph")
 
@@ -64,15 +62,16 @@ ASTAR_ABS_SLACK_M = 1e-6
 # ------------------------------------------------------------------ adjacency
 
 def adjacency(edges: DataFrame) -> DataFrame:
-    """``(node, neighbors array<long>)`` sorted numerically, ordered by node.
+    """``(node, neighbors array<long>)``, neighbours sorted numerically.
+
+    Node order is the sink's work (``sinks.text.write_adjacency``).
 
     Every edge source is a node; a source whose only edges have a null target
     gets an empty list. Edges are expected de-duplicated (``build_edges``);
     ``collect_set`` guards against repeats anyway.
     """
     return (edges.groupBy(F.col("src").alias("node"))
-            .agg(F.array_sort(F.collect_set("dst")).alias("neighbors"))
-            .orderBy("node"))
+            .agg(F.array_sort(F.collect_set("dst")).alias("neighbors")))
 
 
 # ---------------------------------------------------------------- edge weight
@@ -100,8 +99,14 @@ def weight_edges(edges: DataFrame, nodes: DataFrame, id_col: str = "_id",
 # ------------------------------------------------------------ route queries
 
 def valid_queries(queries: DataFrame, vertices: DataFrame, id_col: str = "id") -> DataFrame:
-    """Queries whose source and destination both exist among ``vertices``."""
+    """Queries whose source and destination both exist among ``vertices``.
+
+    The vertices are narrowed to the queries' end points first: that semi join
+    has the queries on the side that the planner may broadcast.
+    """
+    ends = queries.select(F.explode(F.array("src", "dst")).alias("_end"))
     v = vertices.select(F.col(id_col).alias("_vid"))
+    v = v.join(ends, v["_vid"] == ends["_end"], "left_semi")
     return (queries.join(v, queries["src"] == v["_vid"], "left_semi")
             .join(v, queries["dst"] == v["_vid"], "left_semi"))
 
@@ -110,88 +115,55 @@ def valid_queries(queries: DataFrame, vertices: DataFrame, id_col: str = "id") -
 
 def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int | None = None,
                   num_partitions: int | None = None, check_negative: bool = True,
-                  coords: DataFrame | None = None) -> DataFrame:
-    """Weighted edges ready for relaxation, cached and co-partitioned.
-
-    Returns a persisted DataFrame (the caller unpersists it):
-
-    * ``(_from, _to, _w)`` hash-partitioned by ``_from`` when no node has more
-      than ``fanout`` out-edges (or ``fanout`` is None);
-    * ``(_from, _bucket, _to, _w, _to_nb)`` hash-partitioned by
-      ``(_from, _bucket)`` otherwise: a hub with ``d`` out-edges gets
-      ``ceil(d / fanout)`` buckets, ``_to_nb`` is the bucket count of the
-      target (how many copies its frontier rows need).
-
-    The upstream edge plan runs once: the partitioned copy is cached, the
-    smallest weight is observed while filling the cache, and degrees are
-    aggregated from the cache without another shuffle. Null endpoints and
-    weights are dropped. With ``coords`` (``_id, _lat, _lon``) the target's
+                  coords: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Weighted edges ready for relaxation, and the hubs: ``(edges, hubs)``.
+
+    ``edges``: ``(_from, _bucket, _to, _w, _to_nb)`` hash-partitioned by
+    ``(_from, _bucket)``; a node with ``d`` out-edges has ``ceil(d / fanout)``
+    buckets and ``_to_nb`` is the bucket count of the target (how many copies
+    its frontier rows need). ``hubs``: ``(_node, _nb)`` of the nodes with more
+    than one bucket, at most one for each ``fanout`` edges.
+
+    The upstream edge plan runs once into a table, where weights are checked
+    and edges counted on the way; degrees are aggregated from it (map-side
+    first) before anything is dealt out by source. Null endpoints and weights
+    are dropped. With ``coords`` (``_id, _lat, _lon``) the target's
     coordinates ride along as ``_to_lat``/``_to_lon`` for goal-directed
-    pruning. Without ``num_partitions`` the session's shuffle partition
-    count is used, reduced to about ``EDGES_PER_PARTITION`` edges a
-    partition when that count is far too large for the graph.
+    pruning. Without ``num_partitions`` there is a partition for each
+    ``EDGES_PER_PARTITION`` edges, and one for each core at least.
     """
     spark = edges.sparkSession
-    n = num_partitions or default_parallelism(spark)
+    fanout = fanout or FANOUT
+    scratch = scratch_path(spark, "edges")
     e = (edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
                       F.col(weight_col).cast("double").alias("_w"))
          .where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & F.col("_w").isNotNull()))
+    geo = []
     if coords is not None:
+        geo = ["_to_lat", "_to_lon"]
         c = coords.select(F.col("_id").alias("_cid"), F.col("_lat").alias("_to_lat"),
                           F.col("_lon").alias("_to_lon"))
         e = e.join(c, e["_to"] == c["_cid"], "left").drop("_cid")
-    e = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation("edge_weights")
-    e.observe(obs, F.min("_w").alias("min_w"), F.max("_w").alias("max_w"), F.count(F.lit(1)).alias("n")).count()
+    e = write_read(e, f"{scratch}/all", obs, [F.min("_w").alias("min_w"), F.max("_w").alias("max_w"),
+                                              F.count(F.lit(1)).alias("n")])
     min_w, max_w = obs.get["min_w"], obs.get["max_w"]
     if max_w is not None and math.isnan(max_w):     # NaN sorts above every number
-        e.unpersist()
         raise ValueError("shortest paths need edge weights that are numbers")
     if check_negative and min_w is not None and min_w < 0:
-        e.unpersist()
         raise ValueError("shortest paths need non-negative edge weights")
-    if num_partitions is None:
-        # every round touches every edge partition: size them by the edge
-        # count when the session's partition count is far too large
-        fit = max(spark.sparkContext.defaultParallelism,
-                  -(-obs.get["n"] // EDGES_PER_PARTITION))
-        if fit * 2 <= n:
-            n = fit
-            smaller = e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
-            smaller.count()
-            e.unpersist()
-            e = smaller
-    if not fanout:
-        return e
-    deg = e.groupBy("_from").agg(F.count(F.lit(1)).alias("_deg"))
-    max_deg = deg.agg(F.max("_deg")).first()[0] or 0
-    if max_deg <= fanout:
-        return e               # no hub: plain partitioning by source
-    nb = deg.select(F.col("_from").alias("_node"),
-                    F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(fanout))).cast("int").alias("_nb"))
-    b = (e.join(nb.withColumnRenamed("_nb", "_from_nb"), e["_from"] == nb["_node"], "left").drop("_node")
-         .join(nb.withColumnRenamed("_nb", "_to_nb"), e["_to"] == nb["_node"], "left").drop("_node"))
-    geo = ["_to_lat", "_to_lon"] if coords is not None else []
-    b = b.select("_from", "_to", "_w", *geo,
-                 F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
-                 F.coalesce("_to_nb", F.lit(1)).cast("int").alias("_to_nb"))
-    b = (b.repartition(n, "_from", "_bucket").select("_from", "_bucket", "_to", "_w", "_to_nb", *geo)
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    b.count()
-    e.unpersist()
-    return b
-
-
-def is_bucketed(prepared: DataFrame) -> bool:
-    return "_bucket" in prepared.columns
-
-
-def node_buckets(prepared: DataFrame) -> DataFrame | None:
-    """``(_node, _nb)``: bucket count of every node with out-edges (bucketed edges only)."""
-    if not is_bucketed(prepared):
-        return None
-    return prepared.groupBy(F.col("_from").alias("_node")).agg(F.max("_bucket").alias("_mb")) \
-        .select("_node", (F.col("_mb") + 1).cast("int").alias("_nb"))
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, -(-obs.get["n"] // EDGES_PER_PARTITION))
+    hubs = write_read(e.groupBy(F.col("_from").alias("_node")).agg(F.count(F.lit(1)).alias("_deg"))
+                      .where(F.col("_deg") > fanout)
+                      .select("_node", F.ceil(F.col("_deg") / F.lit(fanout)).cast("int").alias("_nb")),
+                      f"{scratch}/hubs")
+    of = hubs.select(F.col("_node").alias("_hub"), F.col("_nb").alias("_from_nb"))
+    to = hubs.select(F.col("_node").alias("_hub"), F.col("_nb").alias("_to_nb"))
+    b = (e.join(of, e["_from"] == of["_hub"], "left").drop("_hub")
+         .join(to, e["_to"] == to["_hub"], "left").drop("_hub"))
+    b = b.select("_from", F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
+                 "_to", "_w", F.coalesce("_to_nb", F.lit(1)).cast("int").alias("_to_nb"), *geo)
+    return b.repartition(n, "_from", "_bucket"), hubs
 
 
 STATE_COLS = ["query_id", "node", "distance", "path", "_nb", "_target"]
@@ -204,27 +176,19 @@ def _label_order(cols) -> list[str]:
     return ["distance", "path"] if "path" in cols else ["distance", "hops", "pred"]
 
 
-def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = None,
-          broadcast_bound: bool = True) -> DataFrame:
+def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = None) -> DataFrame:
     """One message-passing step: best candidate label per ``(query_id, node)``.
 
     ``frontier``: ``STATE_COLS`` (path labels) or ``PRED_COLS`` (predecessor
-    labels). Each frontier row is replicated to its node's buckets, joined
-    to the out-edges, extended by one hop (path labels keep simple paths
-    only), filtered by the per-query bound when given, then reduced with the
-    lexicographic minimum of ``(distance, path)`` or ``(distance, hops,
-    pred)``.
+    labels); ``prepared``: edges of ``prepare_edges``. Each frontier row is
+    replicated to its node's buckets, joined to the out-edges, extended by one
+    hop (path labels keep simple paths only), filtered by the per-query bound
+    when given, then reduced with the lexicographic minimum of ``(distance,
+    path)`` or ``(distance, hops, pred)``.
     """
     cols = PRED_COLS if "pred" in frontier.columns else STATE_COLS
-    if is_bucketed(prepared):
-        f = frontier.select(*cols,
-                            F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
-        j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]),
-                   "inner")
-        to_nb = F.col("_to_nb")
-    else:
-        j = frontier.join(prepared, frontier["node"] == prepared["_from"], "inner")
-        to_nb = F.lit(1)
+    f = frontier.select(*cols, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
+    j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]), "inner")
     geo = [F.col("_to_lat"), F.col("_to_lon")] if "_to_lat" in prepared.columns else []
     if cols is STATE_COLS:
         j = j.where(~F.array_contains("path", F.col("_to")))
@@ -234,10 +198,9 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
     cand = j.select(
         "query_id", F.col("_to").alias("node"),
         (F.col("distance") + F.col("_w")).alias("distance"),
-        *ext, to_nb.alias("_nb"), "_target", *geo)
+        *ext, F.col("_to_nb").alias("_nb"), "_target", *geo)
     if bound is not None:
-        b = F.broadcast(bound) if broadcast_bound else bound
-        cand = cand.join(b, "query_id", "left")
+        cand = cand.join(bound, "query_id", "left")
         if geo and "_t_lat" in bound.columns:
             # goal-directed: distance so far + great-circle distance still to
             # go is a lower bound of any route through this candidate
@@ -252,22 +215,6 @@ def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = No
     return current_labels(cand)
 
 
-def merge_labels(state: DataFrame, best: DataFrame) -> DataFrame:
-    """Full outer merge on ``(query_id, node)``; adds ``_improved``.
-
-    A candidate replaces the current label only if strictly smaller as
-    ``(distance, path)``; otherwise the current label is kept.
-    """
-    s = state.select(*[F.col(c).alias("s" + c) for c in STATE_COLS])
-    b = best.select(*[F.col(c).alias("b" + c) for c in STATE_COLS])
-    j = s.join(b, (s["squery_id"] == b["bquery_id"]) & (s["snode"] == b["bnode"]), "full_outer")
-    better = F.col("bnode").isNotNull() & (
-        F.col("snode").isNull()
-        | (F.struct(F.col("bdistance"), F.col("bpath")) < F.struct(F.col("sdistance"), F.col("spath"))))
-    return j.select(*[F.when(better, F.col("b" + c)).otherwise(F.col("s" + c)).alias(c) for c in STATE_COLS],
-                    better.alias("_improved"))
-
-
 def current_labels(versions: DataFrame) -> DataFrame:
     """Best label per ``(query_id, node)`` over all written label versions."""
     order = _label_order(versions.columns)
@@ -317,8 +264,7 @@ def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
     return best.join(cur, cond, "left_anti")
 
 
-def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str,
-                  broadcast_walkers: bool = True) -> DataFrame:
+def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str) -> DataFrame:
     """Paths of reached destinations from predecessor labels.
 
     ``found``: ``(query_id, node, hops)`` per reached destination;
@@ -334,8 +280,7 @@ def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str,
     k = 0
     while True:
         k += 1
-        w = F.broadcast(step) if broadcast_walkers else step
-        nxt = (w.join(lab, ["query_id", "node"]).where(F.col("pred").isNotNull())
+        nxt = (step.join(lab, ["query_id", "node"]).where(F.col("pred").isNotNull())
                .select("query_id", F.col("pred").alias("node"), (F.col("pos") - 1).alias("pos")))
         obs = Observation(f"sp_walk_{k}")
         step = write_read(nxt, f"{scratch}/walk-{k}", obs, [F.count(F.lit(1)).alias("n")])
@@ -350,7 +295,7 @@ def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str,
 
 def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
                    vertices: DataFrame | None = None, vertex_id: str = "id",
-                   fanout: int | None = 100_000, prune: bool = True,
+                   fanout: int | None = None, prune: bool = True,
                    num_partitions: int | None = None, compact_every: int = 24,
                    coords: DataFrame | None = None, heuristic_scale: float = 1.0,
                    seed_hops: int = 2, track: str = "path") -> DataFrame:
@@ -401,46 +346,63 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         # destination coordinates for goal-directed pruning, landed with the queries
         c = coords.select(F.col("_id").alias("_tid"), F.col("_lat").alias("_t_lat"),
                           F.col("_lon").alias("_t_lon"))
+        ends = q_all.select(F.col("dst").alias("_end"))
+        c = c.join(ends, c["_tid"] == ends["_end"], "left_semi")    # few: the planner may broadcast them
         q = q.join(c, q["dst"] == c["_tid"], "left").drop("_tid")
     obs = Observation("sp_queries")
     q = write_read(q, f"{scratch}/valid", obs, [F.count(F.lit(1)).alias("n")])
     n_queries = obs.get["n"]
     log.info("shortest_paths: %d valid queries (%.2fs)", n_queries, time.perf_counter() - t_start)
 
-    # Edges are the largest static input: partition them by source (and
-    # bucket, for hubs) once and keep them cached, so rounds shuffle only the
-    # frontier. Lost cache blocks are recomputed from the (deterministic)
-    # edge plan.
-    prepared = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions,
-                             coords=coords if prune else None)
-    nbs = node_buckets(prepared)
-    log.info("shortest_paths: edges prepared, bucketed=%s (%.2fs)", is_bucketed(prepared),
-             time.perf_counter() - t_start)
+    # Edges are the largest static input: dealt out by source and bucket once
+    # and kept cached, so rounds shuffle only the frontier. Lost cache blocks
+    # are recomputed from the written edges.
+    prepared, hubs = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions,
+                                   coords=coords if prune else None)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    log.info("shortest_paths: edges prepared (%.2fs)", time.perf_counter() - t_start)
+    try:
+        versions, label_schema = _search(spark, prepared, hubs, q, n_queries, label_cols, track, prune, goal,
+                                         seed_hops, heuristic_scale, compact_every, scratch)
+    finally:
+        prepared.unpersist()
 
+    labels = spark.read.schema(label_schema).parquet(*versions)
+    if track == "path":
+        found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
+            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
+            F.col("path").alias("_path"))
+    else:
+        final = write_read(current_labels(labels), f"{scratch}/final")
+        reached = write_read(final.where(F.col("node") == F.col("_target")), f"{scratch}/reached")
+        paths = rebuild_paths(reached, final, f"{scratch}/walk")
+        found = reached.join(paths, "query_id").select(
+            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
+            F.col("path").alias("_path"))
+    return (q_all.join(found, q_all["query_id"] == found["_qid"], "left")
+            .select("query_id", "src", "dst", F.col("_qid").isNotNull().alias("reachable"),
+                    F.col("_dist").alias("distance"), F.col("_path").alias("path")))
+
+
+def _search(spark, prepared, hubs, q, n_queries, label_cols, track, prune, goal, seed_hops, heuristic_scale,
+            compact_every, scratch):
+    """Rounds of ``shortest_paths``: the folders of the label versions and their schema."""
     seeds = None
     if prune and seed_hops > 0 and n_queries > 0:
-        obs = Observation("sp_seeds")
         seeds = write_read(
             backward_seeds(q.select("query_id", F.col("dst").alias("node"), F.lit(0.0).alias("_db")),
                            prepared, seed_hops),
-            f"{scratch}/seeds", obs, [F.count(F.lit(1)).alias("n")])
-        n_seeds = obs.get["n"]
-        log.info("shortest_paths: %d backward seeds (%.2fs)", n_seeds, time.perf_counter() - t_start)
-        if n_seeds > SEED_BROADCAST_MAX_ROWS:
-            seeds = None
+            f"{scratch}/seeds")
 
     def with_db(labels_df: DataFrame) -> DataFrame:
         """Attach ``_db``: the node's distance to the query's destination, if known."""
         if seeds is None:
             return labels_df.withColumn(
                 "_db", F.when(F.col("node") == F.col("_target"), F.lit(0.0)))
-        return labels_df.join(F.broadcast(seeds), ["query_id", "node"], "left")
+        return labels_df.join(seeds, ["query_id", "node"], "left")
 
-    if nbs is not None:
-        q = q.join(nbs, q["src"] == nbs["_node"], "left")
-        nb_col = F.coalesce("_nb", F.lit(1))
-    else:
-        nb_col = F.lit(1)
+    q = q.join(hubs, q["src"] == hubs["_node"], "left")
+    nb_col = F.coalesce("_nb", F.lit(1))
     if track == "path":
         ext = [F.array(F.col("src")).alias("path")]
     else:
@@ -451,7 +413,6 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     delta = write_read(init, versions[0])
     label_schema = delta.schema
     frontier_n = n_queries
-    broadcast_bound = n_queries <= BOUND_BROADCAST_MAX_QUERIES
     # Per-query bound: best distance found so far to the query's destination.
     # It only changes in rounds that improve some destination label (counted
     # while writing the delta), so it is rebuilt -- a tiny table -- only then.
@@ -478,7 +439,7 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
             bound_vals = write_read(closed, f"{scratch}/bound-{rounds}")
             bound = (targets.join(bound_vals, "query_id", "left") if targets is not None
                      else bound_vals)
-        best = with_db(relax(delta.select(*label_cols), prepared, bound, broadcast_bound))
+        best = with_db(relax(delta.select(*label_cols), prepared, bound))
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
         delta = write_read(improvements(best, labels), path, obs,
@@ -493,35 +454,25 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
             versions = [compacted, path]
         log.info("shortest_paths round %d: %d labels improved (%.2fs)",
                  rounds, frontier_n, time.perf_counter() - t_round)
-    prepared.unpersist()
-
-    labels = spark.read.schema(label_schema).parquet(*versions)
-    if track == "path":
-        found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
-            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
-            F.col("path").alias("_path"))
-    else:
-        final = write_read(current_labels(labels), f"{scratch}/final")
-        reached = write_read(final.where(F.col("node") == F.col("_target")), f"{scratch}/reached")
-        paths = rebuild_paths(reached, final, f"{scratch}/walk", broadcast_bound)
-        found = reached.join(paths, "query_id").select(
-            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
-            F.col("path").alias("_path"))
-    return (q_all.join(found, q_all["query_id"] == found["_qid"], "left")
-            .select("query_id", "src", "dst", F.col("_qid").isNotNull().alias("reachable"),
-                    F.col("_dist").alias("distance"), F.col("_path").alias("path")))
+    return versions, label_schema
 
 
 # ---------------------------------------------------------------- geometry
 
+def locate(points: DataFrame, nodes: DataFrame, ref_col: str = "ref", id_col: str = "_id",
+           lat_col: str = "_lat", lon_col: str = "_lon") -> DataFrame:
+    """``points`` with ``lat, lon`` of the node ``ref_col``; unknown nodes drop out."""
+    n = nodes.select(F.col(id_col).alias("_ref"), F.col(lat_col).alias("lat"), F.col(lon_col).alias("lon"))
+    return points.join(n, points[ref_col] == n["_ref"]).drop("_ref")
+
+
 def route_geometry(routes: DataFrame, nodes: DataFrame, key: str = "query_id",
                    path_col: str = "path", id_col: str = "_id", lat_col: str = "_lat",
-                   lon_col: str = "_lon") -> DataFrame:
-    """``(key, pos, lat, lon)``: the ordered coordinates of every route."""
-    pts = routes.select(key, F.posexplode(path_col).alias("pos", "_ref"))
-    n = nodes.select(F.col(id_col).alias("_ref"), F.col(lat_col).alias("lat"),
-                     F.col(lon_col).alias("lon"))
-    return pts.join(n, "_ref").select(key, F.col("pos").cast("long").alias("pos"), "lat", "lon")
+                   lon_col: str = "_lon", extra: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, *extra, pos, lat, lon)``: the ordered coordinates of every route."""
+    pts = routes.select(key, *extra, F.posexplode(path_col).alias("pos", "_point"))
+    return locate(pts, nodes, "_point", id_col, lat_col, lon_col).select(
+        key, *extra, F.col("pos").cast("long").alias("pos"), "lat", "lon")
 
 
 def route_tracks(geometry: DataFrame, key: str = "query_id", name_col: str | None = None) -> DataFrame:

@@ -6,9 +6,8 @@ Two input shapes are supported:
   source). Consecutive refs are paired inside the row with array functions:
   no shuffle at all, and a way can never be split across tasks.
 * *row ways* -- one row per (way, ref) with explicit order columns (ways
-  derived from tables). Pairing uses ``sequence_groups``: a window per way
-  when the largest way is provably small, otherwise range-partitioned so one
-  enormous way is spread over many balanced tasks.
+  derived from tables). Pairing uses ``sequence_groups``, range-partitioned so
+  one enormous way is spread over many balanced tasks.
 
 Edge semantics (``build_edges``): keep ways tagged ``highway``; a way is
 one-way iff it carries the tag ``oneway=yes`` exactly (``-1``, ``true``,
@@ -25,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.sequence import MAX_GROUP_ROWS, sequence_groups
+from tessera.operators.sequence import sequence_groups
 
 # OSM tag keys/values with meaning for routing.
 HIGHWAY_KEY = "highway"
@@ -113,31 +112,27 @@ def _edges_from_pairs(pairs: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ row ways
 
 def way_nodes_rows(refs: DataFrame, order_cols: list[str], way_col: str = "way_id",
-                   ref_col: str = "ref", num_partitions: int | None = None,
-                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                   ref_col: str = "ref", num_partitions: int | None = None) -> DataFrame:
     """Row ways -> ``(way_id, pos, ref)`` with a skew-safe 0-based position."""
     seq = sequence_groups(refs.select(way_col, *order_cols, ref_col), [way_col], order_cols,
-                          pos_col="pos", num_partitions=num_partitions,
-                          max_group_rows=max_group_rows)
+                          pos_col="pos", num_partitions=num_partitions)
     return seq.select(F.col(way_col).alias("way_id"), "pos", F.col(ref_col).alias("ref"))
 
 
 def consecutive_edges_rows(refs: DataFrame, order_cols: list[str], way_col: str = "way_id",
                            ref_col: str = "ref", extra: tuple[str, ...] = (),
-                           num_partitions: int | None = None,
-                           max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                           num_partitions: int | None = None) -> DataFrame:
     """Row ways -> ``(way_id, *extra, src, dst)``: each ref and its successor."""
     seq = sequence_groups(refs.select(way_col, *order_cols, ref_col, *extra), [way_col],
                           order_cols, value_col=ref_col, next_col="_next",
-                          num_partitions=num_partitions, max_group_rows=max_group_rows)
+                          num_partitions=num_partitions)
     return seq.select(F.col(way_col).alias("way_id"), *extra,
                       F.col(ref_col).alias("src"), F.col("_next").alias("dst"))
 
 
 def build_edges_rows(ways: DataFrame, refs: DataFrame, order_cols: list[str],
                      way_id: str = "way_id", tag_col: str = "tag", ref_col: str = "ref",
-                     num_partitions: int | None = None,
-                     max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """Directed, de-duplicated edge list ``(src, dst)`` from row ways.
 
     ``ways`` holds ``(way_id, tag)`` (one row per way) and ``refs`` holds
@@ -149,6 +144,6 @@ def build_edges_rows(ways: DataFrame, refs: DataFrame, order_cols: list[str],
     # Pair first (range sampling then scans only the ref columns), then keep
     # the pairs of highway ways and attach their one-way flag.
     pairs = consecutive_edges_rows(refs, order_cols, way_col=way_id, ref_col=ref_col,
-                                   num_partitions=num_partitions, max_group_rows=max_group_rows)
+                                   num_partitions=num_partitions)
     pairs = pairs.join(flags, pairs["way_id"] == flags["_wid"], "inner").drop("_wid")
     return _edges_from_pairs(pairs)

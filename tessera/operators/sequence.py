@@ -4,10 +4,6 @@
 task. If one group holds a third of all rows (one huge way, one hot key),
 that task carries a third of the job. This operator avoids it:
 
-The group sizes are measured first (one partial aggregation). When the
-largest group is provably small, a plain window partitioned by the group is
-used. Otherwise:
-
 1. ``repartitionByRange(P, *group, *order)`` -- the sampled range bounds are
    over the full composite key, so a large group is split across several
    balanced partitions while each partition still holds a contiguous run of
@@ -40,58 +36,23 @@ def _gkey(group_cols):
     return F.struct(*[F.col(c) for c in group_cols])
 
 
-# Largest group (rows) that may be handled whole by one task. A group that
-# big is a few hundred MB at most for the narrow rows sequenced here.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (partial aggregation, one small job)."""
-    n = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return n or 0
-
-
 def sequence_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                     value_col: str | None = None, pos_col: str | None = None,
                     next_col: str | None = None,
-                    num_partitions: int | None = None,
-                    max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Add ``pos_col`` (0-based position in group) and/or ``next_col``.
 
     ``next_col`` is ``value_col`` of the following row of the same group in
     ``order_cols`` order, null for the last row of each group. Output has one
     row per input row.
 
-    The largest group is measured first. If it holds at most
-    ``max_group_rows`` rows, a plain ``Window.partitionBy(group)`` is used:
-    no task can receive more than that bound. Otherwise (or with
-    ``max_group_rows=None``) the range-partitioned plan splits large groups
-    across tasks.
+    The input is range-partitioned over group and order and written once, then
+    numbered per range partition: large groups are split across tasks.
     """
     if pos_col is None and next_col is None:
         return df
     if next_col is not None and value_col is None:
         raise ValueError("next_col needs value_col")
-    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
-        return _sequence_by_window(df, group_cols, order_cols, value_col, pos_col, next_col)
-    return _sequence_by_range(df, group_cols, order_cols, value_col, pos_col, next_col,
-                              num_partitions)
-
-
-def _sequence_by_window(df, group_cols, order_cols, value_col, pos_col, next_col) -> DataFrame:
-    """Bounded groups: one window partitioned by the group (one shuffle)."""
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    res = []
-    if next_col is not None:
-        res.append(F.lead(value_col).over(w).alias(next_col))
-    if pos_col is not None:
-        res.append((F.row_number().over(w) - 1).cast("long").alias(pos_col))
-    return df.select(*df.columns, *res)
-
-
-def _sequence_by_range(df, group_cols, order_cols, value_col, pos_col, next_col,
-                       num_partitions) -> DataFrame:
-    """Unbounded groups: range partitions + per-partition window + boundary table."""
     spark = df.sparkSession
     n = num_partitions or default_parallelism(spark)
     group_cols = list(group_cols)

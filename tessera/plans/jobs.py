@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import graph, osm, text
 from tessera.sinks import text as sinks
@@ -62,6 +63,11 @@ def routes_job(spark: SparkSession, osm_path: str, queries_path: str,
     if output_path:
         sinks.write_routes(routes, output_path)
     if gpx_path:
-        geo = graph.route_geometry(routes.where("reachable"), nodes)
-        sinks.write_gpx(graph.route_tracks(geo), gpx_path)
+        sinks.write_gpx(named_tracks(routes, nodes), gpx_path)
     return routes
+
+
+def named_tracks(routes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Track rows of the reachable routes, named ``<src>_<dst>``."""
+    named = routes.where("reachable").withColumn("name", F.concat_ws("_", "src", "dst"))
+    return graph.route_tracks(graph.route_geometry(named, nodes, extra=("name",)), name_col="name")

@@ -53,13 +53,20 @@ def write_routes(routes: DataFrame, path: str, single_file: bool = False,
     _write_text(lines, path, single_file, mode)
 
 
+# Fixed values of the GPX 1.1 format; the creator names this library.
+GPX_ROOT = 'gpx xmlns="http://www.topografix.com/GPX/1/1" version="1.1" creator="tessera"'
+
+
 def write_gpx(tracks: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """GPX-shaped XML: ``<gpx><trk><name/><trkseg><trkpt lat lon/>...``.
+    """GPX 1.1, one file a route: ``<gpx><trk><name/><trkseg><trkpt lat lon/>...``.
 
     ``tracks`` comes from ``graph.route_tracks``. Partitioned by the route
-    key so each route lands in its own folder.
+    key so each route lands in its own folder; coordinates have six decimals.
     """
     key = tracks.columns[0]
-    (tracks.select(key, "name", "trkseg").write.mode(mode).partitionBy(key)
-     .format("xml").option("rootTag", "gpx").option("rowTag", "trk")
+    degrees = lambda p, c: F.format_string("%.6f", p.getField(c)).alias(c)
+    points = F.transform("trkseg.trkpt", lambda p: F.struct(degrees(p, "_lat"), degrees(p, "_lon")))
+    (tracks.select(key, "name", F.struct(points.alias("trkpt")).alias("trkseg"))
+     .write.mode(mode).partitionBy(key)
+     .format("xml").option("rootTag", GPX_ROOT).option("rowTag", "trk")
      .option("attributePrefix", "_").save(path))

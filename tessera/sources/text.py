@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import whitespace_fields
@@ -42,15 +42,15 @@ def tagged_union_kv(a: DataFrame, b: DataFrame, tags: tuple[str, str] = ("f1", "
             .unionByName(b.select("key", "value", F.lit(tags[1]).alias("side"))))
 
 
-def parse_route_queries(lines: DataFrame, col: str = "value") -> DataFrame:
+def parse_route_queries(lines: DataFrame, col: str = "value", id_col: str | None = None) -> DataFrame:
     """Parse ``src dst`` lines (whitespace-separated, extra fields ignored).
 
-    ``query_id`` increases with file order (partition index, then position in
-    the partition), so ordering by it reproduces the input order without a
-    global sort. Ids are unique, not dense. Blank lines are skipped.
+    ``query_id`` is ``id_col``, or else increases in scan order (partition
+    index, then position in the partition). Ids are unique, not dense. Blank
+    lines are skipped.
     """
     f = whitespace_fields(col)
-    return (lines.select(F.monotonically_increasing_id().alias("query_id"), f.alias("_f"))
+    return (lines.select((F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("query_id"), f.alias("_f"))
             .where(F.size("_f") >= 2)
             .select("query_id",
                     F.col("_f").getItem(0).cast("long").alias("src"),
@@ -58,5 +58,19 @@ def parse_route_queries(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def read_route_queries(spark: SparkSession, path: str) -> DataFrame:
-    """Route-query scan: ``(query_id, src, dst)``."""
-    return parse_route_queries(spark.read.text(path))
+    """Route-query scan: ``(query_id, src, dst)``; ids increase with file name, then line.
+
+    An id is the file's rank times 2^40, the offset of the line's block in the
+    file and the line's number in the block. So the ids of one small file are
+    its line numbers from 0. The window that numbers lines holds a block of a
+    file, the one that ranks files holds a row a file.
+    """
+    block = ["_metadata.file_path", "_metadata.file_block_start"]
+    lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("_at"))
+    lines = lines.withColumn("_line", F.row_number().over(
+        Window.partitionBy("file_path", "file_block_start").orderBy("_at")) - 1)
+    ranks = (lines.select(F.col("file_path").alias("_file")).distinct()
+             .withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1))
+    line_id = F.shiftleft(F.col("_rank").cast("long"), 40) + F.col("file_block_start") + F.col("_line")
+    ordered = lines.join(ranks, lines["file_path"] == ranks["_file"])
+    return parse_route_queries(ordered.withColumn("_id", line_id), id_col="_id")

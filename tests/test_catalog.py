@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tessera.plans.catalog import ORACLE_SQL, QUERIES
+from tessera.plans import catalog, files
 
+QUERIES, ORACLE_SQL = catalog.QUERIES | files.QUERIES, catalog.ORACLE_SQL | files.ORACLE_SQL
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "orders", "lineitem", "part", "supplier", "nation"]
 

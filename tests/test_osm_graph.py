@@ -51,11 +51,11 @@ def test_row_ways_match_array_ways(spark):
     rows = ways.select(F.col("_id").alias("way_id"),
                        F.posexplode(F.col("nd").getField("_ref")).alias("seq", "ref"))
     e_rows = osm.build_edges_rows(ways.select(F.col("_id").alias("way_id"), "tag"), rows, ["seq"],
-                                  num_partitions=3, max_group_rows=None)
+                                  num_partitions=3)
     e_arr = osm.build_edges(ways)
     key = lambda r: (r.src, -1 if r.dst is None else r.dst)
     assert sorted(e_rows.collect(), key=key) == sorted(e_arr.collect(), key=key)
-    wn = osm.way_nodes_rows(rows, ["seq"], num_partitions=3, max_group_rows=None)
+    wn = osm.way_nodes_rows(rows, ["seq"], num_partitions=3)
     assert sorted((r.way_id, r.pos, r.ref) for r in wn.collect()) == \
         sorted((r.way_id, r.pos, r.ref) for r in osm.way_nodes(ways).collect())
 
@@ -131,7 +131,8 @@ def test_gpx_tracks_content(spark, scratch):
     out = os.path.join(scratch, "gpx")
     write_gpx(tracks, out)
     text = "".join(r.value for r in spark.read.text(out).collect())
-    assert "<gpx>" in text and "<trk>" in text and 'lat="1.3009"' in text
+    assert 'xmlns="http://www.topografix.com/GPX/1/1" version="1.1"' in text
+    assert "<trk>" in text and 'lat="1.300900" lon="103.770000"' in text
 
 
 def test_sequence_edges_survive_partitioning_choice(spark):
@@ -141,10 +142,9 @@ def test_sequence_edges_survive_partitioning_choice(spark):
                        F.posexplode(F.col("nd").getField("_ref")).alias("seq", "ref"))
     flags = ways.select(F.col("_id").alias("way_id"), "tag")
     key = lambda r: (r.src, -1 if r.dst is None else r.dst)
-    base = sorted(osm.build_edges_rows(flags, rows, ["seq"]).collect(), key=key)  # window plan
-    for n in (1, 2, 5, 11):                                                        # range plan
-        assert sorted(osm.build_edges_rows(flags, rows, ["seq"], num_partitions=n,
-                                           max_group_rows=None).collect(), key=key) == base
+    base = sorted(osm.build_edges_rows(flags, rows, ["seq"]).collect(), key=key)
+    for n in (1, 2, 5, 11):
+        assert sorted(osm.build_edges_rows(flags, rows, ["seq"], num_partitions=n).collect(), key=key) == base
 
 
 def test_route_validation_empty_path(spark):

@@ -12,10 +12,10 @@ def expected(rows):
     return {(r.g, r.o, r.v): (r.pos, None if pd.isna(r.nxt) else int(r.nxt)) for r in df.itertuples()}
 
 
-def run(spark, rows, parts, max_group_rows=None):
+def run(spark, rows, parts):
     df = spark.createDataFrame(rows, "g long, o long, v long")
     out = sequence_groups(df, ["g"], ["o", "v"], value_col="v", pos_col="pos", next_col="nxt",
-                          num_partitions=parts, max_group_rows=max_group_rows)
+                          num_partitions=parts)
     return {(r.g, r.o, r.v): (r.pos, r.nxt) for r in out.collect()}
 
 
@@ -43,9 +43,9 @@ def test_null_group_and_order_keys(spark):
     df = spark.createDataFrame(rows, "g long, o long, v long")
     want = {(None, None, 4): (0, 5), (None, 1, 5): (1, 6), (None, 2, 6): (2, None),
             (1, None, 7): (0, 8), (1, 0, 8): (1, None), (2, 3, 9): (0, None)}
-    for limit in (None, 10):    # range plan, window plan
+    for parts in (1, 4):
         out = sequence_groups(df, ["g"], ["o", "v"], value_col="v", pos_col="pos", next_col="nxt",
-                              num_partitions=4, max_group_rows=limit)
+                              num_partitions=parts)
         got = {(r.g, r.o, r.v): (r.pos, r.nxt) for r in out.collect()}
         # nulls sort first, and a null group key is one group of its own
         assert got == want
@@ -57,9 +57,3 @@ def test_random_partition_counts(spark):
     want = expected(rows)
     for parts in (1, 2, 3, 8, 31):
         assert run(spark, rows, parts) == want
-
-
-def test_window_plan_when_groups_are_bounded(spark):
-    rng = random.Random(9)
-    rows = list({(rng.randrange(50), rng.randrange(20), rng.randrange(10**4)) for _ in range(500)})
-    assert run(spark, rows, 4, max_group_rows=10**6) == expected(rows)

@@ -158,3 +158,16 @@ def test_weights_that_are_no_numbers_are_refused(spark):
     query = spark.createDataFrame([(1, 1, 2)], "query_id long, src long, dst long")
     with pytest.raises(ValueError, match="numbers"):
         graph.shortest_paths(edges, query)
+
+
+def test_hub_is_split_before_it_is_dealt_out(spark):
+    """One node with two thirds of the edges: no partition over twice the mean."""
+    edges = [(0, i, 1.0) for i in range(1, 4001)] + [(i, i + 1, 1.0) for i in range(1, 2001)]
+    e = spark.createDataFrame(edges, "src long, dst long, distance double")
+    prepared, hubs = graph.prepare_edges(e, fanout=50, num_partitions=8)
+    sizes = [r["n"] for r in prepared.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == len(edges) and max(sizes) <= 2 * len(edges) / 8
+    assert [tuple(r) for r in hubs.collect()] == [(0, 80)]
+    q = spark.createDataFrame([(0, 0, 2001), (1, 1, 4)], "query_id long, src long, dst long")
+    got = {r.query_id: list(r.path) for r in graph.shortest_paths(e, q, fanout=50, num_partitions=8).collect()}
+    assert got == {0: [0, 2001], 1: [1, 2, 3, 4]}

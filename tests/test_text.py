@@ -128,3 +128,18 @@ def test_long_stop_list_drops_its_words_and_no_others(spark):
     assert sorted(r[0] for r in remove_stopwords(words, stop).collect()) == ["W7", "w200000"]
 
 
+
+
+def test_route_queries_follow_file_names_and_lines(spark, scratch):
+    import os
+    from tessera.sources.text import read_route_queries
+    folder = os.path.join(scratch, "q")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.txt"), "w") as f:
+        f.write("1 2\n")
+    with open(os.path.join(folder, "b.txt"), "w") as f:
+        f.writelines(f"{i} {i + 1}\n" for i in range(10, 40))
+    got = [(r.src, r.dst) for r in read_route_queries(spark, folder).orderBy("query_id").collect()]
+    assert got == [(1, 2)] + [(i, i + 1) for i in range(10, 40)]
+    one = read_route_queries(spark, os.path.join(folder, "b.txt")).orderBy("query_id").collect()
+    assert [r.query_id for r in one] == list(range(30))
