@@ -436,9 +436,10 @@ def _search(spark, prepared, hubs, q, n_queries, label_cols, track, prune, goal,
             if bound_vals is not None:
                 closed = (bound_vals.unionByName(closed).groupBy("query_id")
                           .agg(F.min("_bound").alias("_bound")))
-            bound_vals = write_read(closed, f"{scratch}/bound-{rounds}")
-            bound = (targets.join(bound_vals, "query_id", "left") if targets is not None
-                     else bound_vals)
+            # one written table: the planner knows its size and need not shuffle the candidates
+            bound = write_read(targets.join(closed, "query_id", "left") if targets is not None else closed,
+                               f"{scratch}/bound-{rounds}")
+            bound_vals = bound.select("query_id", "_bound")
         best = with_db(relax(delta.select(*label_cols), prepared, bound))
         obs = Observation(f"sp_round_{rounds}")
         path = f"{scratch}/round-{rounds}"
