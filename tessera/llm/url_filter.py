@@ -5,8 +5,8 @@ subdomains, or a URL prefix of a host) is blocked or allowed. Each pattern's
 entries become validity intervals; a capture is judged by the entries that
 were active when it was fetched, the longest pattern first.
 
-A capture asks for its host, the parent domains of the host and the prefixes
-of its path, each a row of (key, time). Intervals and asks meet in an as-of
+A capture asks for its host, all parent domains of the host and all prefixes
+of its path, each a row of (key, time); the URL itself bounds their number. Intervals and asks meet in an as-of
 join by key and calendar bucket: an interval is cut at bucket ends, so a
 pattern with very many entries, or one that very many captures ask for,
 spreads over its buckets, and each ask meets only the intervals of its own
@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import pick, table
 
-MAX_LABELS = 6          # levels of a host that are asked for, from the right
-MAX_DIRS = 4            # leading path segments that are asked for
 BUCKET_DAYS = 8
 
 
@@ -41,11 +39,11 @@ def keys_of(url: Column) -> Column:
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(MAX_LABELS))),
+    domains = F.transform(F.sequence(F.lit(1), n),
                           lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     dirs = F.filter(F.split(path, "/"), lambda s: s != "")
-    d = F.least(F.size(dirs), F.lit(MAX_DIRS))
+    d = F.size(dirs)
     prefixes = F.when(d > 0, F.transform(F.sequence(F.lit(1), F.greatest(d, F.lit(1))),
                                          lambda k: F.concat(host, F.lit("/"), F.array_join(F.slice(dirs, 1, k), "/"))))
     return F.when(host != "", F.concat(domains, F.coalesce(prefixes, F.array().cast("array<string>"))))
@@ -139,6 +137,9 @@ def op9_url_filter(spark, sf_dir: str) -> DataFrame:
         F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since"), "blocked")
 
 
+# depths of the SQL only; no host or path of the given tables has as many
+MAX_LABELS = 6
+MAX_DIRS = 4
 _URL = "^[A-Za-z][A-Za-z0-9+.-]*://"
 ORACLE = f"""
 WITH p AS (SELECT page_id, url, TIMESTAMP '{FIRST_FETCH}' + to_hours(CAST(page_id * 7 % 3000 AS INTEGER)) AS fetched,

@@ -300,6 +300,25 @@ def test_url_filter(spark):
     assert url_filter.judge(captures, entries.limit(0)).where("blocked").count() == 0
 
 
+def judged(spark, urls, patterns):
+    """Deciding pattern of each URL, all entries blocking and older than the captures."""
+    captures = spark.createDataFrame([(i, u, "2024-03-05 00:00:00") for i, u in enumerate(urls)],
+                                     "page_id long, url string, fetched string")
+    entries = spark.createDataFrame([(p, "2024-02-01 00:00:00", True) for p in patterns],
+                                    "pattern string, since string, blocked boolean")
+    got = sorted(url_filter.judge(captures, entries).collect(), key=lambda r: r.page_id)
+    assert all(r.blocked == (r.pattern is not None) for r in got)
+    return [r.pattern for r in got]
+
+
+def test_url_filter_asks_at_every_depth(spark):
+    host = ".".join("abcdefghijkl") + ".org"
+    path = "/".join(f"d{k}" for k in range(30))
+    assert judged(spark, [f"http://{host}/", f"http://x.{host}/", f"http://m.org/{path}/z", "http://m.org/d0/d1"],
+                  [host, f"m.org/{path}"]) == [host, host, f"m.org/{path}", None]
+    assert judged(spark, [f"http://{host}/{path}"], [host, f"{host}/{path}"]) == [f"{host}/{path}"]
+
+
 def test_packing_is_gapless_and_whole(spark):
     texts = EDGE_TEXTS + corpus(3, 80)
     rows = packing.pack(wide(spark, texts), length=256, pool=2000).collect()
