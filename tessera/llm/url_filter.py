@@ -14,10 +14,10 @@ bucket. Entries of a pattern and day are reduced to one before any window.
 Only DataFrame functions are used.
 
 Defined results: a null or unparsable URL, or a null fetch time, matches
-nothing and is kept; a null pattern, date or action drops the entry; entries
-of one pattern and moment that disagree count as blocked; an entry holds from
-its moment on (inclusive); repeated captures each return their row. Extra
-columns are ignored.
+nothing and is kept; hosts are compared without case, paths as written; a null
+pattern, date or action drops the entry; entries of one pattern and moment
+that disagree count as blocked; an entry holds from its moment on (inclusive);
+repeated captures each return their row. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +49,12 @@ def keys_of(url: Column) -> Column:
     return F.when(host != "", F.concat(domains, F.coalesce(prefixes, F.array().cast("array<string>"))))
 
 
+def _pattern_key(pattern: Column) -> Column:
+    """A pattern as captures ask for it: the host in lower case, the path as written."""
+    host = F.substring_index(pattern, "/", 1)
+    return F.concat(F.lower(host), pattern.substr(F.length(host) + 1, F.length(pattern)))
+
+
 def _bucket(moment: str) -> Column:
     return F.floor(F.unix_date(F.to_date(moment)) / BUCKET_DAYS).cast("int")
 
@@ -62,7 +68,7 @@ def intervals(entries: DataFrame, horizon: int) -> DataFrame:
     """
     e = (pick(entries, key="pattern", since="since", blocked="blocked")
          .where("key IS NOT NULL AND since IS NOT NULL AND blocked IS NOT NULL")
-         .select(F.lower("key").alias("key"), F.col("since").cast("timestamp").alias("since"), "blocked")
+         .select(_pattern_key(F.col("key")).alias("key"), F.col("since").cast("timestamp").alias("since"), "blocked")
          .groupBy("key", "since").agg(F.max("blocked").alias("state"))
          .withColumn("bucket", _bucket("since")))
     along = Window.partitionBy("key").orderBy("bucket")

@@ -319,6 +319,11 @@ def test_url_filter_asks_at_every_depth(spark):
     assert judged(spark, [f"http://{host}/{path}"], [host, f"{host}/{path}"]) == [f"{host}/{path}"]
 
 
+def test_url_filter_keeps_the_case_of_paths(spark):
+    assert judged(spark, ["http://HOST.org/Foo/x", "http://host.org/foo/x", "http://host.org/Foo", "http://host.org/É/1"],
+                  ["Host.ORG/Foo", "hoST.org/É"]) == ["host.org/Foo", None, "host.org/Foo", "host.org/É"]
+
+
 def test_packing_is_gapless_and_whole(spark):
     texts = EDGE_TEXTS + corpus(3, 80)
     rows = packing.pack(wide(spark, texts), length=256, pool=2000).collect()
