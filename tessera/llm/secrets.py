@@ -1,9 +1,15 @@
 """Operator 2: secret scans by base patterns and character Markov models.
 
 Base spans come from three patterns (see ``BASE``). Beyond them every run of
-token characters is scored by two character Markov models, one of random
-strings and one of ordinary words and identifiers, and becomes a ``markov``
-span when the log-likelihood ratio a character reaches ``threshold``.
+token characters, cut at the base spans, is scored by two character Markov
+models, one of random strings and one of ordinary words and identifiers. A run
+becomes a ``markov`` span when its log-likelihood ratio reaches ``threshold``
+a character, or ``threshold`` times ``PART`` if it is shorter than ``WHOLE``.
+Of all other runs each part of greatest sum (maximal scoring segment) becomes
+one when the sum reaches ``threshold`` times ``PART``, widened to the letters
+and digits that it touches. The sum decides alone, so a short key is found, and so
+is one glued to ordinary text; a number that the models take for random (a
+telephone number, say) is a span as well.
 
 The models are trained from labelled samples: the values that the base
 patterns capture and random strings over the usual key alphabets (seeded)
@@ -13,14 +19,14 @@ summed over all documents; the random strings are a fixed number.
 
 Defined results: a null or empty text has no spans (empty list, counts 0);
 spans are code points, end exclusive; a base span is never dropped or cut by
-the models; a candidate that meets a base span is left to the base span. Rows
-are independent, so repeated ids and null ids each return their row. Extra
+the models, and no ``markov`` span meets one. Rows are independent, so repeated ids and null ids each return their row. Extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -42,7 +48,7 @@ BASE = (
 )
 KINDS = {kind: n for n, (kind, *_) in enumerate(BASE)} | {"markov": len(BASE)}
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]*")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CODE = np.full(128, len(ALPHABET), np.int64)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -53,6 +59,9 @@ KEY_ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUV
 RANDOM_STRINGS = 600            # of each alphabet
 UNIFORM = 0.03
 THRESHOLD = 0.4                 # log-likelihood ratio a character
+WHOLE = 20                      # least length of a run that is judged as a whole
+PART = 25                       # a part of a run needs the sum of as many characters at the threshold
+SLICE = 1 << 20                 # characters scored at once
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -137,25 +146,71 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return logp[0] - logp[1]
 
 
+def _segments(scores: list[float], least: float) -> list[tuple[int, int]]:
+    """All maximal scoring segments (Ruzzo and Tompa) whose sum reaches ``least``, in linear time."""
+    found: list[tuple[int, int, float, float, int]] = []    # start, end, sum before, sum at the end, place in chain
+    total = 0.0
+    for n, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        start, j = n, len(found) - 1
+        while True:
+            while j >= 0 and found[j][2] >= before:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                break
+            start, _, before, _, up = found[j]
+            del found[j:]
+            j = up
+        found.append((start, n + 1, before, total, j))
+    return [(start, end) for start, end, before, at_end, _ in found if at_end - before >= least]
+
+
+def _secret_parts(piece: str, scores: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Spans of one run: the run if its own sum is enough, else its segments, widened to whole alphanumerics."""
+    if scores.sum() >= threshold * (len(piece) if len(piece) >= WHOLE else PART):
+        return [(0, len(piece))]
+    out: list[tuple[int, int]] = []
+    for start, end in _segments(scores.tolist(), threshold * PART):
+        while start and piece[start - 1].isalnum():
+            start -= 1
+        while end < len(piece) and piece[end].isalnum():
+            end += 1
+        if out and start <= out[-1][1]:
+            start = out.pop()[0]
+        out.append((start, end))
+    return out
+
+
 def markov_spans(text: str, ratio: np.ndarray, threshold: float,
                  taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Candidates whose mean log-likelihood ratio reaches the threshold, outside ``taken``."""
-    covered: list[list[int]] = []       # disjoint, ascending
-    for start, end, _ in taken:
-        if covered and start <= covered[-1][1]:
-            covered[-1][1] = max(covered[-1][1], end)
-        else:
-            covered.append([start, end])
-    out, k = [], 0
-    for m in CANDIDATE.finditer(text):
-        while k < len(covered) and covered[k][1] <= m.start():
+    """Spans of the runs of token characters, cut at ``taken``, by their log-likelihood ratio."""
+    table = np.zeros((N, N))
+    table[:, :START] = ratio
+    table = table.ravel()
+    least = max(threshold, 0) * min(WHOLE, PART)
+    out, at, k = [], 0, 0
+    while at < len(text):
+        # long texts in slices that end where a run does
+        stop = min(len(text), at + SLICE)
+        stop = RUN.match(text, stop).end()
+        codes = CODE[np.minimum(np.frombuffer(text[at:stop].encode("utf-32-le", "surrogatepass"), "<u4"), 127)]
+        for start, end, _ in itertools.takewhile(lambda s: s[0] < stop, itertools.islice(taken, k, None)):
+            codes[max(0, start - at):max(0, end - at)] = START
+        while k < len(taken) and taken[k][1] <= stop:
             k += 1
-        if k < len(covered) and covered[k][0] < m.end():
-            continue
-        codes = CODE[np.frombuffer(m.group().encode(), np.uint8)]
-        score = ratio[np.concatenate([[START], codes[:-1]]), codes].sum()
-        if score >= threshold * len(codes):
-            out.append((m.start(), m.end(), "markov"))
+        scores = table[np.concatenate([[START], codes[:-1]]) * N + codes]
+        inside = np.concatenate([[False], codes < START, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])       # a run's start, its end, the next one's start ...
+        if len(edges):
+            # no part of a run has a greater sum than its positive scores
+            sums = np.add.reduceat(np.append(np.maximum(scores, 0), 0), edges)[::2]
+            for n in np.flatnonzero(sums >= least).tolist():
+                start, end = edges[2 * n:2 * n + 2].tolist()
+                out += [(at + start + x, at + start + y, "markov")
+                        for x, y in _secret_parts(text[at + start:at + end], scores[start:end], threshold)]
+        at = stop
     return out
 
 

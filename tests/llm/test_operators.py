@@ -148,6 +148,45 @@ def test_secret_models_tell_random_from_ordinary(spark):
         assert score(t) < secrets.THRESHOLD
 
 
+def test_short_glued_and_adjacent_secrets(spark, monkeypatch):
+    prose = [m.__doc__ for m in (secrets, token_files, page_text, url_filter, ngram_join, packing, topk, quality_rules)]
+    ratio = secrets.train(wide(spark, prose * 20))
+    keys = ["q7Zp9XvB2LrT", "Xk3vQ9zR7wJ2m", "mWcK4YdN6sHf1Gj", "9XvB2LrT8mWcK4Yd", "d7Hq2ZxW0kVb5RtYp3G"]
+    digits = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = {f"see {k} there": [k] for k in keys}
+    texts |= {f"a client_credential_of_the_ordinary_documents={k} b": [k] for k in keys}
+    texts |= {f"from files/download/ordinary/documents/{k} on": [k] for k in keys}
+    texts |= {f"{digits}-{k} and {k}-{digits}": [k, digits] for k in keys}
+    texts |= {f"{a}_some_ordinary_documents_of_the_table_{b}": [a, b] for a, b in zip(keys, keys[1:])}
+    for text, hidden in texts.items():
+        masked = secrets.mask(text, ratio)
+        assert not any(h in masked for h in hidden), (text, masked)
+        base, both = secrets.all_spans(text, ratio)
+        assert set(base) <= set(both) and all(s[1] <= t[0] for s, t in zip(both, both[1:]))
+    plain = "some_ordinary_documents of the table/with/patterns thatAreRead and-written"
+    assert secrets.mask(plain, ratio) == plain
+    long = " . ".join(texts) + " token=" + "ab.cd-" * 40 + keys[0]
+    want = secrets.all_spans(long, ratio)
+    for size in (1, 7, 64):         # slices change nothing
+        monkeypatch.setattr(secrets, "SLICE", size)
+        assert secrets.all_spans(long, ratio) == want
+
+
+def test_segments_are_the_maximal_ones():
+    def brute(x, at, least):        # the part of greatest sum, then both sides of it
+        sums = [(sum(x[i:j]), i - j, -i) for i in range(len(x)) for j in range(i + 1, len(x) + 1)]
+        best, length, i = max(sums, default=(0, 0, 0))
+        if best <= 0:
+            return []
+        i, j = -i, -i - length
+        return brute(x[:i], at, least) + [(at + i, at + j)] * (best >= least) + brute(x[j:], at + j, least)
+
+    rng = random.Random(12)
+    for _ in range(300):
+        x = [rng.uniform(-3, 3) for _ in range(rng.randrange(14))]
+        assert secrets._segments(x, 2.5) == brute(x, 0, 2.5)
+
+
 def test_quality_model_learns_and_holds_out(spark):
     rng = random.Random(4)
     good = lambda: " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "eps"], k=60)) + "."
