@@ -10,6 +10,7 @@ from tessera.llm.pieces import op7_sentencepiece
 from tessera.llm.quality_model import op3_quality_model
 from tessera.llm.quality_rules import op5_quality_rules
 from tessera.llm.secrets import op2_secret_scan
+from tessera.llm.suffix_family import op12_suffix_dedup
 from tessera.llm.token_files import op4_token_files
 from tessera.llm.topk import op6_exact_topk
 from tessera.llm.url_filter import op9_url_filter
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_page_text": op8_page_text,
     "op9_url_filter": op9_url_filter,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
