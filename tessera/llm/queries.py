@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import fp_search, quality_rules, topk, url_filter
+from tessera.llm import fp_search, hard_negatives, quality_rules, topk, url_filter
 from tessera.llm.fp_search import op13_ranked_search
+from tessera.llm.hard_negatives import op11_hard_negatives
 from tessera.llm.ngram_join import op1_ngram_jaccard_join
 from tessera.llm.packing import op10_cost_balanced_packing
 from tessera.llm.page_text import op8_page_text
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_page_text": op8_page_text,
     "op9_url_filter": op9_url_filter,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_ranked_search": op13_ranked_search,
 }
@@ -35,5 +37,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_exact_topk": topk.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op13_ranked_search": fp_search.ORACLE,
 }
