@@ -161,7 +161,9 @@ class IndexFamily:
         self.levels.append((1, array))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, a), (_, b) = self.levels.pop(), self.levels.pop()
-            merged = a.unionAll(b).groupBy("suffix").agg(F.sum("n").alias("n"))
+            # a merge of sorted buckets (a union would lose the buckets)
+            merged = a.withColumnRenamed("n", "one").join(b.withColumnRenamed("n", "two"), "suffix", "full_outer")
+            merged = merged.select("suffix", (F.coalesce("one", F.lit(0)) + F.coalesce("two", F.lit(0))).alias("n"))
             self.levels.append((2 * size, _bucketed(merged, "suffix", "level")))
         return found
 
@@ -176,8 +178,9 @@ def _equal(rows: DataFrame, shared: str, whole: str, tag: str) -> tuple[DataFram
     """
     wholes = materialise(rows.groupBy(shared, whole).agg(
         F.count(F.lit(1)).alias("rows"), F.min(F.struct("digest", "at", "first", "n")).alias("one")), tag)
-    several = (wholes.groupBy(shared).agg(F.min(whole).alias("lo"), F.max(whole).alias("hi"))
-               .where("lo < hi").select(shared))
+    # landed before the joins, so that a key of very many rows can be split
+    several = materialise(wholes.groupBy(shared).agg(F.min(whole).alias("lo"), F.max(whole).alias("hi"))
+                          .where("lo < hi").select(shared), "several")
     again = wholes.where("rows > 1").select(shared, whole)
     return (rows.join(again, [shared, whole], "left_semi").select("digest", "first", "n"),
             wholes.join(several, shared, "left_semi").select("one.*"))
@@ -242,13 +245,15 @@ def repeated_windows(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     for b in range(batches):
         hit = family.add(suffixes.where(F.col("batch") == b))
         matches = hit if matches is None else matches.unionAll(hit)
-    rows = suffixes.join(matches.distinct(), "suffix", "left_semi").select(
+    matches = materialise(matches.distinct(), "shared")     # landed, so that a common suffix can be split in the join
+    rows = suffixes.join(matches, "suffix", "left_semi").select(
         "digest", "at", "first", "n", F.xxhash64("suffix").alias("suffix"), "around")
     whole_anchor, open_anchors = _equal(materialise(rows, "candidates"), "suffix", "around", "anchors")
     ranges = materialise(_ranges(texts, open_anchors), "ranges")
     whole_range, open_ranges = _equal(ranges, "shared", "whole", "wholes")
     windows = materialise(_windows(texts, open_ranges), "windows")
-    twice = windows.groupBy("shared", "whole").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    twice = materialise(windows.groupBy("shared", "whole").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+                        .select("shared", "whole"), "twice")
     single = windows.join(twice, ["shared", "whole"], "left_semi").select("digest", "first", "n")
     return whole_anchor.unionAll(whole_range).unionAll(single)
 
