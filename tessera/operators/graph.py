@@ -1,62 +1,16 @@
-"""Road-graph operators: adjacency, edge weights, batched shortest paths, geometry.
+"""Road-graph operators: adjacency, edge weights, geometry.
 
-Shortest paths are computed set-at-a-time for a whole batch of route queries:
-one label-correcting (Bellman-Ford style) round relaxes the out-edges of
-every node whose label improved in the previous round, for every query at
-once, with ``query_id`` as an extra key. Rounds stop when no label improves.
-There is no cap on rounds, candidates or neighbours; pruning only drops
-candidates that provably cannot be on a best route (distance above the
-query's current best distance to its destination).
-
-Labels are compared as ``(distance, path)`` lexicographically, which makes
-the result deterministic: among equal-length routes the one with the
-smallest node sequence wins. Paths are simple (a candidate never revisits a
-node on its own path), so zero-weight edges and self loops cannot cycle.
-
-Scale notes:
-
-* Edges are hash-partitioned by ``(source, bucket)`` once and cached, so each
-  round shuffles only the frontier. A node has ``ceil(degree / fanout)``
-  buckets, known before the first repartition, and its frontier rows are
-  replicated per bucket: a hub never lands whole in one task.
-* No join carries a size switch: the planner picks broadcast or shuffle from
-  the measured size of the written tables.
-* Candidates are pre-aggregated per ``(query_id, node)`` inside each map task
-  (partial aggregation) before the shuffle.
-* Labels are append-only versions: each round writes only the labels it
-  improved as a parquet table under ``spark.checkpoint.dir`` (durable,
-  survives executor loss, one round of lineage, a plain scan for the next
-  plan); versions are compacted periodically.
-* Pruning is exact and goal-directed when node coordinates are given, and a
-  short backward search from each destination supplies an upper bound from
-  the first rounds on.
+Shortest paths are in ``routes``; their entry points are named here as well.
 """
 
 from __future__ import annotations
 
-import math
-
-import logging
-import time
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_m
-from tessera.session import scratch_path, write_read
-
-# Target size of an edge partition (rows of (src, dst, weight[, coords])).
-EDGES_PER_PARTITION = 200_000
-# Out-edges of one node that share a bucket.
-FANOUT = 100_000
-
-log = logging.getLogger("tessera.graph")
-
-# Slack on the goal-directed test so floating-point rounding in the
-# great-circle estimate can never prune a label of an optimal route.
-ASTAR_REL_SLACK = 1e-9
-ASTAR_ABS_SLACK_M = 1e-6
+from tessera.operators.routes import (prepare_edges, shortest_paths,  # noqa: F401  (callers find them here)
+                                      valid_queries)
 
 
 # ------------------------------------------------------------------ adjacency
@@ -96,368 +50,6 @@ def weight_edges(edges: DataFrame, nodes: DataFrame, id_col: str = "_id",
             .select("src", "dst", haversine_m("_lat1", "_lon1", "_lat2", "_lon2").alias(weight)))
 
 
-# ------------------------------------------------------------ route queries
-
-def valid_queries(queries: DataFrame, vertices: DataFrame, id_col: str = "id") -> DataFrame:
-    """Queries whose source and destination both exist among ``vertices``.
-
-    The vertices are narrowed to the queries' end points first: that semi join
-    has the queries on the side that the planner may broadcast.
-    """
-    ends = queries.select(F.explode(F.array("src", "dst")).alias("_end"))
-    v = vertices.select(F.col(id_col).alias("_vid"))
-    v = v.join(ends, v["_vid"] == ends["_end"], "left_semi")
-    return (queries.join(v, queries["src"] == v["_vid"], "left_semi")
-            .join(v, queries["dst"] == v["_vid"], "left_semi"))
-
-
-# ------------------------------------------------------------ relaxation core
-
-def prepare_edges(edges: DataFrame, weight_col: str = "distance", fanout: int | None = None,
-                  num_partitions: int | None = None, check_negative: bool = True,
-                  coords: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Weighted edges ready for relaxation, and the hubs: ``(edges, hubs)``.
-
-    ``edges``: ``(_from, _bucket, _to, _w, _to_nb)`` hash-partitioned by
-    ``(_from, _bucket)``; a node with ``d`` out-edges has ``ceil(d / fanout)``
-    buckets and ``_to_nb`` is the bucket count of the target (how many copies
-    its frontier rows need). ``hubs``: ``(_node, _nb)`` of the nodes with more
-    than one bucket, at most one for each ``fanout`` edges.
-
-    The upstream edge plan runs once into a table, where weights are checked
-    and edges counted on the way; degrees are aggregated from it (map-side
-    first) before anything is dealt out by source. Null endpoints and weights
-    are dropped. With ``coords`` (``_id, _lat, _lon``) the target's
-    coordinates ride along as ``_to_lat``/``_to_lon`` for goal-directed
-    pruning. Without ``num_partitions`` there is a partition for each
-    ``EDGES_PER_PARTITION`` edges, and one for each core at least.
-    """
-    spark = edges.sparkSession
-    fanout = fanout or FANOUT
-    scratch = scratch_path(spark, "edges")
-    e = (edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"),
-                      F.col(weight_col).cast("double").alias("_w"))
-         .where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & F.col("_w").isNotNull()))
-    geo = []
-    if coords is not None:
-        geo = ["_to_lat", "_to_lon"]
-        c = coords.select(F.col("_id").alias("_cid"), F.col("_lat").alias("_to_lat"),
-                          F.col("_lon").alias("_to_lon"))
-        e = e.join(c, e["_to"] == c["_cid"], "left").drop("_cid")
-    obs = Observation("edge_weights")
-    e = write_read(e, f"{scratch}/all", obs, [F.min("_w").alias("min_w"), F.max("_w").alias("max_w"),
-                                              F.count(F.lit(1)).alias("n")])
-    min_w, max_w = obs.get["min_w"], obs.get["max_w"]
-    if max_w is not None and math.isnan(max_w):     # NaN sorts above every number
-        raise ValueError("shortest paths need edge weights that are numbers")
-    if check_negative and min_w is not None and min_w < 0:
-        raise ValueError("shortest paths need non-negative edge weights")
-    n = num_partitions or max(spark.sparkContext.defaultParallelism, -(-obs.get["n"] // EDGES_PER_PARTITION))
-    hubs = write_read(e.groupBy(F.col("_from").alias("_node")).agg(F.count(F.lit(1)).alias("_deg"))
-                      .where(F.col("_deg") > fanout)
-                      .select("_node", F.ceil(F.col("_deg") / F.lit(fanout)).cast("int").alias("_nb")),
-                      f"{scratch}/hubs")
-    of = hubs.select(F.col("_node").alias("_hub"), F.col("_nb").alias("_from_nb"))
-    to = hubs.select(F.col("_node").alias("_hub"), F.col("_nb").alias("_to_nb"))
-    b = (e.join(of, e["_from"] == of["_hub"], "left").drop("_hub")
-         .join(to, e["_to"] == to["_hub"], "left").drop("_hub"))
-    b = b.select("_from", F.pmod(F.xxhash64("_to"), F.coalesce("_from_nb", F.lit(1))).cast("int").alias("_bucket"),
-                 "_to", "_w", F.coalesce("_to_nb", F.lit(1)).cast("int").alias("_to_nb"), *geo)
-    return b.repartition(n, "_from", "_bucket"), hubs
-
-
-STATE_COLS = ["query_id", "node", "distance", "path", "_nb", "_target"]
-# Labels that track the route by predecessor instead of the whole path.
-PRED_COLS = ["query_id", "node", "distance", "hops", "pred", "_nb", "_target"]
-
-
-def _label_order(cols) -> list[str]:
-    """Lexicographic label order: (distance, path) or (distance, hops, pred)."""
-    return ["distance", "path"] if "path" in cols else ["distance", "hops", "pred"]
-
-
-def relax(frontier: DataFrame, prepared: DataFrame, bound: DataFrame | None = None) -> DataFrame:
-    """One message-passing step: best candidate label per ``(query_id, node)``.
-
-    ``frontier``: ``STATE_COLS`` (path labels) or ``PRED_COLS`` (predecessor
-    labels); ``prepared``: edges of ``prepare_edges``. Each frontier row is
-    replicated to its node's buckets, joined to the out-edges, extended by one
-    hop (path labels keep simple paths only), filtered by the per-query bound
-    when given, then reduced with the lexicographic minimum of ``(distance,
-    path)`` or ``(distance, hops, pred)``.
-    """
-    cols = PRED_COLS if "pred" in frontier.columns else STATE_COLS
-    f = frontier.select(*cols, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_bucket"))
-    j = f.join(prepared, (f["node"] == prepared["_from"]) & (f["_bucket"] == prepared["_bucket"]), "inner")
-    geo = [F.col("_to_lat"), F.col("_to_lon")] if "_to_lat" in prepared.columns else []
-    if cols is STATE_COLS:
-        j = j.where(~F.array_contains("path", F.col("_to")))
-        ext = [F.array_append("path", F.col("_to")).alias("path")]
-    else:
-        ext = [(F.col("hops") + 1).alias("hops"), F.col("node").alias("pred")]
-    cand = j.select(
-        "query_id", F.col("_to").alias("node"),
-        (F.col("distance") + F.col("_w")).alias("distance"),
-        *ext, F.col("_to_nb").alias("_nb"), "_target", *geo)
-    if bound is not None:
-        cand = cand.join(bound, "query_id", "left")
-        if geo and "_t_lat" in bound.columns:
-            # goal-directed: distance so far + great-circle distance still to
-            # go is a lower bound of any route through this candidate
-            rest = F.coalesce(F.nanvl(haversine_m("_to_lat", "_to_lon", "_t_lat", "_t_lon"), F.lit(0.0)), F.lit(0.0))
-            keep = (F.col("distance") + rest * F.col("_h_scale")
-                    <= F.col("_bound") * (1 + ASTAR_REL_SLACK) + ASTAR_ABS_SLACK_M)
-        else:
-            keep = F.col("distance") <= F.col("_bound")
-        cand = cand.where(F.col("_bound").isNull() | keep).select(*cols)
-    else:
-        cand = cand.select(*cols)
-    return current_labels(cand)
-
-
-def current_labels(versions: DataFrame) -> DataFrame:
-    """Best label per ``(query_id, node)`` over all written label versions."""
-    order = _label_order(versions.columns)
-    rest = [c for c in versions.columns if c not in ("query_id", "node", *order)]
-    best = versions.groupBy("query_id", "node").agg(
-        F.min(F.struct(*order, *rest)).alias("_b"))
-    return best.select("query_id", "node", *[f"_b.{c}" for c in order + rest])
-
-
-def backward_seeds(targets: DataFrame, prepared: DataFrame, hops: int) -> DataFrame:
-    """``(query_id, node, _db)``: nodes within ``hops`` reversed hops of each
-    query's destination, with their shortest distance to it over those hops.
-
-    ``targets`` is ``(query_id, node, _db=0)``. Each hop joins the current
-    level to the cached edges on their target (AQE broadcasts the level when
-    small) and keeps the minimum per key.
-    """
-    e = prepared.select("_from", "_to", "_w")
-    level = targets
-    levels = [targets]
-    for _ in range(hops):
-        nxt = (level.join(e, level["node"] == e["_to"])
-               .select("query_id", F.col("_from").alias("node"), (F.col("_db") + F.col("_w")).alias("_db"))
-               .groupBy("query_id", "node").agg(F.min("_db").alias("_db")))
-        levels.append(nxt)
-        level = nxt
-    u = levels[0]
-    for lv in levels[1:]:
-        u = u.unionByName(lv)
-    return u.groupBy("query_id", "node").agg(F.min("_db").alias("_db"))
-
-
-def improvements(best: DataFrame, versions: DataFrame) -> DataFrame:
-    """Candidates strictly better than every existing label of their key.
-
-    Existing labels are first narrowed to the candidates' keys with a semi
-    join (AQE broadcasts the key set when it is small, so the label history
-    is scanned, not shuffled), then an anti join drops candidates that some
-    existing label matches or beats as ``(distance, path)``.
-    """
-    order = _label_order(best.columns)
-    keys = best.select("query_id", "node")
-    cur = versions.join(keys, ["query_id", "node"], "left_semi").select(
-        "query_id", "node", *[F.col(c).alias("_c_" + c) for c in order])
-    cond = ((best["query_id"] == cur["query_id"]) & (best["node"] == cur["node"])
-            & (F.struct(*[cur["_c_" + c] for c in order]) <= F.struct(*[best[c] for c in order])))
-    return best.join(cur, cond, "left_anti")
-
-
-def rebuild_paths(found: DataFrame, labels: DataFrame, scratch: str) -> DataFrame:
-    """Paths of reached destinations from predecessor labels.
-
-    ``found``: ``(query_id, node, hops)`` per reached destination;
-    ``labels``: final ``(query_id, node, pred)``. Walks every route back one
-    predecessor per step (a join of the walkers -- one row per query -- with
-    the labels), materialising each step, and collects each route's nodes in
-    order: ``(query_id, path array<long>)``. Steps = the longest route's hops.
-    """
-    spark = found.sparkSession
-    lab = labels.select("query_id", "node", "pred")
-    step = write_read(found.select("query_id", "node", F.col("hops").alias("pos")), f"{scratch}/walk-0")
-    steps = [step]
-    k = 0
-    while True:
-        k += 1
-        nxt = (step.join(lab, ["query_id", "node"]).where(F.col("pred").isNotNull())
-               .select("query_id", F.col("pred").alias("node"), (F.col("pos") - 1).alias("pos")))
-        obs = Observation(f"sp_walk_{k}")
-        step = write_read(nxt, f"{scratch}/walk-{k}", obs, [F.count(F.lit(1)).alias("n")])
-        if obs.get["n"] == 0:
-            break
-        steps.append(step)
-    pts = spark.read.parquet(*[f"{scratch}/walk-{i}" for i in range(len(steps))])
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "node")))
-    return pts.groupBy("query_id").agg(
-        F.transform(ordered, lambda p: p.getField("node")).alias("path"))
-
-
-def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "distance",
-                   vertices: DataFrame | None = None, vertex_id: str = "id",
-                   fanout: int | None = None, prune: bool = True,
-                   num_partitions: int | None = None, compact_every: int = 24,
-                   coords: DataFrame | None = None, heuristic_scale: float = 1.0,
-                   seed_hops: int = 2, track: str = "path") -> DataFrame:
-    """Batch single-pair shortest paths.
-
-    ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
-    dst)``. Returns one row per query: ``(query_id, src, dst, reachable,
-    distance, path array<long>)``. A query whose endpoint is not a vertex
-    (``vertices`` given) or whose destination is unreachable gets
-    ``reachable = false`` and null distance/path; ``src == dst`` gives
-    distance 0 and path ``[src]``.
-
-    Labels live as append-only versions: each round writes only the labels
-    it improved (a parquet table under ``spark.checkpoint.dir``); a key's
-    current label is the smallest of its versions. The last version is the
-    next frontier. Every ``compact_every`` rounds the versions are compacted
-    to one table, keeping reads and file counts bounded.
-
-    Pruning drops candidates that cannot beat the best route found so far
-    for their query. With ``coords`` (``_id, _lat, _lon`` per node) it is
-    goal-directed: a candidate survives only if its distance plus
-    ``heuristic_scale`` times the great-circle metres to the destination
-    does not exceed that best route. This is exact (never changes the
-    result) when every edge weight is at least ``heuristic_scale`` times the
-    great-circle length of the edge, e.g. weights in whole metres rounded up.
-
-    The "best route so far" is known early: a backward search of
-    ``seed_hops`` hops from each destination gives seed nodes with their
-    distance to it, and any label reaching a seed closes a real route
-    (label distance + seed distance), which bounds the query from then on.
-
-    ``track="path"`` keeps each label's node list (ties broken by the
-    smallest node sequence). ``track="pred"`` keeps ``(hops, pred)`` instead,
-    so a label's size does not grow with the route (ties broken by fewer
-    hops, then the smaller predecessor); destination paths are rebuilt at
-    the end by walking predecessors. Distances are identical either way.
-    """
-    if track not in ("path", "pred"):
-        raise ValueError("track must be 'path' or 'pred'")
-    label_cols = STATE_COLS if track == "path" else PRED_COLS
-    spark = edges.sparkSession
-    t_start = time.perf_counter()
-    scratch = scratch_path(spark, "sp")
-    q_all = write_read(queries.select("query_id", "src", "dst"), f"{scratch}/queries")
-    q = valid_queries(q_all, vertices, vertex_id) if vertices is not None else q_all
-    goal = prune and coords is not None
-    if goal:
-        # destination coordinates for goal-directed pruning, landed with the queries
-        c = coords.select(F.col("_id").alias("_tid"), F.col("_lat").alias("_t_lat"),
-                          F.col("_lon").alias("_t_lon"))
-        ends = q_all.select(F.col("dst").alias("_end"))
-        c = c.join(ends, c["_tid"] == ends["_end"], "left_semi")    # few: the planner may broadcast them
-        q = q.join(c, q["dst"] == c["_tid"], "left").drop("_tid")
-    obs = Observation("sp_queries")
-    q = write_read(q, f"{scratch}/valid", obs, [F.count(F.lit(1)).alias("n")])
-    n_queries = obs.get["n"]
-    log.info("shortest_paths: %d valid queries (%.2fs)", n_queries, time.perf_counter() - t_start)
-
-    # Edges are the largest static input: dealt out by source and bucket once
-    # and kept cached, so rounds shuffle only the frontier. Lost cache blocks
-    # are recomputed from the written edges.
-    prepared, hubs = prepare_edges(edges, weight_col, fanout=fanout, num_partitions=num_partitions,
-                                   coords=coords if prune else None)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    log.info("shortest_paths: edges prepared (%.2fs)", time.perf_counter() - t_start)
-    try:
-        versions, label_schema = _search(spark, prepared, hubs, q, n_queries, label_cols, track, prune, goal,
-                                         seed_hops, heuristic_scale, compact_every, scratch)
-    finally:
-        prepared.unpersist()
-
-    labels = spark.read.schema(label_schema).parquet(*versions)
-    if track == "path":
-        found = current_labels(labels.where(F.col("node") == F.col("_target"))).select(
-            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
-            F.col("path").alias("_path"))
-    else:
-        final = write_read(current_labels(labels), f"{scratch}/final")
-        reached = write_read(final.where(F.col("node") == F.col("_target")), f"{scratch}/reached")
-        paths = rebuild_paths(reached, final, f"{scratch}/walk")
-        found = reached.join(paths, "query_id").select(
-            F.col("query_id").alias("_qid"), F.col("distance").alias("_dist"),
-            F.col("path").alias("_path"))
-    return (q_all.join(found, q_all["query_id"] == found["_qid"], "left")
-            .select("query_id", "src", "dst", F.col("_qid").isNotNull().alias("reachable"),
-                    F.col("_dist").alias("distance"), F.col("_path").alias("path")))
-
-
-def _search(spark, prepared, hubs, q, n_queries, label_cols, track, prune, goal, seed_hops, heuristic_scale,
-            compact_every, scratch):
-    """Rounds of ``shortest_paths``: the folders of the label versions and their schema."""
-    seeds = None
-    if prune and seed_hops > 0 and n_queries > 0:
-        seeds = write_read(
-            backward_seeds(q.select("query_id", F.col("dst").alias("node"), F.lit(0.0).alias("_db")),
-                           prepared, seed_hops),
-            f"{scratch}/seeds")
-
-    def with_db(labels_df: DataFrame) -> DataFrame:
-        """Attach ``_db``: the node's distance to the query's destination, if known."""
-        if seeds is None:
-            return labels_df.withColumn(
-                "_db", F.when(F.col("node") == F.col("_target"), F.lit(0.0)))
-        return labels_df.join(seeds, ["query_id", "node"], "left")
-
-    q = q.join(hubs, q["src"] == hubs["_node"], "left")
-    nb_col = F.coalesce("_nb", F.lit(1))
-    if track == "path":
-        ext = [F.array(F.col("src")).alias("path")]
-    else:
-        ext = [F.lit(0).cast("long").alias("hops"), F.lit(None).cast("long").alias("pred")]
-    init = with_db(q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                            *ext, nb_col.alias("_nb"), F.col("dst").alias("_target")))
-    versions = [f"{scratch}/round-0"]
-    delta = write_read(init, versions[0])
-    label_schema = delta.schema
-    frontier_n = n_queries
-    # Per-query bound: best distance found so far to the query's destination.
-    # It only changes in rounds that improve some destination label (counted
-    # while writing the delta), so it is rebuilt -- a tiny table -- only then.
-    targets = None
-    if goal:
-        targets = q.select("query_id", "_t_lat", "_t_lon",
-                           F.lit(float(heuristic_scale)).alias("_h_scale"))
-    bound = None
-    bound_vals = None          # (query_id, _bound), materialised, <= one row per query
-    bound_stale = prune
-    rounds = 0
-    while frontier_n > 0:
-        rounds += 1
-        t_round = time.perf_counter()
-        labels = spark.read.schema(label_schema).parquet(*versions)
-        if bound_stale:
-            # labels only improve, so the new bound is min(old bound, routes
-            # closed by the last delta): no scan of the label history
-            closed = (delta.where(F.col("_db").isNotNull()).groupBy("query_id")
-                      .agg(F.min(F.col("distance") + F.col("_db")).alias("_bound")))
-            if bound_vals is not None:
-                closed = (bound_vals.unionByName(closed).groupBy("query_id")
-                          .agg(F.min("_bound").alias("_bound")))
-            # one written table: the planner knows its size and need not shuffle the candidates
-            bound = write_read(targets.join(closed, "query_id", "left") if targets is not None else closed,
-                               f"{scratch}/bound-{rounds}")
-            bound_vals = bound.select("query_id", "_bound")
-        best = with_db(relax(delta.select(*label_cols), prepared, bound))
-        obs = Observation(f"sp_round_{rounds}")
-        path = f"{scratch}/round-{rounds}"
-        delta = write_read(improvements(best, labels), path, obs,
-                           [F.count(F.lit(1)).alias("improved"),
-                            F.count_if(F.col("_db").isNotNull()).alias("at_seed")])
-        versions.append(path)
-        frontier_n = obs.get["improved"]
-        bound_stale = prune and obs.get["at_seed"] > 0
-        if frontier_n > 0 and len(versions) > compact_every:
-            compacted = f"{scratch}/compact-{rounds}"
-            write_read(current_labels(spark.read.schema(label_schema).parquet(*versions)), compacted)
-            versions = [compacted, path]
-        log.info("shortest_paths round %d: %d labels improved (%.2fs)",
-                 rounds, frontier_n, time.perf_counter() - t_round)
-    return versions, label_schema
-
-
 # ---------------------------------------------------------------- geometry
 
 def locate(points: DataFrame, nodes: DataFrame, ref_col: str = "ref", id_col: str = "_id",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.render import adjacency_line, route_line
-from tessera.operators import checks, graph, osm, text
+from tessera.operators import checks, graph, osm, routes, text
 from tessera.plans.stoplist import stopwords_df, stopwords_values_sql
 from tessera.sources import tables as T
 
@@ -136,14 +136,14 @@ def q_valid_route_queries(spark, d):
 def q_relax_once(spark, d):
     q = graph.valid_queries(T.route_queries(spark, d), T.vertices(spark, d))
     edges, hubs = graph.prepare_edges(_wedges(spark, d))
-    q = q.join(hubs, q["src"] == hubs["_node"], "left")
-    init = q.select("query_id", F.col("src").alias("node"), F.lit(0.0).alias("distance"),
-                    F.array("src").alias("path"), F.coalesce("_nb", F.lit(1)).alias("_nb"),
-                    F.col("dst").alias("_target"))
-    better = graph.improvements(graph.relax(init, edges), init)
-    state = graph.current_labels(init.unionByName(better))
-    return state.select("query_id", "node", F.round("distance", 3).alias("distance"),
-                        F.array_join(F.col("path").cast("array<string>"), " ").alias("path"))
+    q = q.join(hubs, q["src"] == hubs["node"], "left")
+    # one label a query here: the query's id stands for its source
+    init = q.select(F.col("query_id").alias("sid"), F.col("src").alias("node"), F.lit(0.0).alias("distance"),
+                    F.lit(0).cast("long").alias("hops"), F.coalesce("_nb", F.lit(1)).alias("nb"), F.lit(True).alias("fresh"))
+    best = routes.relax(init, edges, routes.partition_count(spark, 0))
+    state = routes.merge_labels(init, best, F.lit(True)).join(q.select(F.col("query_id").alias("sid"), "src"), "sid")
+    path = F.when(F.col("hops") > 0, F.concat_ws(" ", "src", "node")).otherwise(F.col("src").cast("string"))
+    return state.select(F.col("sid").alias("query_id"), "node", F.round("distance", 3).alias("distance"), path.alias("path"))
 
 
 def q_shortest_distance(spark, d):

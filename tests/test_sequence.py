@@ -57,3 +57,32 @@ def test_random_partition_counts(spark):
     want = expected(rows)
     for parts in (1, 2, 3, 8, 31):
         assert run(spark, rows, parts) == want
+
+
+def test_one_exchange_and_no_write(spark, monkeypatch):
+    """Planning writes nothing; without a large group the rows move once."""
+    from tessera import session
+    monkeypatch.setattr(session, "scratch_path", None)
+    rows = [(g, o, g * o) for g in range(300) for o in range(4)]
+    df = spark.createDataFrame(rows, "g long, o long, v long")
+    out = sequence_groups(df, ["g"], ["o", "v"], value_col="v", pos_col="pos", next_col="nxt", num_partitions=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
+def test_hot_group_is_dealt_to_balanced_tasks(spark):
+    """A group with two thirds of the rows: no piece over three times a partition's share."""
+    rows = [(0, i, i) for i in range(20_000)] + [(g, 0, 1) for g in range(1, 10_001)]
+    df = spark.createDataFrame(rows, "g long, o long, v long")
+    n = 12
+    out = sequence_groups(df, ["g"], ["o", "v"], value_col="v", pos_col="pos", next_col="nxt", num_partitions=n)
+    assert "_seq_piece" in out._jdf.queryExecution().executedPlan().toString()
+    from tessera.operators import sequence
+    from pyspark.sql import functions as F
+    d = df.withColumn(sequence.HASH, F.xxhash64("g"))
+    large, total = sequence._large_groups(d, n)
+    (h, coarse, fine), = sequence._bounds(d, large, total, n, ["o", "v"])
+    cuts = [0, *[b[0] for f in fine for b in f], 20_000]
+    assert max(b - a for a, b in zip(cuts, cuts[1:])) <= 3 * total / n
+    got = {(r.g, r.o): (r.pos, r.nxt) for r in out.where("g = 0").collect()}
+    assert got == {(0, i): (i, i + 1 if i < 19_999 else None) for i in range(20_000)}
