@@ -48,7 +48,6 @@ from __future__ import annotations
 import logging
 import math
 import time
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -57,7 +56,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_m
-from tessera.session import scratch_path, write_read
+from tessera.session import bucketed, scratch_path, write_read
 
 EDGES_PER_PARTITION = 200_000   # target size of an edge partition
 FANOUT = 100_000                # out-edges of one node that share a bucket
@@ -324,7 +323,7 @@ class _Search:
         return state, seen.get
 
     def run(self, sources: DataFrame, goal: _Goal | None = None, delta: float | None = None,
-            after_round: Callable[[DataFrame, _Goal], None] | None = None) -> DataFrame:
+            after_round: Callable[[DataFrame, _Goal, bool], None] | None = None) -> DataFrame:
         """``sources (sid)`` -> final ``sid, node, distance, hops, nb``."""
         nb = F.coalesce("_nb", F.lit(1))
         start = sources.join(self.hubs, sources["sid"] == self.hubs["node"], "left").select(
@@ -343,17 +342,10 @@ class _Search:
             self.rounds += 1
             log.info("round %d: %d labels improved (%.2fs)", self.rounds, seen["better"], time.perf_counter() - t0)
             if after_round is not None:
-                after_round(state, goal)
+                after_round(state, goal, not seen["fresh"])
         return state
 
 
-def bucketed(df: DataFrame, n: int, keys: list[str], tag: str) -> DataFrame:
-    """Write ``df`` in ``n`` buckets by ``keys`` under the checkpoint folder; joins on them need no exchange."""
-    name = f"tessera_{tag}_{uuid.uuid4().hex}"
-    (df.write.bucketBy(n, *keys).option("path", scratch_path(df.sparkSession, tag)).saveAsTable(name))
-    return df.sparkSession.table(name)
-
-
 # ------------------------------------------------------------ bounds
 
 def backward_seeds(pairs: DataFrame, prepared: DataFrame, hops: int, scratch: str) -> DataFrame:
@@ -537,7 +529,8 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
                    prune: bool = True, num_partitions: int | None = None, compact_every: int | None = None,
                    coords: DataFrame | None = None, heuristic_scale: float = 1.0, seed_hops: int = 2,
                    track: str = "path", contract: bool = True, landmarks: int = 0, delta: float | None = None,
-                   on_settled: Callable[[DataFrame], None] | None = None, stats: dict | None = None) -> DataFrame:
+                   on_settled: Callable[[DataFrame], None] | None = None, settle_every: int = 1,
+                   stats: dict | None = None) -> DataFrame:
     """Batch single-pair shortest paths.
 
     ``edges``: ``(src, dst, <weight_col>)``; ``queries``: ``(query_id, src,
@@ -555,8 +548,9 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
     width of the distance buckets. ``track`` settles routes of equal length.
     ``contract=False`` keeps chains as they are. None of these change a
     distance. ``on_settled`` gets the routes ``(query_id, src, dst, distance,
-    path)`` of queries as soon as they are settled, each query once; those
-    without a route come only in the result. ``stats`` receives ``rounds`` and
+    path)`` of queries as soon as they are settled (looked for every
+    ``settle_every`` rounds), each query once; those without a route come only
+    in the result. ``stats`` receives ``rounds`` and
     ``labels_written``. ``compact_every`` is accepted for older callers; one
     state table needs no compaction.
     """
@@ -602,7 +596,7 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, weight_col: str = "dist
         if about is not None:
             about = write_read(about, f"{scratch}/about")
         goal = _Goal(pairs, about, seeds, f"{scratch}/goal")
-        settle = _Settlement(q, prepared, members, track, scratch, on_settled) if on_settled else None
+        settle = _Settlement(q, prepared, members, track, scratch, on_settled, settle_every) if on_settled else None
         search = _Search(spark, prepared, hubs, n)
         state = search.run(pairs.select("sid").distinct(), goal if prune or settle else None, delta,
                            settle.after_round if settle else None)
@@ -623,12 +617,14 @@ class _Settlement:
     """Hands over routes as soon as no open label can beat them, and takes their queries out of the search."""
 
     def __init__(self, queries: DataFrame, prepared: DataFrame, members: DataFrame | None, track: str, scratch: str,
-                 on_settled: Callable[[DataFrame], None]):
-        self.queries, self.prepared, self.members = queries, prepared, members
+                 on_settled: Callable[[DataFrame], None], every: int):
+        self.queries, self.prepared, self.members, self.every = queries, prepared, members, every
         self.track, self.scratch, self.on_settled, self.k = track, scratch, on_settled, 0
 
-    def after_round(self, state: DataFrame, goal: _Goal) -> None:
+    def after_round(self, state: DataFrame, goal: _Goal, last: bool) -> None:
         self.k += 1
+        if self.k % self.every and not last:
+            return
         at = f"{self.scratch}/settled-{self.k}"
         least = state.where("fresh").groupBy("sid").agg(F.min("distance").alias("least"))
         target = state.select("sid", F.col("node").alias("target"), F.col("distance").alias("there"))

@@ -20,6 +20,8 @@ from tessera.sources import tables as T
 
 CORPORA = ("en", "other")     # English documents against all others
 TOP_K = 20
+NATIONS = 25
+LINE, EXPRESS = 1_000_000_000_000, 400      # node ids of a line, stations between express stops
 
 
 # ====================================================================== text
@@ -157,6 +159,49 @@ def q_shortest_path_text(spark, d):
                     .alias("route"))
 
 
+def q_hop_routes(spark, d):
+    """Fewest hops on the road edges: a weight without a great-circle bound, pruned by landmarks."""
+    e = _edges(spark, d).withColumn("hop", F.lit(1.0))
+    r = graph.shortest_paths(e, T.route_queries(spark, d), weight_col="hop", vertices=T.vertices(spark, d),
+                             landmarks=2, track="pred")
+    return r.select("query_id", "src", "dst", "reachable", F.col("distance").cast("long").alias("hops"))
+
+
+def q_shared_source_routes(spark, d):
+    """From each nation's source to every nation's destination: a search a source, in distance buckets."""
+    q = T.route_queries(spark, d)
+    to = q.select(F.col("query_id").alias("to_id"), F.col("dst").alias("to_dst"))
+    pairs = q.select("query_id", "src", F.explode(F.sequence(F.lit(0), F.lit(NATIONS - 1))).alias("to_id"))
+    pairs = pairs.join(to, "to_id").select((F.col("query_id") * NATIONS + F.col("to_id")).alias("query_id"), "src",
+                                           F.col("to_dst").alias("dst"))
+    r = graph.shortest_paths(_wedges_m(spark, d), pairs, weight_col="weight_m", vertices=T.vertices(spark, d),
+                             coords=T.nodes(spark, d), delta=5e6, track="pred")
+    return r.select("query_id", "src", "dst", "reachable", "distance")
+
+
+def _lines(spark, d):
+    """Each nation's line items as stations of one long two-way line, with an express stop every ``EXPRESS`` stations."""
+    at = osm.way_nodes_rows(T.nation_refs(spark, d), T.NATION_ORDER_COLS)
+    return at.select("way_id", "pos", (F.col("way_id") * LINE + F.col("pos")).alias("id"),
+                     (1 + F.col("ref") % 97).cast("double").alias("w"))
+
+
+def q_chain_routes(spark, d):
+    """Routes along lines of thousands of nodes: chains are contracted, so rounds grow with the express stops."""
+    stations = _lines(spark, d)
+    one = stations.where("pos > 0").select((F.col("id") - 1).alias("src"), F.col("id").alias("dst"), "w")
+    far = stations.where((F.col("pos") > 0) & (F.col("pos") % EXPRESS == 0)).select(
+        (F.col("id") - EXPRESS).alias("src"), F.col("id").alias("dst"), F.lit(10.0 * EXPRESS).alias("w"))
+    e = one.unionByName(far)
+    e = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+    ends = stations.groupBy("way_id").agg(F.max("id").alias("last")).select(
+        F.col("way_id").alias("query_id"), (F.col("way_id") * LINE + EXPRESS // 4).alias("src"),
+        (F.col("last") - EXPRESS // 8).alias("dst"))
+    r = graph.shortest_paths(e, ends, weight_col="w", vertices=stations.select("id"))
+    ok = checks.validate_routes(r.where("reachable"), e).select(F.col("query_id").alias("_q"), "ok")
+    return r.join(ok, r["query_id"] == ok["_q"], "left").select("query_id", "src", "dst", "reachable", "distance", "ok")
+
+
 def q_route_geometry(spark, d):
     wn = osm.way_nodes_rows(T.way_refs(spark, d), T.WAY_ORDER_COLS)
     return graph.locate(wn, T.nodes(spark, d)).select("way_id", "pos", "lat", "lon")
@@ -204,6 +249,9 @@ QUERIES = {
     "relax_once": q_relax_once,
     "shortest_distance": q_shortest_distance,
     "shortest_path_text": q_shortest_path_text,
+    "hop_routes": q_hop_routes,
+    "shared_source_routes": q_shared_source_routes,
+    "chain_routes": q_chain_routes,
     "route_geometry": q_route_geometry,
     "shortest_route_geometry": q_shortest_route_geometry,
     "route_validation": q_route_validation,
@@ -359,6 +407,40 @@ SELECT query_id,
               list_concat([src], list_filter(path, lambda x: x <> src AND x <> dst), [dst]),
               lambda x: CAST(x AS VARCHAR)), ' -> ') END AS route
 FROM routes""",
+    "hop_routes": f"""WITH RECURSIVE {_G_ALL},
+sp(query_id, node, hops) USING KEY (query_id, node) AS (
+  SELECT query_id, src, CAST(0 AS BIGINT) FROM vq
+  UNION
+  (SELECT c.query_id, c.node, c.h FROM (SELECT s.query_id, e.dst AS node, min(s.hops + 1) AS h
+     FROM sp s JOIN edges e ON e.src = s.node WHERE e.dst IS NOT NULL GROUP BY s.query_id, e.dst) c
+   LEFT JOIN recurring.sp cur ON cur.query_id = c.query_id AND cur.node = c.node
+   WHERE cur.hops IS NULL OR c.h < cur.hops))
+SELECT q.query_id, q.src, q.dst, sp.node IS NOT NULL AS reachable, sp.hops
+FROM q LEFT JOIN sp ON sp.query_id = q.query_id AND sp.node = q.dst""",
+    "shared_source_routes": f"""WITH RECURSIVE {_G_SP}
+SELECT a.query_id * {NATIONS} + b.query_id AS query_id, a.src, b.dst, sp.node IS NOT NULL AS reachable,
+       CAST(sp.dist AS DOUBLE) AS distance
+FROM q a CROSS JOIN q b LEFT JOIN sp ON sp.query_id = a.query_id AND sp.node = b.dst""",
+    "chain_routes": f"""WITH RECURSIVE
+st AS (SELECT n * {LINE} + pos AS id, n, pos, w FROM (
+  SELECT CAST(s_nationkey AS BIGINT) AS n, CAST(1 + l_partkey % 97 AS DOUBLE) AS w, row_number() OVER (
+    PARTITION BY s_nationkey ORDER BY l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS pos
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) x),
+one AS (SELECT id - 1 AS src, id AS dst, w FROM st WHERE pos > 0
+        UNION ALL SELECT id - {EXPRESS}, id, {10.0 * EXPRESS} FROM st WHERE pos > 0 AND pos % {EXPRESS} = 0),
+e AS (SELECT src, dst, w FROM one UNION ALL SELECT dst, src, w FROM one),
+q AS (SELECT n AS query_id, n * {LINE} + {EXPRESS // 4} AS src, max(id) - {EXPRESS // 8} AS dst FROM st GROUP BY n),
+vq AS (SELECT * FROM q WHERE src IN (SELECT id FROM st) AND dst IN (SELECT id FROM st)),
+sp(query_id, node, dist) USING KEY (query_id, node) AS (
+  SELECT query_id, src, CAST(0 AS DOUBLE) FROM vq
+  UNION
+  (SELECT c.query_id, c.node, c.d FROM (SELECT s.query_id, e.dst AS node, min(s.dist + e.w) AS d
+     FROM sp s JOIN e ON e.src = s.node GROUP BY s.query_id, e.dst) c
+   LEFT JOIN recurring.sp cur ON cur.query_id = c.query_id AND cur.node = c.node
+   WHERE cur.dist IS NULL OR c.d < cur.dist))
+SELECT q.query_id, q.src, q.dst, sp.node IS NOT NULL AS reachable, sp.dist AS distance,
+       CASE WHEN sp.node IS NOT NULL THEN true END AS ok
+FROM q LEFT JOIN sp ON sp.query_id = q.query_id AND sp.node = q.dst""",
     "route_geometry": f"""WITH {_G_NODES},
 wn AS (SELECT l_orderkey AS way_id,
               row_number() OVER (PARTITION BY l_orderkey

@@ -30,7 +30,7 @@ def q_file_word_count(spark, d):
     at = _folder(spark)
     T.corpus(spark, d).where(F.col("value").isNotNull()).write.text(f"{at}/in")
     jobs.word_count_job(spark, f"{at}/in", f"{at}/out")
-    return src.read_lines(spark, f"{at}/out").select(F.col("value").alias("line"))
+    return src.read_ordered_lines(spark, f"{at}/out").select("pos", F.col("value").alias("line"))
 
 
 def q_file_topk_common_words(spark, d):
@@ -104,11 +104,11 @@ def q_file_osm_ways(spark, d):
 
 
 def q_file_adjacency(spark, d):
-    """The adjacency job from XML to text."""
+    """The adjacency job from XML to text, with each line's place."""
     at = _folder(spark)
     _write_ways(spark, d, f"{at}/ways")
     jobs.adjacency_job(spark, f"{at}/ways", f"{at}/out")
-    return src.read_lines(spark, f"{at}/out").select(F.col("value").alias("line"))
+    return src.read_ordered_lines(spark, f"{at}/out").select("pos", F.col("value").alias("line"))
 
 
 def q_file_routes(spark, d):
@@ -118,10 +118,7 @@ def q_file_routes(spark, d):
     return src.read_lines(spark, at).select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
 
 
-def q_file_gpx(spark, d):
-    """K6: routes as GPX tracks; their points with the text of the coordinates."""
-    at = _folder(spark)
-    sinks.write_gpx(jobs.named_tracks(C._routes(spark, d), T.nodes(spark, d)), at)
+def _read_gpx(spark, at):
     track = "name string, trkseg struct<trkpt: array<struct<_lat: string, _lon: string>>>"
     tracks = (spark.read.format("xml").option("rowTag", "trk").option("attributePrefix", "_").schema(track)
               .option("recursiveFileLookup", True).load(at))
@@ -130,6 +127,34 @@ def q_file_gpx(spark, d):
                     F.col("p._lon").alias("lon")))
 
 
+def q_file_gpx(spark, d):
+    """K6: routes as GPX tracks; their points with the text of the coordinates."""
+    at = _folder(spark)
+    sinks.write_gpx(jobs.named_tracks(C._routes(spark, d), T.nodes(spark, d)), at)
+    return _read_gpx(spark, at)
+
+
+def q_file_routes_job(spark, d):
+    """From an XML extract and a query file to route lines, tracks and settled routes.
+
+    ``kind`` says where a row was read from: the text (``pos`` is the line's
+    place), the tracks (the point's place) or the append-only table.
+    """
+    at = _folder(spark)
+    _write_xml(T.nodes(spark, d), f"{at}/osm/nodes", "node")
+    _write_ways(spark, d, f"{at}/osm/ways")
+    queries = T.route_queries(spark, d).orderBy("query_id")
+    queries.select(F.concat_ws(" ", "src", "dst").alias("value")).coalesce(1).write.text(f"{at}/queries")    # a query a nation
+    jobs.routes_job(spark, f"{at}/osm/*", f"{at}/queries", f"{at}/text", f"{at}/gpx", whole_metres=True,
+                    settled_path=f"{at}/settled")
+    lines = src.read_ordered_lines(spark, f"{at}/text").select(F.lit("text").alias("kind"), "pos", F.col("value").alias("line"))
+    points = _read_gpx(spark, f"{at}/gpx").select(F.lit("gpx").alias("kind"), "pos", F.concat_ws(" ", "name", "lat", "lon").alias("line"))
+    settled = spark.read.parquet(f"{at}/settled").select(
+        F.lit("settled").alias("kind"), F.lit(0).cast("long").alias("pos"),
+        F.concat_ws(" ", "src", "dst", F.col("distance").cast("long")).alias("line"))
+    return lines.unionByName(points).unionByName(settled)
+
+
 def q_sql_functions(spark, d):
     """Temporary views and functions called from SQL."""
     T.register_views(spark, d, ("part",))
@@ -142,12 +167,15 @@ FROM part""")
 
 QUERIES = {f.__name__[2:]: f for f in (
     q_file_word_count, q_file_topk_common_words, q_file_stopwords, q_file_key_values, q_file_route_queries,
-    q_file_osm_nodes, q_file_osm_ways, q_file_adjacency, q_file_routes, q_file_gpx, q_sql_functions)}
+    q_file_osm_nodes, q_file_osm_ways, q_file_adjacency, q_file_routes, q_file_gpx, q_file_routes_job,
+    q_sql_functions)}
 
 _G = C.ORACLE_SQL
 _SP = f"WITH RECURSIVE {C._G_SP}"
 ORACLE_SQL = {
-    "file_word_count": f"SELECT word || chr(9) || CAST(count AS VARCHAR) AS line FROM ({_G['word_count']}) c",
+    "file_word_count": f"""
+SELECT row_number() OVER (ORDER BY word) - 1 AS pos, word || chr(9) || CAST(count AS VARCHAR) AS line
+FROM ({_G['word_count']}) c""",
     "file_topk_common_words": f"""
 SELECT row_number() OVER (ORDER BY count DESC, word DESC) - 1 AS pos, CAST(count AS VARCHAR) || chr(9) || word AS line
 FROM ({_G['topk_common_words']}) t""",
@@ -160,7 +188,7 @@ FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL""",
 SELECT row_number() OVER (ORDER BY query_id) - 1 AS pos, src, dst FROM q""",
     "file_osm_nodes": f"WITH {C._G_NODES} SELECT id, lat, lon FROM nodes",
     "file_osm_ways": _G["way_nodes"] + " WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
-    "file_adjacency": f"SELECT line FROM ({_G['adjacency_text']}) a",
+    "file_adjacency": f"SELECT row_number() OVER (ORDER BY node) - 1 AS pos, line FROM ({_G['adjacency_text']}) a",
     "file_routes": f"""{_SP}
 SELECT row_number() OVER (ORDER BY query_id) - 1 AS pos, array_to_string(list_transform(
          list_concat([src], list_filter(path, lambda x: x <> src AND x <> dst), [dst]),
@@ -171,6 +199,17 @@ pts AS (SELECT src, dst, unnest(path) AS ref, unnest(generate_series(0, len(path
         FROM routes WHERE reachable)
 SELECT CAST(src AS VARCHAR) || '_' || CAST(dst AS VARCHAR) AS name, pos, printf('%.6f', n.lat) AS lat,
        printf('%.6f', n.lon) AS lon FROM pts JOIN nodes n ON pts.ref = n.id""",
+    "file_routes_job": f"""{_SP},
+pts AS (SELECT src, dst, unnest(path) AS ref, unnest(generate_series(0, len(path) - 1)) AS pos
+        FROM routes WHERE reachable)
+SELECT 'text' AS kind, row_number() OVER (ORDER BY query_id) - 1 AS pos, array_to_string(list_transform(
+         list_concat([src], list_filter(path, lambda x: x <> src AND x <> dst), [dst]),
+         lambda x: CAST(x AS VARCHAR)), ' -> ') AS line FROM routes WHERE reachable
+UNION ALL
+SELECT 'gpx', pos, src || '_' || dst || ' ' || printf('%.6f', n.lat) || ' ' || printf('%.6f', n.lon)
+FROM pts JOIN nodes n ON pts.ref = n.id
+UNION ALL
+SELECT 'settled', 0, src || ' ' || dst || ' ' || CAST(distance AS BIGINT) FROM routes WHERE reachable AND src <> dst""",
     "sql_functions": """
 SELECT p_partkey, round(6371.0 * 2 * atan2(sqrt(h), sqrt(1 - h)) * 1000.0, 3) AS metres,
        CAST(p_partkey AS VARCHAR) || ' ' || CAST(p_partkey + 1 AS VARCHAR) AS path

@@ -46,20 +46,29 @@ def adjacency_job(spark: SparkSession, osm_path: str, output_path: str | None =
 
 def routes_job(spark: SparkSession, osm_path: str, queries_path: str,
                output_path: str | None = None, gpx_path: str | None = None,
-               weight: str = "distance", track: str = "path") -> DataFrame:
+               weight: str = "distance", track: str = "path", whole_metres: bool = False,
+               settled_path: str | None = None, settle_every: int = 4) -> DataFrame:
     """Batch shortest routes for a query file.
 
     All OSM nodes are vertices (a query naming an unknown node is reported
-    unreachable). Edge weight is the great-circle length in metres, so the
-    node coordinates also drive exact goal-directed pruning. ``track``
-    selects path or predecessor labels (see ``graph.shortest_paths``).
+    unreachable). Edge weight is the great-circle length in metres (rounded up
+    with ``whole_metres``), so the node coordinates also drive exact
+    goal-directed pruning. ``track`` settles routes of equal length (see
+    ``routes.shortest_paths``). The file is parsed once for nodes, which are
+    landed in buckets, and once for ways. With ``settled_path`` every route is
+    committed to an append-only table there as soon as it is settled, which is
+    looked for every ``settle_every`` rounds; the text in query order is written
+    at the end.
     """
-    nodes = osm_src.read_osm_nodes(spark, osm_path)
+    nodes = osm_src.land_nodes(spark, osm_path)
     wedges = graph.weight_edges(road_edges(spark, osm_path), nodes, weight=weight)
+    if whole_metres:
+        wedges = wedges.withColumn(weight, F.ceil(weight).cast("double"))
     queries = text_src.read_route_queries(spark, queries_path)
+    publish = (lambda found: sinks.append_routes(found, settled_path)) if settled_path else None
     routes = graph.shortest_paths(wedges, queries, weight_col=weight,
                                   vertices=nodes.select(nodes["_id"].alias("id")),
-                                  coords=nodes, track=track)
+                                  coords=nodes, track=track, on_settled=publish, settle_every=settle_every)
     if output_path:
         sinks.write_routes(routes, output_path)
     if gpx_path:

@@ -103,3 +103,13 @@ def write_read(df: DataFrame, path: str, observation: Observation | None = None,
     df.write.mode("overwrite").parquet(path)
     # the schema is known: skip footer-based inference on the way back in
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, n: int, keys: list[str], tag: str) -> DataFrame:
+    """Write ``df`` in ``n`` buckets by ``keys`` under the checkpoint folder; joins on them need no exchange.
+
+    The catalog only names the table: its files lie in the shared folder.
+    """
+    name = f"tessera_{tag}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, *keys).option("path", scratch_path(df.sparkSession, tag)).saveAsTable(name)
+    return df.sparkSession.table(name)

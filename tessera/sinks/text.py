@@ -53,6 +53,11 @@ def write_routes(routes: DataFrame, path: str, single_file: bool = False,
     _write_text(lines, path, single_file, mode)
 
 
+def append_routes(routes: DataFrame, path: str) -> None:
+    """Add found routes to an append-only table: each call is one commit, which a later failure does not undo."""
+    routes.select("query_id", "src", "dst", "distance", "path").write.mode("append").parquet(path)
+
+
 # Fixed values of the GPX 1.1 format; the creator names this library.
 GPX_ROOT = 'gpx xmlns="http://www.topografix.com/GPX/1/1" version="1.1" creator="tessera"'
 

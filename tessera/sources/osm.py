@@ -3,9 +3,9 @@
 Schemas are explicit: inference would cost an extra pass over the file and
 would type a way holding a single ``<tag>`` as a struct rather than an
 array. Only the attributes and children used downstream are declared, which
-also bounds parsing work. For repeated use at scale, land nodes and ways as
-parquet once (``land_parquet``) so later scans get column pruning and
-filter pushdown.
+also bounds parsing work. For repeated use, ``land_nodes`` and ``land_ways``
+parse the file once into bucketed tables under the checkpoint folder, so later
+scans get column pruning and joins on the id need no exchange of nodes.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tessera.session import bucketed, default_parallelism
+
 NODE_SCHEMA = T.StructType([
     T.StructField("_id", T.LongType()),
     T.StructField("_lat", T.DoubleType()),
@@ -46,6 +48,11 @@ def read_osm_ways(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "way", WAY_SCHEMA)
 
 
-def land_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a parsed OSM table as parquet for cheap repeated scans."""
-    df.write.mode(mode).parquet(path)
+def land_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """``read_osm_nodes``, parsed once into a table bucketed by ``_id``: joins on the id move no node."""
+    return bucketed(read_osm_nodes(spark, path), default_parallelism(spark), ["_id"], "nodes")
+
+
+def land_ways(spark: SparkSession, path: str) -> DataFrame:
+    """``read_osm_ways``, parsed once into a table bucketed by ``_id``."""
+    return bucketed(read_osm_ways(spark, path), default_parallelism(spark), ["_id"], "ways")

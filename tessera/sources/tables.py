@@ -73,6 +73,17 @@ def way_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_partkey").alias("ref"))
 
 
+NATION_ORDER_COLS = ["l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def nation_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(way_id, *NATION_ORDER_COLS, ref)``: the line items of each supplying nation as one long way."""
+    li = table(spark, sf_dir, "lineitem")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return li.join(s, li["l_suppkey"] == s["s_suppkey"]).select(
+        F.col("s_nationkey").cast("long").alias("way_id"), *NATION_ORDER_COLS, F.col("l_partkey").alias("ref"))
+
+
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(_id, _lat, _lon)`` from ``part``."""
     p = table(spark, sf_dir, "part")

@@ -13,6 +13,23 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_ordered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(pos, value)``: every line with its place, counted from 0 over the files in the order of their names.
+
+    A line's place is the lines of the blocks before its block, plus its place
+    in the block; the window that adds up blocks has one row a block.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
+                                         F.monotonically_increasing_id().alias("_at"))
+    block = Window.partitionBy("file_path", "file_block_start").orderBy("_at")
+    lines = lines.withColumn("_line", F.row_number().over(block) - 1)
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (lines.groupBy(F.col("file_path").alias("_file"), F.col("file_block_start").alias("_block"))
+              .agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    here = (lines["file_path"] == blocks["_file"]) & (lines["file_block_start"] == blocks["_block"])
+    return lines.join(blocks, here).select((F.col("_before") + F.col("_line")).cast("long").alias("pos"), "value")
+
+
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """Stop list, one word a line, lower-cased and de-duplicated: ``(word)``."""
     return (spark.read.text(path)
