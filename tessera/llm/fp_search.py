@@ -45,6 +45,7 @@ from tessera.llm.common import map_batches, materialise, partitions_for, pick, t
 ITEM_TERMS = 100_000        # different terms of the items asked at the same time
 BLOCK_DOCS = 8_192          # documents of one tree
 LEAF_DOCS = 64              # documents below which a subtree is scored whole
+RANGE_TERMS = 8             # terms of a path by which vectors are dealt to tasks
 SCALE = 1_000_000_000
 
 # a term is a run of digits, ASCII letters (in lower case) and characters from U+0080 on
@@ -280,7 +281,9 @@ def _search_chunk(docs: DataFrame, items: dict[int, list[bytes]], k: int) -> Dat
                                          names=["item_id", "doc_id", "score"])
 
     spark = docs.sparkSession
-    dealt = paths.repartitionByRange(partitions_for(spark), "path", "doc_id").sortWithinPartitions("path")
+    # ranges by the beginnings of the paths: their bounds are sampled on the driver
+    dealt = (paths.repartitionByRange(partitions_for(spark), F.slice("path", 1, RANGE_TERMS), "doc_id")
+             .sortWithinPartitions("path"))
     return dealt.mapInArrow(search, "item_id long, doc_id long, score long")
 
 
