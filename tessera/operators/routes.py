@@ -439,10 +439,11 @@ def follow(pointers: DataFrame, starts: DataFrame, scratch: str) -> DataFrame:
 
     Pointers are doubled, and met nodes jump along: after k joins 2^k nodes of a way are known.
     """
-    none = F.lit(None).cast("long")
+    none = F.lit(None)
     # a met node is a row with a query, its place in ``next``
-    ways = starts.select("query_id", "key", "end", none.alias("node"), F.col("node").alias("next")).unionByName(
-        pointers.select(none.alias("query_id"), "key", none.alias("end"), "node", "next"))
+    ways = starts.select("query_id", "key", "end", none.cast("long").alias("node"), F.col("node").alias("next")).unionByName(
+        pointers.select(none.cast(starts.schema["query_id"].dataType).alias("query_id"), "key",
+                        none.cast("long").alias("end"), "node", "next"))
     known, k = -1, 0
     while True:
         seen = Observation()
