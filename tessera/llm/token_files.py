@@ -15,16 +15,21 @@ is read with three small reads: footer, index row, frame. Files hold
 documents in ascending id order and follow one another in that order; the
 manifest table says how many ids come before each file.
 
-The dictionary is trained on serialised id arrays of a bounded sample: the
-``SAMPLE_DOCS`` documents of smallest id hash, up to ``SAMPLE_BYTES`` of each
-(a dictionary serves frames' beginnings). It changes file sizes only.
+The dictionary is trained on serialised id arrays of a bounded sample: at most
+``SAMPLE_DOCS`` documents of small id hash (ids are chosen first, then their
+texts are fetched), and of each one piece of at most ``SAMPLE_BYTES`` from
+anywhere in it. It changes file sizes only. There is none if the sample has
+fewer than ``LEAST_DOCS`` pieces or ``LEAST_BYTES``, which train no dictionary.
+
+A file is closed at about ``FILE_BYTES`` and the next one begun, so memory and
+file sizes do not grow with the documents of a task.
 
 A task writes its file under a name of its own attempt; the manifest, which
 is committed by Spark, names the files that count, so lost executors and
 repeated tasks leave at most files that nobody reads.
 
 Defined results: a null or empty text holds the end id alone; a null id comes
-first and is kept as null; equal ids are ordered by their text; no rows give
+first and is kept as null; equal ids keep the order of the scan; no rows give
 no files. Extra columns are ignored.
 """
 
@@ -32,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import posixpath
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -52,10 +58,13 @@ from tessera.session import scratch_path
 MAGIC = b"ZIDS0001"
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "<u8"), ("at", "<u8"), ("size", "<u8"),
                   ("start", "<u8"), ("n", "<u8")])
+ROW = struct.Struct("<q5Q")        # a row of the index
 FOOTER = np.dtype([("index", "<u8"), ("docs", "<u8"), ("ids", "<u8")])
 HEAD = len(MAGIC) + 16
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 4096
+LEAST_DOCS, LEAST_BYTES = 8, 8 * 1024
+FILE_BYTES = 256 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 
@@ -72,18 +81,30 @@ def _uri(path: str) -> str:
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> bytes:
     """Dictionary bytes; empty if the sample is too small to train one."""
-    sample = (docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
+    known = docs.select("doc_id").where("doc_id IS NOT NULL")
+    n = known.count()
+    if not n:
+        return b""
+    # about 1.5 x SAMPLE_DOCS ids under a hash threshold, so that no task sends more than its share
+    rank = F.xxhash64("doc_id")
+    under = -(1 << 63) + (min(1 << 64, (1 << 64) * 3 * SAMPLE_DOCS // (2 * n)) - 1)
+    ids = known.where(rank <= F.lit(under)).distinct().orderBy(rank, "doc_id").limit(SAMPLE_DOCS)
+    chosen = [r["doc_id"] for r in ids.collect()]       # at most SAMPLE_DOCS
+    sample = docs.where("text IS NOT NULL").join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long")), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"))      # of a repeated id one text
 
     def serialise(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = word_table(tokenizer)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([id_bytes(t.as_py(), words, end_id)[:SAMPLE_BYTES] for t in batch.column(0)], pa.binary())],
-            names=["ids"])
-
-    parts = [bytes(r["ids"]) for r in map_batches(sample.select("text"), serialise, "ids binary").collect()]
+        words, out = word_table(tokenizer), []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = id_bytes(text.as_py(), words, end_id)
+            spare = max(0, len(ids) - SAMPLE_BYTES) // 4
+            start = 4 * (zlib.crc32(str(doc_id).encode()) % (spare + 1))
+            out.append(ids[start:start + SAMPLE_BYTES])
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+
+    parts = [bytes(r["ids"]) for r in map_batches(sample.select("doc_id", "text"), serialise, "ids binary").collect()]
     parts.sort()
-    if sum(map(len, parts)) < 8 * 1024 or len(parts) < 8:
+    if sum(map(len, parts)) < LEAST_BYTES or len(parts) < LEAST_DOCS:
         return b""
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, parts)) // 8), parts).as_bytes()
@@ -103,7 +124,7 @@ class FileWriter:
     """Writes one file, document by document; memory is the index and one document."""
 
     def __init__(self, stream, dictionary: bytes):
-        self.out, self.at, self.ids, self.rows = stream, HEAD, 0, []
+        self.out, self.at, self.ids, self.docs, self.rows = stream, HEAD, 0, 0, bytearray()
         known = _codec_dictionary(dictionary)
         if known:
             known.precompute_compress(level=LEVEL)      # once a file, not once a document
@@ -113,13 +134,14 @@ class FileWriter:
     def add(self, doc_id: int | None, ids: bytes) -> None:
         frame = self.codec.compress(ids)
         self.out.write(frame)
-        self.rows.append((doc_id or 0, doc_id is None, self.at, len(frame), self.ids, len(ids) // 4))
+        self.rows += ROW.pack(doc_id or 0, doc_id is None, self.at, len(frame), self.ids, len(ids) // 4)
+        self.docs += 1
         self.at += len(frame)
         self.ids += len(ids) // 4
 
     def close(self) -> None:
-        self.out.write(np.array(self.rows, INDEX).tobytes())
-        self.out.write(np.array([(self.at, len(self.rows), self.ids)], FOOTER).tobytes())
+        self.out.write(bytes(self.rows))
+        self.out.write(np.array([(self.at, self.docs, self.ids)], FOOTER).tobytes())
         self.out.close()
 
 
@@ -197,25 +219,32 @@ def write_token_files(docs: DataFrame, folder: str | None = None, id_col: str =
         f.write(dictionary)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, writer, name = word_table(path), None, ""
+        words, writer, name, number = word_table(path), None, "", TaskContext.get().partitionId() << 32
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([name]), pa.array([writer.docs], pa.int64()),
+                 pa.array([writer.ids], pa.int64())], names=["file", "path", "docs", "ids"])
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 if writer is None:
-                    part = TaskContext.get().partitionId()
-                    name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zids"
+                    name = f"{folder}/part-{number >> 32:06d}-{number & 0xFFFFFFFF:04d}-{uuid.uuid4().hex}.zids"
                     fs, place = open_fs(name)
                     writer = FileWriter(fs.open_output_stream(place), dictionary)
                 writer.add(doc_id.as_py(), id_bytes(text.as_py(), words, end_id))
+                if writer.at + len(writer.rows) >= FILE_BYTES:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name]),
-                 pa.array([len(writer.rows)], pa.int64()), pa.array([writer.ids], pa.int64())],
-                names=["file", "path", "docs", "ids"])
-
-    ordered = (docs.repartitionByRange(partitions_for(spark), "doc_id", F.xxhash64("text"))
-               .sortWithinPartitions("doc_id", "text"))
-    manifest = materialise(ordered.mapInArrow(write, "file int, path string, docs long, ids long"), "manifest")
+            yield closed()
+
+    # the place in the scan settles equal ids, so no text is hashed for the ranges, and a hot id can be cut
+    ordered = (docs.withColumn("_at", F.monotonically_increasing_id())
+               .repartitionByRange(partitions_for(spark), "doc_id", "_at").sortWithinPartitions("doc_id", "_at"))
+    manifest = materialise(ordered.select("doc_id", "text").mapInArrow(write, "file long, path string, docs long, ids long"),
+                           "manifest")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)      # one row a file
     manifest = manifest.select("*", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
     return TokenFiles(folder, dictionary, manifest)
