@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path, write_read
@@ -27,7 +27,31 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     for src in columns.values():
         if src not in df.columns:
             raise ValueError(f"no column {src!r} in {df.columns}")
-    return df.select(*[F.col(f"`{src}`").alias(out) for out, src in columns.items()])
+    # by place: names that differ in case only are one name to Spark
+    placed = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return placed.select(*[F.col(f"_{df.columns.index(src)}").alias(out) for out, src in columns.items()])
+
+
+def packed(df: DataFrame, **columns: str) -> DataFrame:
+    """``pick``, and the whole row beside it as the struct ``row``; ``unpacked`` gives it back."""
+    placed = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    for src in columns.values():
+        if src not in df.columns:
+            raise ValueError(f"no column {src!r} in {df.columns}")
+    return placed.select(F.struct(*placed.columns).alias("row"),
+                         *[F.col(f"_{df.columns.index(src)}").alias(out) for out, src in columns.items()])
+
+
+def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows that ``packed`` put away, with the columns of ``like``."""
+    return df.select("row.*").toDF(*like.columns)
+
+
+def replaced(df: DataFrame, name: str, fn: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``fn`` applied to the column of exactly this name, at its place."""
+    at = df.columns.index(name)
+    placed = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return placed.withColumn(f"_{at}", fn(F.col(f"_{at}"))).toDF(*df.columns)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, table
+from tessera.llm.common import packed, pick, table, unpacked
 
 MAX_TRAIN = 6000
 FOLDS = 5
@@ -236,7 +236,8 @@ def score(docs: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: s
 
 def keep_good(docs: DataFrame, model: RuleModel, text_col: str = "text", cut: float = CUT) -> DataFrame:
     """The rows whose score reaches ``cut``, with all their columns."""
-    return docs.where(model.score(F.col(f"`{text_col}`")) >= cut)
+    rows = packed(docs, text=text_col)
+    return unpacked(rows.where(model.score(F.col("text")) >= cut), docs)
 
 
 def op3_quality_model(spark, sf_dir: str) -> DataFrame:

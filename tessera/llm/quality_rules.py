@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, pick, table
+from tessera.llm.common import materialise, packed, pick, table, unpacked
 
 ITERATIONS = 12
 PRIOR_WEIGHT = 0.01     # of all documents, spread over a rule's votes
@@ -169,10 +169,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows that are kept, with all their columns."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.col(f"`{text_col}`").alias("text"))
-    votes = materialise(voted(counted(inner, "text")).drop("text"), "votes")
-    return _verdict(votes, estimate(votes)).where("kept").select("row.*")
+    votes = materialise(voted(counted(packed(docs, text=text_col), "text")).drop("text"), "votes")
+    return unpacked(_verdict(votes, estimate(votes)).where("kept"), docs)
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
