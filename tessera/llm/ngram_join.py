@@ -211,6 +211,12 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
             .groupBy("bucket").applyInArrow(meet, "key long, owner long"))
 
 
+def _repeated(sets: DataFrame) -> DataFrame:
+    """``again``: ids that stand for more than one set."""
+    several = sets.groupBy(F.col("doc_id").alias("again")).agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+    return materialise(several.where("lo < hi").select("again"), "repeated")
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, n_links``.
@@ -288,7 +294,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .applyInArrow(_links_of_block(num, den, classes, width), "node long, root long, links long"))
     found = materialise(found, "links")
 
-    top = connected_components(found.where("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo")))
+    # rows of one id are one node: an id is tied to the heads of all its sets
+    links = found.where("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo"))
+    tied = (some.select("doc_id", "digest").join(heads.select("digest", "rep"), "digest").where("doc_id <> rep")
+            .select(F.col("doc_id").alias("hi"), F.col("rep").alias("lo"))
+            .join(_repeated(some), F.col("hi") == F.col("again"), "left_semi"))
+    top = connected_components(links.unionAll(tied))
     n_links = found.groupBy(F.col("node").alias("l")).agg(F.sum("links").alias("links"))
     by_class = (heads.join(top, F.col("rep") == F.col("node"), "left")
                 .join(n_links, F.col("rep") == F.col("l"), "left")
