@@ -19,8 +19,9 @@ summed over all documents; the random strings are a fixed number.
 
 Defined results: a null or empty text has no spans (empty list, counts 0);
 spans are code points, end exclusive; a base span is never dropped or cut by
-the models, and no ``markov`` span meets one. Rows are independent, so repeated ids and null ids each return their row. Extra
-columns are ignored.
+the models, and no ``markov`` span meets one. Rows are independent, so
+repeated ids and null ids each return their row. No rows give no rows. Extra
+columns are ignored by ``scan_secrets`` and kept by ``mask_secrets``.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, pick, table
+from tessera.llm.common import map_batches, pick, replaced, table
 
 # fixed values: the base kinds in their listed order, with the least length of the value
 BASE = (
@@ -91,6 +92,16 @@ def _random_samples(seed: int = 17) -> list[str]:
 
 
 WORD = re.compile(r"[A-Za-z][a-z]{2,}")
+ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]+")
+JOINTS = re.compile(r"[+/_=-]+")
+MIXED = 8       # letters and digits mixed over as many characters are what is looked for, so no sample of the ordinary
+
+
+def is_plain(run: str) -> bool:
+    """Whether a run is a sample of ordinary text: words, numbers or short codes, joined or alone."""
+    if run.isalpha() or run.isdigit():
+        return True
+    return all(len(part) < MIXED or part.isalpha() or part.isdigit() for part in JOINTS.split(run))
 
 
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -110,10 +121,11 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             found, at = [], 0
             for start, end, _ in spans:
                 if start >= at:
-                    found += WORD.findall(text, at, start)
+                    found += ORDINARY.findall(text, at, start)
                 at = max(at, end)
-            found += WORD.findall(text, at)
-            words += found
+            found += ORDINARY.findall(text, at)
+            words += filter(is_plain, found)
+            found = [w for w in found if WORD.fullmatch(w)]
             # identifiers: neighbouring words joined the usual ways
             words += [f"{a}_{b}" for a, b in zip(found[::20], found[1::20])]
             words += [f"{a}{b.capitalize()}" for a, b in zip(found[7::20], found[8::20])]
@@ -122,6 +134,7 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             words += [a.upper() for a in found[9::20]]
             words += [c * 24 for c in "-=_/" for _ in range(len(found) // 400 + 1)]
             words += [f"20{n % 40:02d}-{n % 12 + 1:02d}-{n % 28 + 1:02d}/{a}" for n, a in enumerate(found[13::40])]
+            words += [str(len(a) * 7919 * (n + 1) ** 3) for n, a in enumerate(found[5::40])]
         both = [transitions([re.sub(r"[^A-Za-z0-9+/_=-]", "", v) for v in values]), transitions(words)]
         label = np.concatenate([np.full(np.count_nonzero(c), n) for n, c in enumerate(both)])
         cell = np.concatenate([np.flatnonzero(c) for c in both])
@@ -271,7 +284,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", ratio: np.ndarray | No
     def masked(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: mask(t, ratio), na_action="ignore")
 
-    return docs.withColumn(text_col, masked(F.col(f"`{text_col}`")))
+    return replaced(docs, text_col, masked)
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
