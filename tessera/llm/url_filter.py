@@ -6,11 +6,13 @@ entries become validity intervals; a capture is judged by the entries that
 were active when it was fetched, the longest pattern first.
 
 A capture asks for its host, all parent domains of the host and all prefixes
-of its path, each a row of (key, time); the URL itself bounds their number. Intervals and asks meet in an as-of
-join by key and calendar bucket: an interval is cut at bucket ends, so a
-pattern with very many entries, or one that very many captures ask for,
-spreads over its buckets, and each ask meets only the intervals of its own
-bucket. Entries of a pattern and day are reduced to one before any window.
+of its path, each a row of (key, time); the URL itself bounds their number, and
+asks for patterns that are not listed go at once. Intervals and asks meet in an
+as-of join by key and calendar bucket. Intervals exist only in buckets that are
+asked for: an entry's own bucket, and where it is carried into a later one. So
+a pattern with very many entries, or one that very many captures ask for,
+spreads over its buckets (and ``PARTS`` parts of each), each ask meets only the
+intervals of its own bucket, and one far-off date costs one row.
 Only DataFrame functions are used.
 
 Defined results: a null or unparsable URL, or a null fetch time, matches
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import pick, table
 
 BUCKET_DAYS = 8
+PARTS = 8           # of the captures that ask for one pattern in one bucket
 
 
 def host_of(url: Column) -> Column:
@@ -59,29 +62,41 @@ def _bucket(moment: str) -> Column:
     return F.floor(F.unix_date(F.to_date(moment)) / BUCKET_DAYS).cast("int")
 
 
-def intervals(entries: DataFrame, horizon: int) -> DataFrame:
-    """``pattern, since, blocked`` entries -> ``key, piece, start, stop, state`` by calendar bucket.
+def dated(entries: DataFrame) -> DataFrame:
+    """``pattern, since, blocked`` entries -> ``key, since, state, bucket``: one row a pattern and moment (blocked wins)."""
+    return (pick(entries, key="pattern", since="since", blocked="blocked")
+            .where("key IS NOT NULL AND since IS NOT NULL AND blocked IS NOT NULL")
+            .select(_pattern_key(F.col("key")).alias("key"), F.col("since").cast("timestamp").alias("since"), "blocked")
+            .groupBy("key", "since").agg(F.max("blocked").alias("state"))
+            .withColumn("bucket", _bucket("since")))
 
-    ``start`` is inclusive, ``stop`` exclusive; ``horizon`` is the last bucket
-    of interest. Order within a bucket is a window of that bucket; across
-    buckets it is a window over one row a pattern and bucket.
+
+def intervals(dated_entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """Validity intervals of the list in the buckets that are asked for.
+
+    ``asked`` is ``(key, bucket)``, distinct. Returns ``key, piece, start, stop,
+    state``, ``start`` inclusive, ``stop`` exclusive (null: to the end of the
+    bucket): the entries of the bucket, and the one still valid at its
+    beginning. So there are no more rows than entries and asked buckets, however
+    far apart these are. Windows hold one bucket's entries of a key, or one row
+    a bucket of a key.
     """
-    e = (pick(entries, key="pattern", since="since", blocked="blocked")
-         .where("key IS NOT NULL AND since IS NOT NULL AND blocked IS NOT NULL")
-         .select(_pattern_key(F.col("key")).alias("key"), F.col("since").cast("timestamp").alias("since"), "blocked")
-         .groupBy("key", "since").agg(F.max("blocked").alias("state"))
-         .withColumn("bucket", _bucket("since")))
+    e = dated_entries
+    ends = e.groupBy("key", "bucket").agg(F.max(F.struct("since", "state")).alias("final"), F.min("since").alias("first"))
     along = Window.partitionBy("key").orderBy("bucket")
-    later = (e.groupBy("key", "bucket").agg(F.min("since").alias("first"))
-             .select(F.col("key").alias("k"), F.col("bucket").alias("b"), F.lead("first").over(along).alias("next")))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    held = (ends.select("key", "bucket", "final", "first", F.lit(False).alias("ask")).unionByName(
+        asked.select("key", "bucket", F.lit(None).cast(ends.schema["final"].dataType).alias("final"),
+                     F.lit(None).cast("timestamp").alias("first"), F.lit(True).alias("ask")))
+        .groupBy("key", "bucket").agg(F.max("final").alias("final"), F.max("first").alias("first"), F.max("ask").alias("ask"))
+        .withColumn("carried", F.last("final", ignorenulls=True).over(before)).where("ask"))
+    carried = held.where("carried IS NOT NULL").select(
+        "key", F.col("bucket").alias("piece"), F.col("carried.since").alias("start"), F.col("first").alias("stop"),
+        F.col("carried.state").alias("state"))
     within = Window.partitionBy("key", "bucket").orderBy("since")
-    whole = (e.withColumn("stop", F.lead("since").over(within))
-             .join(later, (F.col("key") == F.col("k")) & (F.col("bucket") == F.col("b")))
-             .select("key", F.col("since").alias("start"), "bucket", "state",
-                     F.coalesce("stop", "next").alias("stop")))
-    last = F.least(F.coalesce(_bucket("stop"), F.lit(horizon)), F.lit(horizon))
-    return (whole.where(F.col("bucket") <= horizon)
-            .select("key", "start", "stop", "state", F.explode(F.sequence("bucket", last)).alias("piece")))
+    inside = (e.withColumn("stop", F.lead("since").over(within)).join(asked, ["key", "bucket"], "left_semi")
+              .select("key", F.col("bucket").alias("piece"), F.col("since").alias("start"), "stop", "state"))
+    return carried.unionByName(inside)
 
 
 def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -93,11 +108,17 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_
     """
     captures = pick(captures, page_id=id_col, url=url_col, fetched=time_col)
     captures = captures.withColumn("fetched", F.col("fetched").cast("timestamp"))
-    horizon = captures.agg(F.max(_bucket("fetched"))).first()[0]
+    listed = dated(entries)
+    # only patterns that are listed are asked for: the rest goes before anything is shuffled by pattern
+    known = listed.select(F.col("key").alias("listed")).distinct()
     asks = (captures.where("url IS NOT NULL AND fetched IS NOT NULL").select("url", "fetched").distinct()
-            .select("url", "fetched", _bucket("fetched").alias("bucket"), F.explode(keys_of(F.col("url"))).alias("ask")))
-    active = intervals(entries, horizon if horizon is not None else 0)
-    hits = asks.join(active, (F.col("ask") == F.col("key")) & (F.col("bucket") == F.col("piece"))
+            .select("url", "fetched", _bucket("fetched").alias("bucket"), F.explode(keys_of(F.col("url"))).alias("ask"))
+            .join(known, F.col("ask") == F.col("listed"), "left_semi"))
+    active = intervals(listed, asks.select(F.col("ask").alias("key"), "bucket").distinct())
+    # a common domain in a busy week is cut in parts, its few intervals are copied to each
+    asks = asks.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(PARTS)).cast("int"))
+    active = active.withColumn("of", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    hits = asks.join(active, (F.col("ask") == F.col("key")) & (F.col("bucket") == F.col("piece")) & (F.col("part") == F.col("of"))
                      & (F.col("start") <= F.col("fetched"))
                      & (F.col("stop").isNull() | (F.col("fetched") < F.col("stop"))))
     best = (hits.groupBy(F.col("url").alias("u"), F.col("fetched").alias("f"))
@@ -143,25 +164,22 @@ def op9_url_filter(spark, sf_dir: str) -> DataFrame:
         F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since"), "blocked")
 
 
-# depths of the SQL only; no host or path of the given tables has as many
-MAX_LABELS = 6
-MAX_DIRS = 4
 _URL = "^[A-Za-z][A-Za-z0-9+.-]*://"
 ORACLE = f"""
 WITH p AS (SELECT page_id, url, TIMESTAMP '{FIRST_FETCH}' + to_hours(CAST(page_id * 7 % 3000 AS INTEGER)) AS fetched,
     lower(regexp_extract(url, '{_URL}(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
     list_filter(string_split(regexp_extract(url, '{_URL}[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS dirs FROM pages),
 e AS (SELECT pattern, since, bool_or(blocked) AS blocked FROM (
-    SELECT lower(CASE event_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]*\\.', '')
-        ELSE host || '/' || regexp_extract(url, '{_URL}[^/?#]*/+([^/?#]+)', 1) END) AS pattern,
+    SELECT CASE event_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]*\\.', '')
+        ELSE host || '/' || regexp_extract(url, '{_URL}[^/?#]*/+([^/?#]+)', 1) END AS pattern,
       ts AS since, event_type = 'error' AS blocked, event_id % 3 = 2 AS by_dir,
       regexp_extract(url, '{_URL}[^/?#]*/+([^/?#]+)', 1) AS first
     FROM events JOIN p ON user_id = page_id WHERE host <> '')
   WHERE pattern IS NOT NULL AND since IS NOT NULL AND blocked IS NOT NULL AND (NOT by_dir OR first <> '') GROUP BY ALL),
 l AS (SELECT *, string_split(host, '.') AS labels FROM p WHERE host <> ''),
 a AS (SELECT DISTINCT url, fetched, unnest(list_concat(
-    list_transform(range(1, least(len(labels), {MAX_LABELS}) + 1), lambda k: array_to_string(labels[len(labels) - k + 1:], '.')),
-    list_transform(range(1, least(len(dirs), {MAX_DIRS}) + 1), lambda k: host || '/' || array_to_string(dirs[:k], '/')))) AS ask
+    list_transform(range(1, len(labels) + 1), lambda k: array_to_string(labels[len(labels) - k + 1:], '.')),
+    list_transform(range(1, len(dirs) + 1), lambda k: host || '/' || array_to_string(dirs[:k], '/')))) AS ask
   FROM l WHERE fetched IS NOT NULL),
 h AS (SELECT url, fetched, ask, max(since) AS since, arg_max(blocked, since) AS blocked
   FROM a JOIN e ON ask = pattern AND since <= fetched GROUP BY ALL),
