@@ -3,14 +3,15 @@
 A forgiving tokenizer with a stack of open elements: enough of HTML's rules
 (void elements, raw text, paragraphs and list items that end by themselves,
 end tags that close what was left open, a head that ends by itself) to know
-for every piece of text which elements hold it. Time grows with the length of
-the page.
+for every piece of text which elements hold it. Open elements are looked up by
+name, so time grows with the length of the page, however deep it nests.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import defaultdict
 
 # places of a block
 OTHER, ARTICLE, MARKED, MAIN = 0, 1, 2, 3
@@ -64,6 +65,7 @@ def _place(name: str, attrs: str, in_article: bool) -> int:
 class _Page:
     def __init__(self):
         self.stack: list[tuple[str, int]] = []
+        self.at: defaultdict[str, list[int]] = defaultdict(list)    # places in the stack by name
         self.open = [0, 0, 0, 0]            # open elements by place
         self.blocks: list[tuple[str, int]] = []
         self.buffers: tuple[list[str], list[str]] = ([], [])    # text, marked text
@@ -86,16 +88,18 @@ class _Page:
 
     def pop_to(self, at: int) -> None:
         while len(self.stack) > at:
-            self.open[self.stack.pop()[1]] -= 1
+            name, place = self.stack.pop()
+            self.open[place] -= 1
+            self.at[name].pop()
+
+    def innermost(self, names) -> int:
+        """Place in the stack of the innermost open element of ``names``, -1 if there is none."""
+        return max((places[-1] for n in names if (places := self.at.get(n))), default=-1)
 
     def find(self, names, stop=()) -> int:
-        """Place in the stack of the innermost open element of ``names``, -1 if ``stop`` comes first."""
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] in names:
-                return at
-            if self.stack[at][0] in stop:
-                break
-        return -1
+        """``innermost`` of ``names``, -1 if one of ``stop`` stands further in; the depth of the stack does not matter."""
+        at = self.innermost(names)
+        return at if at >= 0 and at >= self.innermost(stop) else -1
 
     def start(self, name: str, attrs: str) -> None:
         if self.stack and name not in HEAD and (at := self.find(("head",))) >= 0:
@@ -109,6 +113,7 @@ class _Page:
                 self.pop_to(at)
         if name not in VOID and not attrs.endswith("/"):
             place = _place(name, attrs, self.open[ARTICLE] > 0)
+            self.at[name].append(len(self.stack))
             self.stack.append((name, place))
             self.open[place] += 1
 

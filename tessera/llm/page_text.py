@@ -3,14 +3,15 @@
 Every page is paired with the page of the same host whose URL path is nearest
 (its neighbour in path order with the longer common prefix). The text lines of
 both are aligned by a longest common subsequence; the shared lines are the
-site's, not the page's, and are deleted. Two checks keep the result right
-where differencing alone cannot: what markup names (menus, headers, footers,
+site's, not the page's, and are deleted. A neighbour with just the same
+unmarked lines is a copy and not a sister page: then the other neighbour is
+taken, and without one the page stays as it is. Two things are settled by
+markup, as differencing cannot: what it names (menus, headers, footers,
 sidebars, adverts, forms, comments ...) goes even when no neighbour shares
 it, and lines of an ``article`` element stay even when a neighbour republishes
-them; the same holds for a neighbour that shares most of the page, which is a
-copy and not a sister page. A page with an article has no main text outside
-it; without one its ``main`` element, and without that all its unmarked lines,
-are the text.
+them. What is left outside the article, or outside ``main`` on a page without
+one, belongs to the text only if it is longer than what is inside (then a short
+article is a teaser); blocks keep their order on the page.
 
 Pairing and alignment work on line hashes, a few bytes a line. Path order
 comes from range partitions, so a host of any size spreads over tasks; a
@@ -25,6 +26,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import os.path
 
 import numpy as np
@@ -36,14 +38,14 @@ from pyspark.sql import functions as F
 from tessera.llm.common import map_batches, materialise, partitions_for, pick, table
 from tessera.llm.html_blocks import ARTICLE, MAIN, MARKED, OTHER, blocks
 
-COPY_SHARE = 0.8        # a neighbour sharing this much of a page's unmarked lines is a copy of it
-
 
 def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
     """Positions in ``a`` of a longest common subsequence of ``a`` and ``b``.
 
     Equal ends and lines of one side only are set aside first; the rest is
-    aligned with one bit a line of ``b``, so memory is len(a) * len(b) bits.
+    aligned with one bit a line of ``b``. Every ``sqrt(len(a))``-th row is kept
+    and those between are made again on the way back, so memory is about
+    2 sqrt(len(a)) * len(b) bits.
     """
     shared = np.intersect1d(a, b)
     ia = np.flatnonzero(np.isin(a, shared)).tolist()
@@ -57,28 +59,46 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
     out = ia[:first] + (ia[len(ia) - last:] if last else [])
     x, y = x[first:len(x) - last], y[first:len(y) - last]
     if x and y:
-        where: dict[int, int] = {}
-        for j, v in enumerate(y):
-            where[v] = where.get(v, 0) | 1 << j
+        out += [ia[first + i] for i in _aligned(x, y)]
+    return sorted(out)
+
+
+def _aligned(x: list[int], y: list[int]) -> list[int]:
+    """Positions in ``x`` of a longest common subsequence of ``x`` and ``y``."""
+    where: dict[int, int] = {}
+    for j, v in enumerate(y):
+        where[v] = where.get(v, 0) | 1 << j
+    full = (1 << len(y)) - 1
+
+    def rows_from(row: int, values: list[int]) -> list[int]:
         # bit j of row i is 0 where the subsequence of x[:i] and y[:j + 1] is one longer than that of y[:j]
-        full, row, rows = (1 << len(y)) - 1, (1 << len(y)) - 1, []
-        for v in x:
-            rows.append(row)
+        rows = [row]
+        for v in values:
             u = row & where.get(v, 0)
             row = ((row + u) | (row - u)) & full
-        rows.append(row)
-        length = lambda i, j: j - (rows[i] & (1 << j) - 1).bit_count()
-        i, j, n = len(x), len(y), length(len(x), len(y))
-        while n:
-            if length(i - 1, j) == n:
-                i -= 1
-            else:
-                # x[i - 1] is used; go to the leftmost y that still gives n
-                while not rows[i] >> (j - 1) & 1 ^ 1:
-                    j -= 1
-                i, j, n = i - 1, j - 1, n - 1
-                out.append(ia[first + i])
-    return sorted(out)
+            rows.append(row)
+        return rows
+
+    step = math.isqrt(len(x)) + 1
+    kept = [full]
+    for at in range(0, len(x), step):
+        kept.append(rows_from(kept[-1], x[at:at + step])[-1])
+    out, j = [], len(y)
+    length = lambda row, j: j - (row & (1 << j) - 1).bit_count()
+    n = length(kept[-1], j)
+    for block in reversed(range(len(kept) - 1)):
+        rows = rows_from(kept[block], x[block * step:(block + 1) * step])
+        for i in range(len(rows) - 1, 0, -1):
+            if not n:
+                return out
+            if length(rows[i - 1], j) == n:
+                continue
+            # x[i - 1] of the block is used; go to the leftmost y that still gives n
+            while rows[i] >> (j - 1) & 1:
+                j -= 1
+            j, n = j - 1, n - 1
+            out.append(block * step + i - 1)
+    return out
 
 
 def _hash_lines(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -112,35 +132,39 @@ def _neighbours(light: DataFrame) -> DataFrame:
 def _deletions(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Unmarked lines outside an article that the nearest page shares, by position."""
     urls, digests, drops = [], [], []
+    read = lambda page: (np.array(page["lines"], np.int64), np.frombuffer(page["places"], np.uint8))
     for url, digest, me, before, after in zip(*(c.to_pylist() for c in batch.columns)):
         near = [n for n in (before, after) if n is not None and n["host"] == me["host"]]
-        if not near:
-            continue
-        best = max(near, key=lambda n: len(os.path.commonprefix([n["path"], me["path"]])))
-        lines, places = (np.array(me["lines"], np.int64), np.frombuffer(me["places"], np.uint8))
-        other = np.array(best["lines"], np.int64)
-        if not len(lines) or not len(other):
-            continue
-        same = np.array(common_lines(lines, other), np.int64)
-        unmarked = places != MARKED
-        if not len(same) or unmarked[same].sum() >= COPY_SHARE * max(1, unmarked.sum()):
-            continue
-        gone = same[np.isin(places[same], (OTHER, MAIN))]
-        if len(gone):
-            urls.append(url), digests.append(digest), drops.append(gone.tolist())
+        near.sort(key=lambda n: -len(os.path.commonprefix([n["path"], me["path"]])))
+        lines, places = read(me)
+        for page in near:
+            other, marks = read(page)
+            if np.array_equal(lines[places != MARKED], other[marks != MARKED]):
+                continue        # a copy says nothing about the site
+            same = np.array(common_lines(lines, other), np.int64)
+            gone = same[np.isin(places[same], (OTHER, MAIN))]
+            if len(gone):
+                urls.append(url), digests.append(digest), drops.append(gone.tolist())
+            break
     return pa.RecordBatch.from_arrays([pa.array(urls, pa.string()), pa.array(digests, pa.binary()),
                                        pa.array(drops, pa.list_(pa.int32()))], names=["url", "digest", "gone"])
 
 
 def main_text(page: str | None, gone=()) -> str:
-    """Text of a page without marked blocks and without the blocks at the positions ``gone``."""
-    found = blocks(page)
+    """Text of a page without marked blocks and without the blocks at the positions ``gone``.
+
+    The article comes first, then ``main``, then the rest: each is taken only
+    if it is longer than what is taken already.
+    """
     gone = set(gone)
-    for wanted in (ARTICLE, MAIN, OTHER):
-        kept = [t for n, (t, place) in enumerate(found) if place == wanted and n not in gone]
-        if kept:
-            return " ".join(kept)
-    return ""
+    found = [(t, place) for n, (t, place) in enumerate(blocks(page)) if n not in gone]
+    taken, size = set(), 0
+    for place in (ARTICLE, MAIN, OTHER):
+        n = sum(len(t) for t, p in found if p == place)
+        if n > size:
+            taken.add(place)
+            size += n
+    return " ".join(t for t, place in found if place in taken)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
