@@ -394,3 +394,207 @@ def test_packing_balances_cost():
     assert sorted(collections.Counter(s for _, _, _, s, _ in placed).values()) == [4, 4]
     placed = packing.assign([90, 10, 10, 10, 80], [100, 100])
     assert {s for d, _, _, s, _ in placed if d == 0} != {s for d, _, _, s, _ in placed if d == 4}
+
+
+def test_bare_model_gives_the_ids_of_the_whole_way(spark):
+    """Words of Latin letters, and those that only look like it, against the library's whole encode."""
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path()
+    whole, table = Tokenizer.from_file(path), tokens.WordTable(path)
+    assert table.letters_whole
+    rng = random.Random(9)
+    letters = [chr(c) for c in range(0x61, 0x250) if chr(c).isalpha()] + list("abcdefghijklmnopqrstuvwxyz") * 12
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(1500)]
+    words += ["Σας", "ΣΑΣ", "ǅungla", "İstanbul", "été", "ŉ", "ﬁn", "straße", "don't", "it's,", "a1b2", "ªº", "µ", "漢字x", "x" * 3000]
+    for word in words:
+        raw = word.encode().lower()
+        want = whole.encode(raw.decode(), add_special_tokens=False).ids
+        assert np.frombuffer(table[raw], "<u4").tolist() == want, word
+
+
+def test_token_files_of_equal_ids_and_rolled_files(spark, monkeypatch):
+    """Equal ids keep the order of the scan; a task's documents spread over files; every document is read back."""
+    rows = [(4, "x"), (4, "x"), (4, "y z"), (2, "b " * 300), (None, "n"), (3, None), (4, "a")]
+    rows += [(10 + i, f"word{i} " * (i % 7)) for i in range(60)]
+    monkeypatch.setattr(token_files, "FILE_BYTES", 400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    files = token_files.write_token_files(docs)
+    got = files.read().orderBy("start").collect()
+    want = sorted(enumerate(rows), key=lambda r: (r[1][0] is not None, r[1][0] or 0, r[0]))
+    words = tokens.word_table(tokens.tokenizer_path())
+    assert [(r.doc_id, bytes(r.ids)) for r in got] == [(i, tokens.id_bytes(t, words)) for _, (i, t) in want]
+    starts = np.cumsum([0] + [len(bytes(r.ids)) // 4 for r in got])
+    assert [r.start for r in got] == starts[:-1].tolist()
+    assert files.manifest.count() > spark.sparkContext.defaultParallelism
+
+
+def test_secret_models_on_held_out_samples(spark):
+    """Precision on numbers, dates and addresses, and recall of random keys, that no training text holds."""
+    rng = random.Random(21)
+    letters = ["re", "thin", "on", "sta", "lor", "men", "ta", "qui", "sel"]
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(1, 4)))
+    number = lambda: str(rng.randrange(10 ** rng.randint(1, 9)))
+    ordinary = [word, word, word, number, lambda: f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}",
+                lambda: f"555-{rng.randrange(10**4):04d}", lambda: f"https://{word()}.com/{word()}/{number()}",
+                lambda: f"ISBN 978-{rng.randrange(10**9)}-{rng.randrange(10)}", lambda: f"v{rng.randint(1, 20)}.{rng.randint(0, 30)}"]
+    text = lambda n: " ".join(rng.choice(ordinary)() for _ in range(n))
+    ratio = secrets.train(wide(spark, [text(200) for _ in range(60)]))
+    wrong = [t[a:b] for t in (text(100) for _ in range(60)) for a, b, k in secrets.all_spans(t, ratio)[1] if k == "markov"]
+    assert len(wrong) <= 2 and not any(w.isdigit() for w in wrong), wrong
+    for length, least in ((12, 0.9), (16, 0.95), (24, 0.97)):
+        for alphabet in secrets.KEY_ALPHABETS:
+            found = 0
+            for _ in range(100):
+                key = "".join(rng.choices(alphabet, k=length))
+                spans = secrets.all_spans(f"the value {key} was here", ratio)[1]
+                found += any(a <= 10 and b >= 10 + length for a, b, _ in spans)
+            assert found >= 100 * least, (length, alphabet, found)
+
+
+def test_base_spans_match_an_independent_walk():
+    """The base patterns by hand: one character after the other."""
+    rng = random.Random(5)
+    pieces = ["password", "Token", "api_key", "APIKEY", "secret", '"', "'", " ", ":", "=", "AKIA", "abcdef0123456789", "0f" * 9,
+              "A1" * 10, "x.y/z+", "é", "\n", "token=abcdefghijkl", "-_."]
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def walk(text):
+        out = []
+        names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+        low, at = "".join(c.lower() if c.isascii() else c for c in text), 0
+        while at < len(text):
+            name = next((n for n in names if low.startswith(n, at)), None)
+            end = None
+            if name:
+                p = at + len(name)
+                p += text[p:p + 1] in ('"', "'") and p < len(text)
+                while text[p:p + 1] == " ":
+                    p += 1
+                if text[p:p + 1] in (":", "=") and p < len(text):
+                    p += 1
+                    while text[p:p + 1] == " ":
+                        p += 1
+                    p += text[p:p + 1] in ('"', "'") and p < len(text)
+                    q = p
+                    while q < len(text) and text[q] in value:
+                        q += 1
+                    end = q if q > p else None
+                    if end and q - p >= 12:
+                        out.append((at, q, "assign"))
+            at = end or at + 1
+        for kind, head, inside, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 18),
+                                          ("hex", "", set("0123456789abcdef"), 16)):
+            at = 0
+            while at < len(text):
+                q = at + len(head) if text.startswith(head, at) else None
+                start = q
+                while q is not None and q < len(text) and text[q] in inside:
+                    q += 1
+                if q is None or q == start:
+                    at += 1
+                    continue
+                if q - at >= least:
+                    out.append((at, q, kind))
+                at = q
+        return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[2])))
+
+    for _ in range(400):
+        text = "".join(rng.choices(pieces, k=rng.randint(1, 14)))
+        assert secrets.base_spans(text) == walk(text), text
+
+
+def test_names_that_differ_in_case_only(spark):
+    rows = [(1, "X", "alpha beta gamma", "no"), (2, "Y", "delta", "no")]
+    docs = spark.createDataFrame(rows, "doc_id long, DOC_ID string, text string, TEXT string")
+    assert sorted(r.n_words for r in quality_rules.judge(docs).collect()) == [1, 3]
+    assert packing.pack(docs).count() >= 2
+    assert sorted(r[0] for r in ngram_join.jaccard_join(docs).collect()) == [1, 2]
+    masked = secrets.mask_secrets(docs)
+    assert masked.columns == docs.columns and sorted(map(tuple, masked.collect())) == rows
+
+
+def test_repeated_ids_are_one_node(spark):
+    a, b = " ".join(f"a{k}" for k in range(50)), " ".join(f"b{k}" for k in range(50))
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b), (11, "c d e f")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in ngram_join.jaccard_join(docs).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (9, 3), (11, 11)]
+
+
+def test_url_filter_does_not_grow_with_far_off_dates(spark):
+    """One capture dated 9999 and an entry of 2020: no more intervals than entries and asked buckets."""
+    from datetime import datetime
+    entries = spark.createDataFrame([("a.com", datetime(2020, 1, 1), True), ("a.com", datetime(2023, 5, 5, 12), False),
+                                     ("b.org", datetime(2021, 1, 1), True)], "pattern string, since timestamp, blocked boolean")
+    captures = spark.createDataFrame(
+        [(1, "http://a.com/x", datetime(2019, 1, 1)), (2, "http://a.com/x", datetime(2022, 1, 1)),
+         (3, "http://w.a.com/", datetime(2023, 5, 5, 11)), (4, "http://a.com/x", datetime(2023, 5, 5, 13)),
+         (5, "http://a.com/x", datetime(9999, 12, 30)), (6, "http://c.net/", datetime(2022, 1, 1))],
+        "page_id long, url string, fetched timestamp")
+    got = {r.page_id: r.blocked for r in url_filter.judge(captures, entries).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: False, 5: False, 6: False}
+    asked = captures.select(F.lit("a.com").alias("key"), url_filter._bucket("fetched").alias("bucket")).distinct()
+    assert url_filter.intervals(url_filter.dated(entries), asked).count() <= 3 + asked.count()
+
+
+def test_parser_is_linear_in_depth():
+    import time
+    t0 = time.perf_counter()
+    page = "<div>" * 200_000 + "deep" + "</div>" * 200_000
+    assert [t for t, _ in html_blocks.blocks(page)] == ["deep"]
+    mixed = "<ul><li><b><i>x<p>y" * 20_000
+    assert len(html_blocks.blocks(mixed)) == 40_000
+    assert time.perf_counter() - t0 < 20
+
+
+def test_long_alignments_take_little_memory():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 50, 6000), rng.integers(0, 50, 6000)
+    tracemalloc.start()
+    got = page_text.common_lines(a, b)
+    assert tracemalloc.get_traced_memory()[1] < 3_000_000       # 4.5 MB of bits in a full table
+    tracemalloc.stop()
+    it = iter(b.tolist())
+    assert all(v in it for v in a[got].tolist())
+    for n in (1, 7, 40):
+        x, y = rng.integers(0, 6, n), rng.integers(0, 6, n + 3)
+        table = np.zeros((n + 1, n + 4), int)
+        for i in range(n):
+            for j in range(n + 3):
+                table[i + 1, j + 1] = table[i, j] + 1 if x[i] == y[j] else max(table[i, j + 1], table[i + 1, j])
+        assert len(page_text.common_lines(x, y)) == table[n, n + 3]
+
+
+def test_differencing_alone_finds_the_text(spark):
+    """Pages without articles, names or roles: site lines go, a page's own lines stay."""
+    rng = random.Random(6)
+    line = lambda: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(rng.randint(3, 12)))
+    rows, own = [], {}
+    for host in range(6):
+        top, bottom = [line() for _ in range(8)], [line() for _ in range(6)]
+        for n in range(12):
+            mine = [line() for _ in range(rng.randint(1, 9))]
+            page = top[:rng.randint(6, 8)] + mine + bottom
+            own[len(rows)] = mine
+            rows.append((len(rows), f"http://h{host}.com/{'abc'[n % 3]}/p{n}", "".join(f"<div>{t}</div>" for t in page)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kept = right = wanted = 0
+    whole = sum(len(h) - 11 * h.count("<div>") for _, _, h in rows)
+    for r in page_text.extract_text(pages).collect():
+        text = f" {r.text} "
+        right += sum(len(t) for t in own[r.page_id] if f" {t} " in text)
+        wanted += sum(map(len, own[r.page_id]))
+        kept += len(r.text)
+    # nearly all own lines stay, and nine in ten characters of the sites go (a neighbour may lack a line)
+    assert right >= 0.98 * wanted and kept - right <= 0.1 * (whole - wanted)
+
+
+def test_short_articles_and_teasers(spark):
+    shared = "".join(f"<div>site line {n} of every page</div>" for n in range(20))
+    body = "<p>" + "the main text of this page goes on and on " * 8 + "</p>"
+    rows = [(1, "http://a.com/x/1", shared + "<div>own one</div>"), (2, "http://a.com/x/2", shared + "<div>own two</div>"),
+            (3, "http://b.com/1", f"<main>{body}<article>teaser</article></main>"),
+            (4, "http://c.com/1", "<div>same</div>"), (5, "http://c.com/2", "<div>same</div>")]
+    got = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "own one" and got[2] == "own two" and got[4] == got[5] == "same"
+    assert got[3].startswith("the main text") and len(got[3]) > 300
