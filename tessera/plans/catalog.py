@@ -95,9 +95,8 @@ def q_highway_ways(spark, d):
 
 
 def q_oneway_split(spark, d):
-    one, two = osm.oneway_split(osm.highway_ways(_ways(spark, d)))
-    return (one.select("way_id", F.lit(True).alias("oneway"))
-            .unionByName(two.select("way_id", F.lit(False).alias("oneway"))))
+    # both sides at once: a flag, not two scans (osm.oneway_split gives them as two tables)
+    return osm.highway_ways(_ways(spark, d)).select("way_id", osm.is_oneway().alias("oneway"))
 
 
 def q_way_counts(spark, d):
