@@ -598,3 +598,25 @@ def test_short_articles_and_teasers(spark):
     got = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[1] == "own one" and got[2] == "own two" and got[4] == got[5] == "same"
     assert got[3].startswith("the main text") and len(got[3]) > 300
+
+
+def test_null_ids_repeated_rows_and_empty_tables(spark):
+    """Cases that the operators' notes define and no other test covers."""
+    rows = [(None, "some words of a text"), (1, "some words of a text"), (1, "some words of a text"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = docs.limit(0)
+    judged = sorted(((r.doc_id or -1), r.n_words, r.kept) for r in quality_rules.judge(docs).collect())
+    assert judged == [(-1, 5, False), (1, 5, False), (1, 5, False), (2, 0, False)]
+    encoded = sorted((r.doc_id or -1, len(r.ids)) for r in pieces.encode_pieces(docs).collect())
+    assert encoded[0][1] == encoded[1][1] == encoded[2][1] > 0 and encoded[3] == (2, 0)
+    packed = packing.pack(docs).collect()
+    assert sorted((r.doc_id or -1, r.doc_tokens) for r in packed)[-1] == (2, 1)
+    assert len({r.doc_tokens for r in packed if r.doc_id != 2}) == 1        # a piece may be cut, a document not
+    scanned = secrets.scan_secrets(docs).collect()
+    assert len(scanned) == 4 and {r.spans for r in scanned} == {""}
+    for made in (quality_rules.judge(none), pieces.encode_pieces(none), packing.pack(none)):
+        assert made.count() == 0
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect() == []
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality_model.score(none, quality_model.fit(none, labels)).collect() == []
