@@ -95,8 +95,8 @@ class WordTable(Generations):
         self.characters = byte_characters()
 
     def compute(self, word: bytes) -> bytes:
-        if word.isalpha() and self.letters_whole:       # ASCII letters alone
-            return array("I", [t.id for t in self.split(word.decode())]).tobytes()
+        if word.isalpha() and self.letters_whole:       # ASCII letters alone; a text with "<|" comes as it is
+            return array("I", [t.id for t in self.split(word.lower().decode())]).tobytes()
         text = word.decode("utf-8", "surrogatepass")
         letters = text.rstrip(self.SIGNS)
         if letters != text and letters.lower().isalpha():
