@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import graph
+from tessera.operators import graph, routes
 
 
 def brute_force(edges, src, dst):
@@ -171,3 +171,20 @@ def test_hub_is_split_before_it_is_dealt_out(spark):
     q = spark.createDataFrame([(0, 0, 2001), (1, 1, 4)], "query_id long, src long, dst long")
     got = {r.query_id: list(r.path) for r in graph.shortest_paths(e, q, fanout=50, num_partitions=8).collect()}
     assert got == {0: [0, 2001], 1: [1, 2, 3, 4]}
+
+
+def test_bounds_of_the_routes_are_landed(spark, monkeypatch, capsys):
+    """The edges of all labels are pruned by a table of a row a source, not dealt out by the source first."""
+    goals, tight = [], routes.tight_edges
+    monkeypatch.setattr(routes, "tight_edges", lambda s, e, goal: goals.append(goal) or tight(s, e, goal))
+    edges = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (1, 3, 5.0)], "src long, dst long, distance double")
+    queries = spark.createDataFrame([(0, 1, 3)], "query_id long, src long, dst long")
+    for landmarks in (0, 1):
+        row = routes.shortest_paths(edges, queries, contract=False, landmarks=landmarks).first()
+        assert (row.distance, row.path) == (2.0, [1, 2, 3])
+    assert len(goals) == 2
+    for goal in goals:
+        capsys.readouterr()
+        goal.explain()
+        plan = capsys.readouterr().out
+        assert "Join" not in plan and "Aggregate" not in plan
