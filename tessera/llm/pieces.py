@@ -32,7 +32,7 @@ from tessera.llm.tokens import Generations, tokenizer_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = re.compile(rb" +[^ ]*")
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 200_000
 
 
 class ChunkTable(Generations):

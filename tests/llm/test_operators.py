@@ -620,3 +620,14 @@ def test_null_ids_repeated_rows_and_empty_tables(spark):
     assert topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect() == []
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_model.score(none, quality_model.fit(none, labels)).collect() == []
+
+
+def test_chunk_table_stays_small():
+    class Lengths(tokens.Generations):
+        def compute(self, key):
+            return len(str(key))
+
+    table = Lengths(pieces.MAX_CHUNKS)
+    for n in range(450_000):
+        assert table[n] == len(str(n))
+        assert n % 1000 or len(table) + len(table.older) <= 200_000
