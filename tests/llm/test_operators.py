@@ -244,6 +244,19 @@ def test_token_files_round_trip(spark, scratch):
     assert token_files.write_token_files(wide(spark, []), scratch + "/none").read().collect() == []
 
 
+def test_token_files_query_runs_one_python_function_a_task(spark, tmp_path):
+    texts = EDGE_TEXTS + corpus(7, 20)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = token_files.op4_token_files(spark, str(tmp_path))
+    # each further function is a further worker a core, beside the workers that hold tables of words
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    library, start = tokens.word_table(tokens.tokenizer_path()).tokenizer, 0
+    for r, text in zip(got.orderBy("doc_id").collect(), texts, strict=True):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [tokens.END_ID]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_words_encode_as_whole_texts():
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(tokens.tokenizer_path())
