@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import map_batches, materialise, partitions_for, pick, table
 from tessera.llm.components import connected_components
-from tessera.llm.shingles import SizeClasses, shingle_set
+from tessera.llm.shingles import SizeClasses, shingle_sets
 
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1_000_000
@@ -104,9 +104,8 @@ def _links_of_block(num: int, den: int, classes: SizeClasses, width: int):
         of the larger set's class.
         """
         rows = set()
-        for part, rep, copies, digest, text in zip(*(block[x].to_pylist() for x in (
-                "part", "rep", "copies", "digest", "text"))):
-            s = shingle_set(text, width)
+        named = zip(*(block[x].to_pylist() for x in ("part", "rep", "copies", "digest")))
+        for (part, rep, copies, digest), s in zip(named, shingle_sets((x.as_py() for x in block["text"]), width)):
             if _digest(s) == digest:        # an id may have several rows: only the class's own text counts
                 rows.add((part, rep, copies, s.tobytes()))
         rows = sorted(rows)
@@ -175,8 +174,7 @@ def _shared_keys(docs: DataFrame, classes: SizeClasses, width: int) -> DataFrame
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held, seen = [], [], 0, set()
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), width)
+            for s in shingle_sets((text.as_py() for text in batch.column(0)), width):
                 digest = _digest(s)
                 if digest in seen:
                     continue
@@ -231,11 +229,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, digests, needs = [], [], []
-        for text in batch.column(1):
-            s = shingle_set(text.as_py(), width)
+        for s in shingle_sets((text.as_py() for text in batch.column(1)), width):
             sizes.append(len(s))
             digests.append(_digest(s))
-            needs.append([(c, need) for c, need, _ in classes.keys(s)])
+            needs.append(classes.needs(s))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
              pa.array(needs, pa.map_(pa.int32(), pa.int32()))], names=["doc_id", "n", "digest", "needs"])

@@ -42,25 +42,37 @@ def _chars(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def _stats(text: Column) -> dict[str, Column]:
-    """Statistics (double) of a text column, as one struct would hold them."""
+def _stats(text: Column) -> Column:
+    """Statistics (doubles) of a text column, as one struct.
+
+    The words are counted once, and signs are looked for in what is left
+    without letters, which are most of a text. Both are bound as the variable of a
+    lambda, so that no statistic works them out again.
+    """
     t = F.coalesce(text, F.lit(""))
     words = F.regexp_count(t, F.lit(r"\S+"))
-    n, w = F.greatest(F.length(t), F.lit(1)), F.greatest(words, F.lit(1))
-    return {
-        "log_chars": F.log1p(F.length(t).cast("double")),
-        "log_words": F.log1p(words.cast("double")),
-        "chars_a_word": F.length(t) / w,
-        "signs": _chars(t, r"[#*$%&<>~^=_+]+") / w,
-        "pipes": _chars(t, r"\|+") / w,
-        "exclaims": _chars(t, r"[!?]+") / w,
-        "capitals": _chars(t, r"\p{Lu}+") / n,
-        "digits": _chars(t, r"[0-9]+") / n,
-        "stops": _chars(t, r"[.,;:]+") / w,
-        "lines": _chars(t, r"\n+") / w,
-        "echoes": F.regexp_count(t, F.lit(r"(?<!\S)(\S++)(?=\s++\1(?!\S))")) / w,
-        "letters": _chars(t, r"[\p{L}\p{M}]+") / n,
-    }
+    shared = F.array(F.struct(t.alias("t"), words.alias("words"),
+                              F.regexp_replace(t, r"[\p{L}\p{M}]+", "").alias("rest")))
+
+    def each(x: Column) -> Column:
+        t, words, rest = x["t"], x["words"], x["rest"]
+        n, w = F.greatest(F.length(t), F.lit(1)), F.greatest(words, F.lit(1))
+        return F.struct(*[c.cast("double").alias(k) for k, c in {
+            "log_chars": F.log1p(F.length(t).cast("double")),
+            "log_words": F.log1p(words.cast("double")),
+            "chars_a_word": F.length(t) / w,
+            "signs": _chars(rest, r"[#*$%&<>~^=_+]+") / w,
+            "pipes": _chars(rest, r"\|+") / w,
+            "exclaims": _chars(rest, r"[!?]+") / w,
+            "capitals": _chars(t, r"\p{Lu}+") / n,
+            "digits": _chars(rest, r"[0-9]+") / n,
+            "stops": _chars(rest, r"[.,;:]+") / w,
+            "lines": _chars(rest, r"\n+") / w,
+            "echoes": F.regexp_count(t, F.lit(r"(?<!\S)(\S++)(?=\s++\1(?!\S))")) / w,
+            "letters": (F.length(t) - F.length(rest)) / n,
+        }.items()])
+
+    return F.element_at(F.transform(shared, each), 1)
 
 
 STATS = ("log_chars", "log_words", "chars_a_word", "signs", "pipes", "exclaims", "capitals", "digits", "stops",
@@ -168,7 +180,7 @@ class RuleModel:
         element array, however many rules use them and wherever the optimizer
         moves the expression.
         """
-        stats = F.array(F.struct(*[c.cast("double").alias(k) for k, c in _stats(text).items()]))
+        stats = F.array(_stats(text))
 
         def odds(s: Column) -> Column:
             z = F.lit(self.intercept)
@@ -220,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, folds: i
     docs = pick(docs, doc_id="doc_id", text="text")
     rows = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
             .select("doc_id", F.col("quality").cast("double").alias("quality"),
-                    F.xxhash64("text").alias("h"), *[c.cast("double").alias(k) for k, c in _stats(F.col("text")).items()])
+                    F.xxhash64("text").alias("h"), _stats(F.col("text")).alias("s")).select("doc_id", "quality", "h", "s.*")
             .orderBy(F.xxhash64("doc_id"), "doc_id", "h", "quality").limit(max_train).toPandas())
     return fit_rows(rows[list(STATS)].to_numpy(float).reshape(-1, len(STATS)), rows["quality"].to_numpy(float))
 

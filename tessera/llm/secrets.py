@@ -47,6 +47,9 @@ BASE = (
     # a run under 16 characters fails whichever way it is cut, so only the long ones are looked for
     ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16),
 )
+# what a text must hold for a pattern to match, looked for at a tenth of the pattern's cost
+ASSIGNED = ("passw", "secret", "token", "api_key", "apikey")
+HEX = bytes(48 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 KINDS = {kind: n for n, (kind, *_) in enumerate(BASE)} | {"markov": len(BASE)}
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]*")
@@ -65,10 +68,19 @@ PART = 25                       # a part of a run needs the sum of as many chara
 SLICE = 1 << 20                 # characters scored at once
 
 
+def may_hold(text: str) -> dict[str, bool]:
+    """Which base patterns can match anywhere in ``text``; never false for one that does."""
+    low = text.lower()
+    return {"assign": any(w in low for w in ASSIGNED), "access": "AKIA" in text,
+            "hex": b"0" * 16 in text.encode("utf-8", "surrogatepass").translate(HEX)}
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of the base patterns, by start, then kind as listed."""
-    out = []
+    out, may = [], may_hold(text)
     for kind, pattern, group, least in BASE:
+        if not may[kind]:
+            continue
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
                 out.append((m.start(), m.end(), kind))
@@ -104,6 +116,22 @@ def is_plain(run: str) -> bool:
     return all(len(part) < MIXED or part.isalpha() or part.isdigit() for part in JOINTS.split(run))
 
 
+class _Kinds(dict):
+    """run -> 1 if it is plain, and 2 if it is a word; emptied when full, so memory is bounded."""
+
+    def __missing__(self, run):
+        if len(self) >= MAX_RUNS:
+            self.clear()
+        kind = (1 if is_plain(run) else 0) | (2 if WORD.fullmatch(run) else 0)
+        if len(run) <= LONG_RUN:
+            self[run] = kind
+        return kind
+
+
+MAX_RUNS, LONG_RUN = 100_000, 64
+_RUN_KINDS = _Kinds()
+
+
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio table ``[previous, next]`` (random over ordinary).
 
@@ -124,8 +152,9 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                     found += ORDINARY.findall(text, at, start)
                 at = max(at, end)
             found += ORDINARY.findall(text, at)
-            words += filter(is_plain, found)
-            found = [w for w in found if WORD.fullmatch(w)]
+            kinds = list(map(_RUN_KINDS.__getitem__, found))
+            words += [w for w, k in zip(found, kinds) if k & 1]
+            found = [w for w, k in zip(found, kinds) if k & 2]
             # identifiers: neighbouring words joined the usual ways
             words += [f"{a}_{b}" for a, b in zip(found[::20], found[1::20])]
             words += [f"{a}{b.capitalize()}" for a, b in zip(found[7::20], found[8::20])]

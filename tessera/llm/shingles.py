@@ -10,27 +10,17 @@ overlap by one at most.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import xxhash
 
-MAX_WORDS_CACHED = 200_000
+PIECE = 1 << 20     # bytes hashed at once
+POSITIONS = 64      # places in a word whose byte hashes are kept
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-
-
-class _WordHashes(dict):
-    """word bytes -> 64-bit hash; emptied when full, so memory is bounded."""
-
-    def __missing__(self, word):
-        if len(self) >= MAX_WORDS_CACHED:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        self[word] = h
-        return h
-
-
-_HASHES = _WordHashes()
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,22 +32,96 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _byte_hashes(code: np.ndarray) -> np.ndarray:
+    """Hashes of bytes at their places in a word: ``256 * place + byte``."""
+    with np.errstate(over="ignore"):
+        return mix((code.astype(np.uint64) + np.uint64(1)) * _A)
+
+
+_TABLE = _byte_hashes(np.arange(256 * POSITIONS))
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes, starts)`` of the words of ``raw``: a word's hash is the sum of the hashes of its bytes by place.
+
+    Bytes are worked on ``PIECE`` at a time; a word that a piece cuts is summed up over both.
+    """
+    hashes, starts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    open_word = -1      # start of the word that the last piece cut
+    for at in range(0, len(raw), PIECE):
+        buf = np.frombuffer(raw, np.uint8, min(PIECE, len(raw) - at), at)
+        inside = ~_SPACE[buf]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        first = np.flatnonzero(first)
+        cut = open_word >= 0 and bool(inside[0])
+        if len(first):
+            begin = first.astype(np.int64)
+            if cut:
+                begin[0] = open_word - at
+            head = int(first[0])
+            place = np.arange(head, len(buf)) - np.repeat(begin, np.diff(first, append=len(buf)))
+            code = place * 256 + _LOWER[buf[head:]]
+            # white space after a word may lie beyond the kept places as well: it counts nothing
+            value = _TABLE[np.minimum(code, len(_TABLE) - 1)]
+            far = np.flatnonzero((code >= len(_TABLE)) & inside[head:])
+            value[far] = _byte_hashes(code[far])
+            value[~inside[head:]] = 0
+            sums = np.add.reduceat(value, first - head)
+            if cut:
+                hashes[-1][-1:] += sums[:1]
+                sums, begin = sums[1:], begin[1:]
+            if len(sums):
+                hashes.append(sums)
+                starts.append(begin + at)
+        open_word = int(starts[-1][-1]) if inside[-1] else -1
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` word hashes."""
+    acc = np.full(len(h) - width + 1, width, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            acc = mix(acc * _A + h[k:len(h) - width + 1 + k] * _B + _C)
+    return acc
+
+
+def _sets(raws: list[bytes], width: int) -> list[np.ndarray]:
+    h, starts = word_hashes(b" ".join(raws))
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    cuts = [0, *np.searchsorted(starts, ends).tolist()]
+    whole = _shingles(h, width) if len(h) >= width else h[:0]
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        if b - a >= width:
+            s = np.sort(whole[a:b - width + 1])
+        else:
+            s = _shingles(h[a:b], b - a) if b > a else h[:0]
+        out.append(s[np.append(True, s[1:] != s[:-1])] if len(s) > 1 else s.copy())
+    return out
+
+
+def shingle_sets(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
+    """``shingle_set`` of each text, in order; many short texts are hashed together."""
+    raws, size = [], 0
+    for text in texts:
+        raws.append(text.encode("utf-8", "surrogatepass") if text else b"")
+        size += len(raws[-1]) + 1
+        if size >= PIECE:
+            yield from _sets(raws, width)
+            raws, size = [], 0
+    if raws:
+        yield from _sets(raws, width)
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles of ``text``.
 
     Fewer words than ``width``: the whole sequence is the one shingle.
     No words or no text: the empty set.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    w = min(width, len(words))
-    acc = np.full(len(words) - w + 1, w, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(w):
-            acc = mix(acc * _A + h[k:len(words) - w + 1 + k] * _B + _C)
-    return np.unique(acc)
+    return next(shingle_sets([text], width))
 
 
 @lru_cache(maxsize=512)
@@ -112,24 +176,32 @@ class SizeClasses:
             self._cuts[c] = (k, p)
         return self._cuts[c]
 
-    def keys(self, s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        """``(class, need, keys)`` of a sorted set; classes where only an equal set links are left out."""
-        n, out = len(s), []
+    def _parts(self, s: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(class, need, start, stop, full)`` of a sorted set: its ranges, and which of them hold elements."""
+        n = len(s)
         if n == 0:
-            return out
+            return
         first, last = self.of((n, n * self.den // self.num))
+        for c in range(first, last + 1):
+            k, p = self._ranges(c)
+            if k == 0:
+                continue
+            start = np.searchsorted(s, _range_starts(p))
+            stop = np.append(start[1:], n)
+            full = stop > start
+            yield c, p - k - int(p - full.sum()), start, stop, full
+
+    def needs(self, s: np.ndarray) -> list[tuple[int, int]]:
+        """``(class, need)`` as in ``keys``, without the keys."""
+        return [(c, max(need, 1)) for c, need, *_ in self._parts(s)]
+
+    def keys(self, s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """``(class, need, keys)`` of a sorted set; classes where only an equal set links are left out."""
+        out, sums = [], np.zeros(len(s) + 1, np.uint64)
         with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
             np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:])
-            for c in range(first, last + 1):
-                k, p = self._ranges(c)
-                if k == 0:
-                    continue
-                start = np.searchsorted(s, _range_starts(p))
-                stop = np.append(start[1:], n)
-                keys = mix((sums[stop] - sums[start]) * _A + np.arange(p, dtype=np.uint64) * _B + np.uint64(c))
+            for c, need, start, stop, full in self._parts(s):
+                keys = mix((sums[stop] - sums[start]) * _A + np.arange(len(start), dtype=np.uint64) * _B + np.uint64(c))
                 keys = keys & ~np.uint64(0xFF) | np.uint64(c)
-                full = stop > start
-                need = p - k - int(p - full.sum())
                 out.append((c, need, keys[full]) if need > 0 else (c, 1, keys))
         return out

@@ -644,3 +644,63 @@ def test_chunk_table_stays_small():
     for n in range(450_000):
         assert table[n] == len(str(n))
         assert n % 1000 or len(table) + len(table.older) <= 200_000
+
+
+def test_shingles_hashed_together_are_those_of_each_text(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aA bB\n\t\x0b\rcZ\x00éİ\x85\ud800", k=rng.randint(0, 50))) for _ in range(400)]
+    texts += [None, "", " ", "x" * 300 + " " + "x" * 301, "tail " * 9]
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    for piece in (1 << 20, 7, 1):
+        monkeypatch.setattr(shingles, "PIECE", piece)
+        got, seen = list(shingles.shingle_sets(texts, 3)), {}
+        for text, s in zip(texts, got, strict=True):
+            w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+            want = {tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))} if w else set()
+            assert len(s) == len(want) and (np.diff(s.astype(object)) > 0).all()
+            assert seen.setdefault(s.tobytes(), want) == want       # equal hashes, equal shingles
+        assert len(seen) == len(set(map(frozenset, seen.values())))
+        alone = [shingles.shingle_set(t, 3) for t in texts]
+        assert all((a == b).all() for a, b in zip(got, alone))
+
+
+def test_needs_are_those_of_the_keys():
+    rng = np.random.default_rng(5)
+    classes = shingles.SizeClasses(80, 100)
+    for n in (0, 1, 2, 5, 40, 3000):
+        s = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+        assert classes.needs(s) == [(c, need) for c, need, _ in classes.keys(s)]
+
+
+def test_patterns_are_tried_only_where_they_can_match(monkeypatch):
+    tried = []
+
+    class Seen:
+        def __init__(self, kind, pattern):
+            self.kind, self.pattern = kind, pattern
+
+        def finditer(self, text):
+            tried.append(self.kind)
+            return self.pattern.finditer(text)
+
+    monkeypatch.setattr(secrets, "BASE", tuple((k, Seen(k, p), g, n) for k, p, g, n in secrets.BASE))
+    assert secrets.base_spans("plain words only, dead beef") == [] and tried == []
+    rng = random.Random(6)
+    parts = ["passWord", "PASSWD", "toKen: ", "api_key", "ApiKey", "=", "AKIA", "ABCDEFGH12345678XX", "0123456789abcdef",
+             "SECRET:", "İ", "K", "ſecret=", "x" * 13, " ", "\ud800"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
+        may = secrets.may_hold(text)
+        assert all(may[k] for k, p, *_ in secrets.BASE if p.pattern.search(text)), text
+
+
+def test_a_score_counts_the_words_of_a_text_once(spark, capsys):
+    rule = ((1, True, 0.5),), 1.0
+    model = quality_model.RuleModel(0.0, [rule, (((2, False, 9.0),), -1.0)])
+    docs = wide(spark, ["a b  c", None, "Ä1!"])
+    quality_model.keep_good(docs, model).explain(True)
+    plan = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert plan.count("regexp_count") <= 2       # words and echoes
+    stats = docs.select(quality_model._stats(F.col("text")).alias("s")).select("s.*").collect()
+    assert [r.letters for r in stats] == [0.5, 0.0, 1 / 3] and [r.exclaims for r in stats] == [0.0, 0.0, 1.0]
+    assert [r.digits for r in stats] == [0.0, 0.0, 1 / 3] and stats[0].chars_a_word == 2.0
